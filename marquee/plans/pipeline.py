@@ -1,0 +1,68 @@
+"""The whole run: raw files to staging, star tables, and stored KPI tables."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from marquee import schemas
+from marquee.plans import kpi, star
+from marquee.sources import delimited, files
+from marquee.sources.snapshots import SnapshotTable
+
+STAR_TABLES = ("dim_film", "dim_customer", "dim_date", "fact_ticket")
+
+
+@dataclass(frozen=True)
+class Star:
+    dim_film: DataFrame
+    dim_customer: DataFrame
+    dim_date: DataFrame
+    fact_ticket: DataFrame
+
+
+def stage(spark: SparkSession, raw: str, staging: str) -> None:
+    """Raw CSV files to Parquet, one folder per table."""
+    readers = {
+        "film": (delimited.read_films, "Film.csv"),
+        "customer": (delimited.read_customers, "Customer.csv"),
+        "ticket": (delimited.read_tickets, "Ticket.csv"),
+    }
+    for name, (read, file) in readers.items():
+        files.write_parquet(read(spark, f"{raw}/{file}"), f"{staging}/{name}")
+
+
+def build_star(film: DataFrame, customer: DataFrame, ticket: DataFrame, **customer_options) -> Star:
+    """The star from raw text tables; nothing is computed yet."""
+    return Star(
+        star.build_dim_film(film),
+        star.build_dim_customer(customer, **customer_options),
+        star.build_dim_date(ticket),
+        star.build_fact_ticket(ticket),
+    )
+
+
+def store_star(spark: SparkSession, built: Star, root: str) -> dict[str, SnapshotTable]:
+    """One new version of each star table; the fact is partitioned by year and month."""
+    tables = {name: SnapshotTable(spark, f"{root}/{name}") for name in STAR_TABLES}
+    for name, stored in tables.items():
+        df = getattr(built, name)
+        if name == "fact_ticket":
+            stored.overwrite(star.with_sale_month(df), schemas.FACT_PARTITIONS)
+        else:
+            stored.overwrite(df)
+    return tables
+
+
+def export_kpis(spark: SparkSession, sales, films: DataFrame, customers: DataFrame, root: str) -> dict[str, SnapshotTable]:
+    """One new version of each exported KPI table."""
+    reports = {
+        "analytics_revenue_daily": kpi.revenue_daily(sales),
+        "analytics_top_films": kpi.top_films(sales, films),
+        "analytics_customer_age": kpi.customer_age(sales, customers),
+    }
+    tables = {name: SnapshotTable(spark, f"{root}/{name}") for name in reports}
+    for name, report in reports.items():
+        tables[name].overwrite(report)
+    return tables
