@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import oracle
 from marquee import schemas
 from marquee.functions import columns as C
+from marquee.functions.amounts import exact_sum
 from marquee.operators import quality
 from marquee.plans import extended, feeds, kpi, pipeline, star
 from marquee.plans import order_lines as shop
@@ -142,7 +143,7 @@ def csv_tickets(spark: SparkSession, d: str) -> DataFrame:
     fact = star.build_fact_ticket(delimited.read_tickets(spark, path))
     return fact.groupBy("show_session", "is_couple_seat", "has_popcorn").agg(
         F.count(F.lit(1)).alias("so_ve"), F.count("total").alias("so_tong"), F.count("sale_hour").alias("so_gio"),
-        F.sum(F.col("ticket_price").cast(schemas.AMOUNT)).cast("double").alias("gia"),
+        exact_sum(F.col("ticket_price")).cast("double").alias("gia"),
     )
 
 
@@ -176,7 +177,7 @@ def _monthly_sales(spark: SparkSession, d: str) -> DataFrame:
 
 def _monthly_report(orders: DataFrame) -> DataFrame:
     return orders.groupBy("sale_year", "sale_month").agg(
-        F.count(F.lit(1)).alias("so_don"), F.sum(F.col("total").cast(schemas.AMOUNT)).cast("double").alias("doanh_thu")
+        F.count(F.lit(1)).alias("so_don"), exact_sum(F.col("total")).cast("double").alias("doanh_thu")
     )
 
 

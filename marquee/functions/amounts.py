@@ -1,25 +1,48 @@
 """Exact sums, ratios and shares.
 
-Ratios are taken between decimals and rounded half up before they become
-doubles, so a share such as 16.665 % always rounds the same way.
+Amounts are doubles with two decimals. A sum of doubles depends on the order in
+which tasks finish, and a sum of decimals costs ten times as much per row. So each
+amount is taken as whole hundredths and summed in two machine words, a high and a
+low part, which together hold any total over some 10^12 rows without loss.
+
+Ratios are taken between decimals and rounded half up before they become doubles,
+so a share such as 16.665 % always rounds the same way.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from marquee import schemas
 
 _COUNT = "decimal(20,0)"
+_LOW_BITS = 20
+
+
+def hundredths(amount: Column) -> Column:
+    return F.rint(amount * 100).cast("long")
+
+
+def high_part(amount: Column) -> Column:
+    return F.shiftright(hundredths(amount), _LOW_BITS)
+
+
+def low_part(amount: Column) -> Column:
+    return hundredths(amount).bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
 
 
-def amount(column: Column) -> Column:
-    return column.cast(schemas.AMOUNT)
+def joined(high: Column, low: Column) -> Column:
+    """The amount behind a high and a low part, as a decimal."""
+    whole = high.cast(_COUNT) * (1 << _LOW_BITS) + low.cast(_COUNT)
+    return (whole * F.lit(Decimal("0.01"))).cast(schemas.AMOUNT_SUM)
 
 
-def sum_amount(column: Column) -> Column:
-    return F.sum(column).cast(schemas.AMOUNT_SUM)
+def exact_sum(amount: Column) -> Column:
+    """Sum of an amount over a group, as a decimal; null when all are null."""
+    return joined(F.sum(high_part(amount)), F.sum(low_part(amount)))
 
 
 def rounded(value: Column, digits: int = 0) -> Column:

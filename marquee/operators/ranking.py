@@ -8,36 +8,44 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_ntiles(df: DataFrame, key: str, tiles: int, scores: Mapping[str, str], cuts: int = 64) -> DataFrame:
+_ROWS_PER_BAND = 1_000_000
+_MAX_BANDS = 64
+
+
+def with_ntiles(
+    df: DataFrame, key: str, tiles: int, scores: Mapping[str, str], rows_per_band: int = _ROWS_PER_BAND
+) -> DataFrame:
     """Add ``NTILE(tiles) OVER (ORDER BY value, md5(key), key)`` for each ``{out: value}``.
 
     Approximate percentiles cut the value range into bands, which keep the order of
     the rows. A value so frequent that it is itself a cut gets its own band, split
     further by the first two hex digits of ``md5(key)``. The cells are counted, their
     running sum gives the rows before each cell, and a row's place within its cell
-    does the rest. There are at most ``257 * cuts`` cells, whatever the row count.
+    does the rest. There are at most 64 cuts and 257 cells per cut, whatever the row
+    count, so the frame of cells is small enough to broadcast.
 
     ``df`` is read once for the cuts and again per score: pass a stored frame, with
     unique non-null keys and non-null values.
     """
-    at = [i / cuts for i in range(1, cuts)]
-    outs = list(scores)
-    found = df.agg(*[F.percentile_approx(scores[o], at, 10_000).alias(o) for o in outs]).first()
+    at = [i / _MAX_BANDS for i in range(1, _MAX_BANDS)]
+    cuts = [F.percentile_approx(value, at, 10_000).alias(out) for out, value in scores.items()]
+    found = df.agg(F.count(F.lit(1)).alias("rows"), *cuts).first()
+    bands = min(_MAX_BANDS, found["rows"] // rows_per_band + 1)
+    step = _MAX_BANDS // bands
     digest = F.md5(F.col(key).cast("string"))
-    for out in outs:
-        limits = sorted(set(found[out] or []))
-        value = scores[out]
+    scored = df
+    for out, value in scores.items():
+        limits = sorted(set((found[out] or [])[step - 1 :: step]))
         cell = [_band(F.col(value), limits).alias("band"), _splinter(F.col(value), limits, digest).alias("splinter")]
-        offsets = _offsets(df.select(*cell))
         inside = Window.partitionBy("band", "splinter").orderBy(value, digest, key)
         place = F.col("before") + F.row_number().over(inside)
-        df = (
-            df.select("*", *cell)
-            .join(F.broadcast(offsets), ["band", "splinter"])
+        scored = (
+            scored.select("*", *cell)
+            .join(F.broadcast(_offsets(df.select(*cell))), ["band", "splinter"])
             .withColumn(out, _tile(place, F.col("whole"), tiles))
             .drop("band", "splinter", "before", "whole")
         )
-    return df
+    return scored
 
 
 def _band(value: Column, limits: list) -> Column:

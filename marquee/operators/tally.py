@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.amounts import amount, sum_amount
+from marquee.functions.amounts import high_part, joined, low_part
 from marquee.operators.sizing import fits_broadcast
 
 
@@ -32,13 +32,18 @@ class SplitSales:
 
 Sales = DataFrame | SplitSales
 
+MEASURES = (
+    "tickets", "total_high", "total_low", "total_count", "total_squares", "price_high", "price_low", "price_count",
+)
+
 
 def ticket_measures(sales: Sales, *columns: str) -> DataFrame:
     """The given columns beside additive measures, at ticket grain or coarser.
 
-    Measures: tickets, total_sum, total_count, total_squares, price_sum, price_count.
-    Unused ones are pruned from the plan. The rows are input for an aggregate:
-    how many tickets one row stands for is not fixed.
+    Measures: tickets, and for both total and price a high part, a low part and a
+    count (see ``amounts``), with the squares of the total. Unused ones are pruned
+    from the plan. The rows are input for an aggregate: how many tickets one row
+    stands for is not fixed.
     """
     if isinstance(sales, DataFrame):
         return _per_ticket(sales, columns)
@@ -62,46 +67,54 @@ def regroup(measures: DataFrame, *by: str, **more: Column) -> DataFrame:
 
 
 def summed() -> list[Column]:
-    return [
-        F.sum("tickets").alias("tickets"),
-        sum_amount(F.col("total_sum")).alias("total_sum"),
-        F.sum("total_count").alias("total_count"),
-        F.sum("total_squares").alias("total_squares"),
-        sum_amount(F.col("price_sum")).alias("price_sum"),
-        F.sum("price_count").alias("price_count"),
-    ]
+    return [F.sum(name).alias(name) for name in MEASURES]
+
+
+def revenue() -> Column:
+    """The order total behind summed measures."""
+    return joined(F.col("total_high"), F.col("total_low"))
+
+
+def price() -> Column:
+    """The ticket price behind summed measures."""
+    return joined(F.col("price_high"), F.col("price_low"))
 
 
 def _per_ticket(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    total, price = amount(F.col("total")), amount(F.col("ticket_price"))
+    total, price = F.col("total"), F.col("ticket_price")
     return rows.select(
         *columns,
         _present("ticket_id").alias("tickets"),
-        total.alias("total_sum"),
+        high_part(total).alias("total_high"),
+        low_part(total).alias("total_low"),
         _present("total").alias("total_count"),
         (total * total).alias("total_squares"),
-        price.alias("price_sum"),
+        high_part(price).alias("price_high"),
+        low_part(price).alias("price_low"),
         _present("ticket_price").alias("price_count"),
     )
 
 
 def _per_order(tickets: DataFrame, orders: DataFrame, own: list[str], columns: tuple[str, ...]) -> DataFrame:
     """Sum the tickets of an order before the join, so no order is a hot join key."""
-    price = amount(F.col("ticket_price"))
+    price = F.col("ticket_price")
     sums = tickets.groupBy("order_id", *own).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("ticket_id").alias("tickets"),
-        sum_amount(price).alias("price_sum"),
+        F.sum(high_part(price)).alias("price_high"),
+        F.sum(low_part(price)).alias("price_low"),
         F.count("ticket_price").alias("price_count"),
     )
-    total, rows = amount(F.col("total")), F.col("rows").cast("decimal(15,0)")
+    total, rows = F.col("total"), F.col("rows")
     return sums.join(orders, "order_id").select(
         *columns,
         "tickets",
-        (total * rows).alias("total_sum"),
-        F.when(F.col("total").isNotNull(), F.col("rows")).otherwise(F.lit(0)).alias("total_count"),
+        (high_part(total) * rows).alias("total_high"),
+        (low_part(total) * rows).alias("total_low"),
+        (_present("total") * rows).alias("total_count"),
         (total * total * rows).alias("total_squares"),
-        "price_sum",
+        "price_high",
+        "price_low",
         "price_count",
     )
 

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.functions.amounts import amount, ratio, rounded, share, sum_amount
+from marquee.functions.amounts import exact_sum, ratio, rounded, share
 from marquee.operators.lineage import stored
 from marquee.operators.ranking import with_ntiles
-from marquee.operators.tally import Sales, regroup, tally, ticket_measures
+from marquee.operators.tally import Sales, regroup, revenue, summed, tally, ticket_measures
 
 
 def genres_of(films: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def genre_sales(sales: Sales, films: DataFrame) -> DataFrame:
     joined = per_film.join(genres, F.trim(per_film["film_name"]) == genres["title"])
     return (
         regroup(joined, "genre", so_phim=F.count(F.lit(1)))
-        .select("genre", "so_phim", F.col("tickets").alias("so_ve"), rounded(F.col("total_sum")).alias("doanh_thu"))
+        .select("genre", "so_phim", F.col("tickets").alias("so_ve"), rounded(revenue()).alias("doanh_thu"))
         .orderBy(F.desc("doanh_thu"), "genre")
     )
 
@@ -43,7 +43,7 @@ def by_calendar(sales: Sales, dates: DataFrame, *by: str) -> DataFrame:
     joined = tally(sales, "sale_date").join(dates.select("sale_date", *by), "sale_date", "left")
     return (
         regroup(joined, *by, so_ngay=F.count("sale_date"))
-        .select(*by, "so_ngay", F.col("tickets").alias("so_ve"), rounded(F.col("total_sum")).alias("doanh_thu"),
+        .select(*by, "so_ngay", F.col("tickets").alias("so_ve"), rounded(revenue()).alias("doanh_thu"),
                 share(F.col("tickets")).alias("pct_ve"))
         .orderBy(*by)
     )
@@ -79,14 +79,11 @@ def cohort_matrix(retention: DataFrame, months: Sequence[int] = tuple(range(13))
 def rfm(sales: Sales, tiles: int = 5) -> DataFrame:
     """Recency, frequency and spend per customer, each scored 1 (low) to ``tiles`` (high)."""
     visits = ticket_measures(sales, "customer_id", "order_id", "sale_date").filter(F.col("customer_id").isNotNull())
-    customers = visits.groupBy("customer_id").agg(
-        F.max("sale_date").alias("last_date"),
-        F.count_distinct("order_id").alias("so_don"),
-        F.coalesce(sum_amount(F.col("total_sum")), amount(F.lit(0))).alias("spend"),
-    )
-    dated = customers.withColumn("last_day", F.unix_date("last_date"))
-    scored = with_ntiles(stored(dated, "rfm"), "customer_id", tiles, {"r": "last_day", "f": "so_don", "m": "spend"})
-    return scored.select(
+    customers = regroup(
+        visits, "customer_id", last_date=F.max("sale_date"), so_don=F.count_distinct("order_id")
+    ).select("customer_id", "last_date", "so_don", F.coalesce(revenue(), F.lit(0)).alias("spend"))
+    scores = {"r": "last_date", "f": "so_don", "m": "spend"}
+    return with_ntiles(stored(customers, "rfm"), "customer_id", tiles, scores).select(
         "customer_id", "last_date", "so_don", F.col("spend").cast("double").alias("chi_tieu"),
         "r", "f", "m", F.concat("r", "f", "m").alias("rfm"),
     )
@@ -94,30 +91,31 @@ def rfm(sales: Sales, tiles: int = 5) -> DataFrame:
 
 def revenue_per_order(sales: Sales) -> DataFrame:
     """Revenue with the order total counted once per order, beside once per ticket."""
-    per_order = regroup(ticket_measures(sales, "order_id", "total"), "order_id", order_total=F.min(amount(F.col("total"))))
+    per_order = regroup(ticket_measures(sales, "order_id", "total"), "order_id", order_total=F.min("total"))
     return per_order.agg(
-        F.count("order_id").alias("so_don"),
-        F.sum("tickets").alias("so_ve"),
-        rounded(sum_amount(F.col("total_sum"))).alias("doanh_thu"),
-        rounded(sum_amount(F.col("order_total"))).alias("doanh_thu_don"),
+        F.count("order_id").alias("so_don"), exact_sum(F.col("order_total")).alias("once"), *summed()
+    ).select(
+        "so_don", F.col("tickets").alias("so_ve"), rounded(revenue()).alias("doanh_thu"),
+        rounded(F.col("once")).alias("doanh_thu_don"),
     )
 
 
 def popcorn_correlation(sales: Sales) -> DataFrame:
     """Correlation of the popcorn flag with the order total over tickets, to 6 digits.
 
-    Taken from exact moments per flag value, so it is the same on every run.
+    Taken from the moments per flag value, so tickets are summed before any join.
     """
-    flag = F.col("has_popcorn").cast("long")
-    exact = tally(sales, "has_popcorn").filter(F.col("has_popcorn").isNotNull()).agg(
+    per_flag = tally(sales, "has_popcorn").filter(F.col("has_popcorn").isNotNull())
+    flag, total = F.col("has_popcorn").cast("long"), revenue().cast("double")
+    moments = per_flag.agg(
         F.sum("total_count").cast("double").alias("n"),
         F.sum(flag * F.col("total_count")).cast("double").alias("x"),
-        F.sum("total_sum").cast("double").alias("y"),
-        F.sum("total_squares").cast("double").alias("yy"),
-        F.sum(F.when(F.col("has_popcorn"), F.col("total_sum")).otherwise(F.lit(0))).cast("double").alias("xy"),
+        F.sum(total).alias("y"),
+        F.sum("total_squares").alias("yy"),
+        F.sum(flag * total).alias("xy"),
     )
     n, x, y, yy, xy = (F.col(c) for c in ("n", "x", "y", "yy", "xy"))
     spread = F.sqrt((x / n) * (1 - x / n)) * F.sqrt(yy / n - (y / n) * (y / n))
-    return exact.select(
+    return moments.select(
         n.cast("long").alias("so_ve"), F.round(F.try_divide(xy / n - (x / n) * (y / n), spread), 6).alias("tuong_quan")
     )

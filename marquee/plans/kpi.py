@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from marquee import schemas
 from marquee.functions.amounts import ratio, rounded, share
 from marquee.operators.rows import align, top
-from marquee.operators.tally import Sales, regroup, summed, tally, ticket_measures
+from marquee.operators.tally import Sales, price, regroup, revenue, summed, tally, ticket_measures
 from marquee.operators.trends import with_change
 
 
@@ -24,24 +24,20 @@ def _tickets() -> Column:
     return F.col("tickets")
 
 
-def _revenue() -> Column:
-    return F.col("total_sum")
-
-
 def _total(digits: int = 0) -> Column:
-    return rounded(_revenue(), digits)
+    return rounded(revenue(), digits)
 
 
 def _total_per_row() -> Column:
-    return ratio(_revenue(), F.col("total_count"))
+    return ratio(revenue(), F.col("total_count"))
 
 
 def _total_per_ticket(digits: int = 0) -> Column:
-    return ratio(_revenue(), _tickets(), digits)
+    return ratio(revenue(), _tickets(), digits)
 
 
 def _mean_price() -> Column:
-    return ratio(F.col("price_sum"), F.col("price_count"))
+    return ratio(price(), F.col("price_count"))
 
 
 # --- overview -----------------------------------------------------------------
@@ -102,7 +98,7 @@ def weekend_compare(sales: Sales) -> DataFrame:
         "tong_don",
         _total().alias("tong_doanh_thu"),
         _mean_price().alias("gia_ve_tb"),
-        ratio(_revenue(), F.col("days")).alias("dt_tb_moi_ngay"),
+        ratio(revenue(), F.col("days")).alias("dt_tb_moi_ngay"),
     )
 
 
@@ -112,7 +108,7 @@ def weekend_share(sales: Sales) -> DataFrame:
         _day_label(),
         _tickets().alias("tong_ve"),
         _total().alias("tong_doanh_thu"),
-        share(F.round(_revenue(), 0), 2, scale=1).alias("ty_le_doanh_thu"),
+        share(F.round(revenue(), 0), 2, scale=1).alias("ty_le_doanh_thu"),
     )
 
 
@@ -210,7 +206,7 @@ def top_districts(sales: Sales, customers: DataFrame, k: int = 15) -> DataFrame:
     """Districts by revenue, with the spend per customer."""
     listed = _by_customer_group(sales, customers, "district", "city").select(
         "district", "city", "so_khach", _tickets().alias("so_ve"), _total().alias("doanh_thu"),
-        ratio(_revenue(), F.col("so_khach")).alias("chi_tieu_tb_khach"),
+        ratio(revenue(), F.col("so_khach")).alias("chi_tieu_tb_khach"),
     )
     return top(listed, k, F.desc("doanh_thu"), "district", "city")
 
@@ -249,7 +245,7 @@ def room_seat(sales: Sales) -> DataFrame:
     return (
         tally(sales, "room", "slot_type")
         .select("room", "slot_type", _tickets().alias("so_ve"), _total().alias("doanh_thu"),
-                _total_per_row().alias("gia_tb"), share(_revenue()).alias("pct_revenue"),
+                _total_per_row().alias("gia_tb"), share(revenue()).alias("pct_revenue"),
                 _total_per_ticket().alias("revenue_per_ticket"))
         .orderBy(F.desc("doanh_thu"), "room", "slot_type")
     )
@@ -259,7 +255,7 @@ def _breakdown(sales: Sales, by: str, label: Column, mean: str) -> DataFrame:
     return (
         tally(sales, by)
         .select(label, _tickets().alias("so_ve"), _total().alias("doanh_thu"), _total_per_row().alias(mean),
-                share(_tickets()).alias("pct_ve"), share(_revenue()).alias("pct_revenue"),
+                share(_tickets()).alias("pct_ve"), share(revenue()).alias("pct_revenue"),
                 _total_per_ticket().alias("revenue_per_ticket"))
     )
 

@@ -39,9 +39,7 @@ WEEKEND_LABEL, WEEKDAY_LABEL = "Cuối tuần", "Ngày thường"
 POPCORN_LABEL, NO_POPCORN_LABEL = "Có bắp rang", "Không bắp rang"
 UNKNOWN = "Unknown"
 
-# Amounts are stored as double and summed as exact decimals, so that the result
-# does not depend on the order in which tasks finish.
-AMOUNT = T.DecimalType(18, 2)
+# Amounts are stored as double; a sum of them becomes this exact decimal.
 AMOUNT_SUM = T.DecimalType(24, 2)
 
 
