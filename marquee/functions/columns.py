@@ -42,9 +42,19 @@ def address_part(address: Column, position: int) -> Column:
     return F.trim(piece(address, "/", position))
 
 
+def whole_number(text: Column) -> Column:
+    """Integer part of a numeric text, else null.
+
+    The pattern keeps other texts away from the cast, which would raise and catch an
+    exception for each of them.
+    """
+    digits = F.regexp_extract(text, r"^\s*([+-]?\d+)(?:\.\d*)?\s*$", 1)
+    return F.nullif(digits, F.lit("")).try_cast("int")
+
+
 def hour_of_clock(clock: Column) -> Column:
     """Hour of an ``HH:mm`` text; null when it is not a number."""
-    return piece(clock, ":", 0).try_cast("int")
+    return whole_number(piece(clock, ":", 0))
 
 
 def first_number(text: Column) -> Column:

@@ -56,15 +56,16 @@ def order_sales(spark: SparkSession, folder: str) -> SplitSales:
 def event_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Tickets with a show hour, from events; one row per ticket."""
     hour, day = F.hour("ts"), F.col("ts").cast("date")
-    return table(spark, folder, "events").select(
+    timed = table(spark, folder, "events").withColumns({"show_hour": hour, "sale_date": day})
+    return timed.select(
         F.col("event_id").alias("order_id"),
         F.col("event_id").alias("ticket_id"),
         F.col("user_id").alias("customer_id"),
         F.col("event_type").alias("film_name"),
-        day.alias("sale_date"),
-        C.is_weekend(day).alias("is_weekend"),
-        hour.alias("show_hour"),
-        C.show_session(hour).alias("show_session"),
+        "sale_date",
+        C.is_weekend(F.col("sale_date")).alias("is_weekend"),
+        "show_hour",
+        C.show_session(F.col("show_hour")).alias("show_session"),
         F.col("value").alias("ticket_price"),
         F.col("value").alias("total"),
     )
@@ -82,10 +83,11 @@ def films(spark: SparkSession, folder: str) -> DataFrame:
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     age = C.age_in(2019, F.make_date((F.lit(1950) + F.col("c_custkey") % 65).cast("int"), F.lit(1), F.lit(1)))
-    return _customers_with_place(spark, folder).select(
+    aged = _customers_with_place(spark, folder).withColumn("age_2019", age)
+    return aged.select(
         F.col("c_custkey").alias("customer_id"),
-        age.alias("age_2019"),
-        C.age_group(age).alias("age_group"),
+        "age_2019",
+        C.age_group(F.col("age_2019")).alias("age_group"),
         C.gender_label(F.col("c_mktsegment"), SEGMENT_GENDERS).alias("gender"),
         F.col("n_name").alias("district"),
         F.col("r_name").alias("city"),
@@ -106,7 +108,7 @@ def raw_tickets(spark: SparkSession, folder: str) -> DataFrame:
     """Every line item as a raw ticket row: all text, padded, with gaps and bad values."""
     line, quantity = F.col("l_linenumber"), F.col("l_quantity").cast("int")
     order_day = F.col("o_orderdate").cast("date")
-    iso, local = F.date_format(order_day, "yyyy-MM-dd"), F.date_format(order_day, "dd/MM/yyyy")
+    iso, local = order_day.cast("string"), F.date_format(order_day, "dd/MM/yyyy")
     clock = F.concat(F.lpad((F.col("l_partkey") % 24).cast("string"), 2, "0"), F.lit(":15:00"))
     show = F.concat(F.lpad((quantity % 24).cast("string"), 2, "0"), F.lit(":30"))
     joined = table(spark, folder, "lineitem").join(

@@ -80,7 +80,6 @@ def build_fact_ticket(raw: DataFrame, null_session: str | None = None, dedupe: b
     ``sale_date`` is the date of the screening; the hour of sale comes from ``saledate``.
     Rows without order, customer, film, date or a positive price are dropped.
     """
-    show_hour = C.hour_of_clock(F.col("time"))
     fact = raw.select(
         F.col("orderid").alias("order_id"),
         F.col("ticketcode").alias("ticket_id"),
@@ -89,10 +88,9 @@ def build_fact_ticket(raw: DataFrame, null_session: str | None = None, dedupe: b
         F.try_to_date("date").alias("sale_date"),
         F.hour(F.try_to_timestamp("saledate")).alias("sale_hour"),
         "time",
-        show_hour.alias("show_hour"),
-        C.show_session(show_hour, null_session).alias("show_session"),
+        C.hour_of_clock(F.col("time")).alias("show_hour"),
         "slot",
-        F.col("room").try_cast("int").alias("room"),
+        C.whole_number(F.col("room")).alias("room"),
         F.trim("slot_type").alias("slot_type"),
         C.is_couple(F.col("slot_type")).alias("is_couple_seat"),
         F.trim("ticket_type").alias("ticket_type"),
@@ -102,7 +100,11 @@ def build_fact_ticket(raw: DataFrame, null_session: str | None = None, dedupe: b
         F.trim("cashier").alias("cashier"),
     )
     kept = fact.dropna(subset=["order_id", "customer_id", "film_name", "sale_date"]).filter(F.col("ticket_price") > 0)
-    kept = kept.withColumn("is_weekend", C.is_weekend(F.col("sale_date"))).select(*schemas.FACT_TICKET.names)
+    derived = {
+        "is_weekend": C.is_weekend(F.col("sale_date")),
+        "show_session": C.show_session(F.col("show_hour"), null_session),
+    }
+    kept = kept.withColumns(derived).select(*schemas.FACT_TICKET.names)
     return kept.distinct() if dedupe else kept
 
 
