@@ -44,16 +44,22 @@ def ticket_measures(sales: Sales, *columns: str) -> DataFrame:
     count (see ``amounts``), with the squares of the total. Unused ones are pruned
     from the plan. The rows are input for an aggregate: how many tickets one row
     stands for is not fixed.
+
+    Split sales are joined in one of three ways. Small order tables are broadcast.
+    Otherwise, without ticket columns, tickets are summed per order first: the join
+    then reuses that shuffle and no order is hot. With ticket columns such a sum would
+    cost a second shuffle, so tickets are joined as they are; adaptive execution splits
+    an order that fills a whole partition.
     """
     if isinstance(sales, DataFrame):
         return _per_ticket(sales, columns)
     wanted = dict.fromkeys(("order_id", "total", *columns))
     orders = sales.orders.select(*[c for c in wanted if c in sales.orders.columns])
     own = [c for c in columns if c in sales.tickets.columns and c != "order_id"]
-    if fits_broadcast(orders):
+    if own or fits_broadcast(orders):
         tickets = sales.tickets.select("order_id", *own, "ticket_id", "ticket_price")
         return _per_ticket(tickets.join(orders, "order_id"), columns)
-    return _per_order(sales.tickets, orders, own, columns)
+    return _per_order(sales.tickets, orders, columns)
 
 
 def tally(sales: Sales, *by: str) -> DataFrame:
@@ -95,10 +101,10 @@ def _per_ticket(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     )
 
 
-def _per_order(tickets: DataFrame, orders: DataFrame, own: list[str], columns: tuple[str, ...]) -> DataFrame:
+def _per_order(tickets: DataFrame, orders: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Sum the tickets of an order before the join, so no order is a hot join key."""
     price = F.col("ticket_price")
-    sums = tickets.groupBy("order_id", *own).agg(
+    sums = tickets.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("ticket_id").alias("tickets"),
         F.sum(high_part(price)).alias("price_high"),

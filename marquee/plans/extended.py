@@ -52,18 +52,20 @@ def by_calendar(sales: Sales, dates: DataFrame, *by: str) -> DataFrame:
 def cohort_retention(sales: Sales) -> DataFrame:
     """Customers by month of first visit and months since, with the share still active.
 
-    A customer travels as one set of active months, whose size the calendar bounds.
+    Visits are first reduced to one row per customer and month, so a customer's window
+    holds no more rows than the calendar has months.
     """
     month = (F.year("sale_date") * 12 + F.month("sale_date") - 1).alias("month")
-    visits = ticket_measures(sales, "customer_id", "sale_date").select("customer_id", month)
-    active = visits.groupBy("customer_id").agg(F.min("month").alias("first"), F.collect_set("month").alias("months"))
-    spread = active.select("first", F.explode("months").alias("month"))
-    counted = spread.groupBy("first", (F.col("month") - F.col("first")).alias("thang_thu")).agg(
-        F.count(F.lit(1)).alias("so_khach")
+    visits = ticket_measures(sales, "customer_id", "sale_date").select("customer_id", month).distinct()
+    first = F.min("month").over(Window.partitionBy("customer_id"))
+    since = F.col("month") - F.col("first")
+    counted = (
+        visits.withColumn("first", first).groupBy("first", since.alias("thang_thu")).agg(F.count(F.lit(1)).alias("so_khach"))
     )
     size = F.max(F.when(F.col("thang_thu") == 0, F.col("so_khach"))).over(Window.partitionBy("first"))
+    year, month_of_year = F.floor(F.col("first") / 12).cast("int"), (F.col("first") % 12 + 1).cast("int")
     return counted.select(
-        F.make_date(F.floor(F.col("first") / 12).cast("int"), (F.col("first") % 12 + 1).cast("int"), F.lit(1)).alias("cohort"),
+        F.make_date(year, month_of_year, F.lit(1)).alias("cohort"),
         "thang_thu",
         "so_khach",
         ratio(F.col("so_khach") * 100, size, 2).alias("pct_giu_lai"),

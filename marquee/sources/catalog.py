@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# insertInto reads the overwrite mode from the session, not from writer options.
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
 class RowCountMismatch(RuntimeError):
     """A stored table that does not hold the rows it was given."""
 
@@ -27,17 +31,26 @@ def save_table(
     With ``only_touched`` an existing partitioned table keeps the partitions that
     get no new rows, and its schema.
     """
-    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite")
-    if only_touched and df.sparkSession.catalog.tableExists(name):
-        columns = df.sparkSession.table(name).columns
-        writer = df.select(*columns).hint("rebalance", *partition_by).write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").insertInto(name)
+    spark = df.sparkSession
+    if only_touched and spark.catalog.tableExists(name):
+        ordered = df.select(*spark.table(name).columns)
+        mode = spark.conf.get(_OVERWRITE_MODE)
+        spark.conf.set(_OVERWRITE_MODE, "dynamic")
+        try:
+            _spread(ordered, partition_by).write.mode("overwrite").insertInto(name)
+        finally:
+            spark.conf.set(_OVERWRITE_MODE, mode)
         return
+    writer = _spread(df, partition_by).write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
-    writer.format("parquet").saveAsTable(name)
+    writer.saveAsTable(name)
+
+
+def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    return df.hint("rebalance", *partition_by) if partition_by else df
 
 
 def list_tables(spark: SparkSession, schema: str) -> DataFrame:

@@ -57,16 +57,18 @@ class SnapshotTable:
     def compact(self, target_bytes: int = 128 * 1024 * 1024) -> int:
         """Rewrite the latest version into files of about the target size, as a new version.
 
-        Files are cut by ranges of partition values and a row hash: a large partition
-        is spread over several tasks and a small one stays in one.
+        Files are cut by ranges of partition values and a hash of each row's place, so a
+        large partition, or a large group of equal rows, is spread over several tasks
+        while a small partition stays in one.
         """
         entry = self._entry(None)
         current = self.spark.read.parquet(entry["path"])
         stored = list_files(self.spark, entry["path"], "*.parquet").agg(F.sum("bytes")).first()[0] or 0
         files = max(1, math.ceil(stored / target_bytes))
         partition_by = entry["partition_by"]
-        cut = current.repartitionByRange(files, *partition_by, F.xxhash64(*current.columns))
-        return self._commit(cut, partition_by, "compact", expected=entry["rows"])
+        place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+        placed = current.withColumn("_place", place).repartitionByRange(files, *partition_by, "_place")
+        return self._commit(placed.drop("_place"), partition_by, "compact", expected=entry["rows"])
 
     def check(self, version: int | None = None) -> None:
         """Raise unless a version still holds the rows its log entry states."""
