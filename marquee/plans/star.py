@@ -86,7 +86,7 @@ def build_fact_ticket(raw: DataFrame, null_session: str | None = None, dedupe: b
         F.col("customerid").alias("customer_id"),
         F.trim("film").alias("film_name"),
         F.try_to_date("date").alias("sale_date"),
-        F.hour(F.try_to_timestamp("saledate")).alias("sale_hour"),
+        F.hour(F.col("saledate").try_cast("timestamp_ntz")).alias("sale_hour"),
         "time",
         C.hour_of_clock(F.col("time")).alias("show_hour"),
         "slot",

@@ -7,6 +7,7 @@ stay readable. One writer per table at a time is assumed.
 
 from __future__ import annotations
 
+import json
 import math
 import uuid
 from collections.abc import Sequence
@@ -15,11 +16,15 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from marquee.sources.catalog import check_rows
+from marquee.sources.catalog import RowCountMismatch, check_rows
 from marquee.sources.files import list_files
 
-_LOG = "version bigint, written_at timestamp, operation string, rows bigint, path string, partition_by array<string>"
+_LOG = (
+    "version bigint, written_at timestamp, operation string, rows bigint, "
+    "path string, partition_by array<string>, schema string"
+)
 
 
 class VersionNotFound(LookupError):
@@ -32,7 +37,7 @@ class SnapshotTable:
     root: str
 
     def log(self) -> DataFrame:
-        """All versions: version, written_at, operation, rows, path, partition_by."""
+        """All versions, with operation, time, row count, folder, partition columns and schema."""
         try:
             return self.spark.read.schema(_LOG).parquet(f"{self.root}/log")
         except AnalysisException as error:
@@ -47,7 +52,7 @@ class SnapshotTable:
 
     def read(self, version: int | None = None) -> DataFrame:
         """The latest version, or the given one."""
-        return self.spark.read.parquet(self._entry(version)["path"])
+        return self._open(self._entry(version))
 
     def overwrite(self, df: DataFrame, partition_by: Sequence[str] = (), operation: str = "overwrite") -> int:
         """Store a new version and return its number."""
@@ -62,18 +67,22 @@ class SnapshotTable:
         while a small partition stays in one.
         """
         entry = self._entry(None)
-        current = self.spark.read.parquet(entry["path"])
         stored = list_files(self.spark, entry["path"], "*.parquet").agg(F.sum("bytes")).first()[0] or 0
         files = max(1, math.ceil(stored / target_bytes))
         partition_by = entry["partition_by"]
         place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-        placed = current.withColumn("_place", place).repartitionByRange(files, *partition_by, "_place")
+        placed = self._open(entry).withColumn("_place", place).repartitionByRange(files, *partition_by, "_place")
         return self._commit(placed.drop("_place"), partition_by, "compact", expected=entry["rows"])
 
     def check(self, version: int | None = None) -> None:
         """Raise unless a version still holds the rows its log entry states."""
         entry = self._entry(version)
-        check_rows(self.spark.read.parquet(entry["path"]), entry["rows"], f"{self.root} version {entry['version']}")
+        check_rows(self._open(entry), entry["rows"], f"{self.root} version {entry['version']}")
+
+    def _open(self, entry) -> DataFrame:
+        """Rows of a version with exactly the column types that were written."""
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        return self.spark.read.schema(schema).parquet(entry["path"]).select(*[f"`{c}`" for c in schema.names])
 
     def _entry(self, version: int | None):
         log = self.log()
@@ -89,16 +98,17 @@ class SnapshotTable:
         path = f"{self.root}/data/v{version}-{uuid.uuid4().hex[:8]}"
         writer = df.write.mode("errorifexists")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-        stored = self.spark.read.parquet(path)
-        if expected is not None:
-            check_rows(stored, expected, path)
+        rows = self.spark.read.schema(df.schema).parquet(path).count()
+        if expected not in (None, rows):
+            raise RowCountMismatch(f"{path}: {expected} rows expected, {rows} rows stored")
         entry = self.spark.range(1).select(
             F.lit(version).cast("bigint").alias("version"),
             F.current_timestamp().alias("written_at"),
             F.lit(operation).alias("operation"),
-            F.lit(stored.count()).cast("bigint").alias("rows"),
+            F.lit(rows).cast("bigint").alias("rows"),
             F.lit(path).alias("path"),
             F.array(*[F.lit(c) for c in partition_by]).cast("array<string>").alias("partition_by"),
+            F.lit(df.schema.json()).alias("schema"),
         )
         entry.coalesce(1).write.mode("append").parquet(f"{self.root}/log")
         return version

@@ -137,6 +137,14 @@ def test_snapshots(spark, tmp_path):
     table.check(0)
 
 
+def test_snapshot_keeps_column_types_and_order(spark, tmp_path):
+    table = SnapshotTable(spark, f"{tmp_path}/t")
+    df = spark.createDataFrame([("01", 1, "x"), ("2", 2, None)], "code string, n int, s string")
+    table.overwrite(df, ["code"])
+    assert table.read().schema.simpleString() == df.schema.simpleString()
+    assert sorted(rows_of(table.read())) == [("01", 1, "x"), ("2", 2, None)]
+
+
 def test_failed_write_stays_invisible(spark, tmp_path):
     table = SnapshotTable(spark, f"{tmp_path}/t")
     table.overwrite(spark.range(3))
