@@ -229,8 +229,7 @@ def partition_replaced(spark: SparkSession, d: str) -> DataFrame:
 
 def catalog_tables(spark: SparkSession, d: str) -> DataFrame:
     """Star tables saved in the catalog and read back by name."""
-    before = spark.catalog.currentDatabase()
-    schema = "marquee_" + scratch_path(spark, "").rsplit("-", 1)[-1][:12]
+    before, schema = spark.catalog.currentDatabase(), "marquee_check"
     catalog.use_schema(spark, schema, scratch_path(spark, schema))
     try:
         orders = _monthly_sales(spark, d)

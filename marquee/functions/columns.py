@@ -59,7 +59,7 @@ def hour_of_clock(clock: Column) -> Column:
 
 def first_number(text: Column) -> Column:
     """First run of digits in a text as an integer, else null."""
-    return F.when(text.rlike(r"\d+"), F.regexp_extract(text, r"(\d+)", 1).try_cast("int"))
+    return F.nullif(F.regexp_extract(text, r"(\d+)", 1), F.lit("")).try_cast("int")
 
 
 def gender_label(code: Column, codes: Mapping[str, Sequence[str]] = schemas.GENDER_CODES) -> Column:
