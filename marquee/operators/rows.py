@@ -26,6 +26,14 @@ def top(df: DataFrame, k: int, *order: Column | str) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
+def side_by_side(*frames: DataFrame) -> DataFrame:
+    """Several one-row frames with different columns as one row, without a join."""
+    stacked = frames[0]
+    for frame in frames[1:]:
+        stacked = stacked.unionByName(frame, allowMissingColumns=True)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def label_frame(spark: SparkSession, column: str, labels: Sequence[str]) -> DataFrame:
     """Labels with their position, in columns ``column`` and ``position``."""
     entries = [F.struct(F.lit(i).alias("position"), F.lit(v).alias(column)) for i, v in enumerate(labels)]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marquee import schemas
 from marquee.functions.amounts import ratio, rounded, share
-from marquee.operators.rows import align, top
+from marquee.operators.rows import align, side_by_side, top
 from marquee.operators.tally import Sales, price, regroup, revenue, summed, tally, ticket_measures
 from marquee.operators.trends import with_change
 
@@ -44,27 +44,33 @@ def _mean_price() -> Column:
 
 
 def summary(sales: Sales) -> DataFrame:
-    """One row: orders, tickets, customers, films, revenue, mean price, first and last date."""
-    return (
-        ticket_measures(sales, "order_id", "customer_id", "film_name", "sale_date")
-        .agg(
-            F.count_distinct("order_id").alias("tong_don_hang"),
-            F.count_distinct("customer_id").alias("tong_khach_hang"),
-            F.count_distinct("film_name").alias("tong_phim"),
-            F.min("sale_date").alias("ngay_dau"),
-            F.max("sale_date").alias("ngay_cuoi"),
-            *summed(),
-        )
-        .select(
-            "tong_don_hang",
-            _tickets().alias("tong_ve_ban"),
-            "tong_khach_hang",
-            "tong_phim",
-            _total().alias("tong_doanh_thu_vnd"),
-            _mean_price().alias("gia_ve_tb_vnd"),
-            "ngay_dau",
-            "ngay_cuoi",
-        )
+    """One row: orders, tickets, customers, films, revenue, mean price, first and last date.
+
+    Each distinct count is a narrow pass of its own. Counted together they would need
+    every ticket once per counted column in the shuffle's hash tables.
+    """
+    orders = regroup(
+        ticket_measures(sales, "order_id", "sale_date"), "order_id",
+        first=F.min("sale_date"), last=F.max("sale_date"),
+    ).agg(
+        F.count("order_id").alias("tong_don_hang"), F.min("first").alias("ngay_dau"), F.max("last").alias("ngay_cuoi"),
+        *summed(),
+    )
+    customers = ticket_measures(sales, "customer_id").select("customer_id").distinct()
+    films = ticket_measures(sales, "film_name").select("film_name").distinct()
+    return side_by_side(
+        orders,
+        customers.agg(F.count("customer_id").alias("tong_khach_hang")),
+        films.agg(F.count("film_name").alias("tong_phim")),
+    ).select(
+        "tong_don_hang",
+        _tickets().alias("tong_ve_ban"),
+        "tong_khach_hang",
+        "tong_phim",
+        _total().alias("tong_doanh_thu_vnd"),
+        _mean_price().alias("gia_ve_tb_vnd"),
+        "ngay_dau",
+        "ngay_cuoi",
     )
 
 
