@@ -12,7 +12,7 @@ from marquee import schemas
 from marquee.functions import columns as C
 from marquee.functions.amounts import exact_sum
 from marquee.operators import quality
-from marquee.plans import extended, feeds, kpi, pipeline, star
+from marquee.plans import extended, feeds, full_run, kpi, star
 from marquee.plans import order_lines as shop
 from marquee.session import scratch_path
 from marquee.sources import catalog, delimited, files
@@ -257,7 +257,7 @@ def schema_report(spark: SparkSession, d: str) -> DataFrame:
 
 def kpi_export(spark: SparkSession, d: str) -> DataFrame:
     """The exported film report, read back from its stored version."""
-    tables = pipeline.export_kpis(
+    tables = full_run.export_kpis(
         spark, shop.order_sales(spark, d), shop.films(spark, d), shop.customers(spark, d), scratch_path(spark, "kpi")
     )
     return tables["analytics_top_films"].read()
@@ -265,8 +265,8 @@ def kpi_export(spark: SparkSession, d: str) -> DataFrame:
 
 def star_store(spark: SparkSession, d: str) -> DataFrame:
     """The stored star after a full run over raw tables: revenue by rating and gender."""
-    built = pipeline.build_star(shop.raw_films(spark, d), shop.raw_customers(spark, d), shop.raw_tickets(spark, d))
-    stored = pipeline.store_star(spark, built, scratch_path(spark, "star"))
+    built = full_run.build_star(shop.raw_films(spark, d), shop.raw_customers(spark, d), shop.raw_tickets(spark, d))
+    stored = full_run.store_star(spark, built, scratch_path(spark, "star"))
     return kpi.rating_mix(stored["fact_ticket"].read(), stored["dim_film"].read())
 
 

@@ -52,6 +52,12 @@ def whole_number(text: Column) -> Column:
     return F.nullif(digits, F.lit("")).try_cast("int")
 
 
+def finite_number(text: Column, limit: float = 1e15) -> Column:
+    """Number of a text, else null; also null when not finite or beyond the limit of exact sums."""
+    number = text.try_cast("double")
+    return F.when(F.abs(number) < limit, number)
+
+
 def hour_of_clock(clock: Column) -> Column:
     """Hour of an ``HH:mm`` text; null when it is not a number."""
     return whole_number(piece(clock, ":", 0))

@@ -94,8 +94,8 @@ def build_fact_ticket(raw: DataFrame, null_session: str | None = None, dedupe: b
         F.trim("slot_type").alias("slot_type"),
         C.is_couple(F.col("slot_type")).alias("is_couple_seat"),
         F.trim("ticket_type").alias("ticket_type"),
-        F.col("ticket_price").try_cast("double").alias("ticket_price"),
-        F.col("total").try_cast("double").alias("total"),
+        C.finite_number(F.col("ticket_price")).alias("ticket_price"),
+        C.finite_number(F.col("total")).alias("total"),
         C.is_yes(F.col("popcorn")).alias("has_popcorn"),
         F.trim("cashier").alias("cashier"),
     )

@@ -19,6 +19,7 @@ def local_session(cpus: int | str = "*", name: str = "marquee", **settings: str)
         .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", partitions)
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64MB")
     )
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -31,6 +31,11 @@ def test_whole_number(spark):
     assert values(spark, C.whole_number, texts) == [12, 7, -3, 4, 12, 12, None, None, None, None, None]
 
 
+def test_finite_number(spark):
+    texts = ["90000", "-1.5", "1e3", "x", "", None, "NaN", "Infinity", "1e16"]
+    assert values(spark, C.finite_number, texts) == [90000.0, -1.5, 1000.0, None, None, None, None, None, None]
+
+
 def test_address_parts(spark):
     addresses = ["a / b/ c ", "a/b", None, ""]
     assert values(spark, lambda v: C.address_part(v, 1), addresses) == ["b", "b", None, None]

@@ -6,7 +6,7 @@ import pytest
 
 from marquee import schemas
 from marquee.operators import quality
-from marquee.plans import kpi, pipeline, star
+from marquee.plans import full_run, kpi, star
 from support import as_dicts, rows_of
 
 FILMS = """show_id;film name;director;cast;country;release_year;rating;duration;listed_in;Description
@@ -49,15 +49,15 @@ def run(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("cinema")
     for name, text in (("Film", FILMS), ("Customer", CUSTOMERS), ("Ticket", TICKETS)):
         (folder / f"{name}.csv").write_text(text, encoding="utf-8-sig")
-    pipeline.stage(spark, str(folder), f"{folder}/staging")
+    full_run.stage(spark, str(folder), f"{folder}/staging")
     staged = [spark.read.parquet(f"{folder}/staging/{n}") for n in ("film", "customer", "ticket")]
-    built = pipeline.build_star(*staged)
-    return built, pipeline.store_star(spark, built, f"{folder}/star"), str(folder)
+    built = full_run.build_star(*staged)
+    return built, full_run.store_star(spark, built, f"{folder}/star"), str(folder)
 
 
 def test_schemas(run):
     built, *_ = run
-    for name in pipeline.STAR_TABLES:
+    for name in full_run.STAR_TABLES:
         wanted = getattr(schemas, name.upper())
         got = getattr(built, name).schema
         assert [(f.name, f.dataType) for f in got] == [(f.name, f.dataType) for f in wanted]
@@ -138,7 +138,7 @@ def test_stored_star_gives_the_same_reports(spark, run):
         assert rows_of(report(fact)) == rows_of(report(built.fact_ticket))
     mix = {r["genre"]: r["so_ve"] for r in as_dicts(kpi.rating_mix(fact, stored["dim_film"].read()))}
     assert mix == {"PG-13": 3, "R": 1, "Unknown": 1}
-    tables = pipeline.export_kpis(spark, fact, stored["dim_film"].read(), stored["dim_customer"].read(), f"{folder}/kpi")
+    tables = full_run.export_kpis(spark, fact, stored["dim_film"].read(), stored["dim_customer"].read(), f"{folder}/kpi")
     assert rows_of(tables["analytics_top_films"].read())[0][:2] == ("HỒI KẾT", "PG-13")
     assert tables["analytics_customer_age"].history().first()["rows"] == 4
 
