@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import pathlib
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_HERE = str(pathlib.Path(__file__).resolve().parent)
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 import oracle
 from marquee import schemas
 from marquee.functions import columns as C
