@@ -24,6 +24,11 @@ from marquee.session import scratch_path
 from marquee.sources import catalog, delimited, files
 from marquee.sources.snapshots import SnapshotTable
 
+try:
+    from marquee.llm import queries as llm
+except ImportError:
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -355,8 +360,10 @@ def queries() -> dict[str, Query]:
         "revenue_dedup": _sales(extended.revenue_per_order),
         "popcorn_corr": _sales(extended.popcorn_correlation),
         "by_ticket_type": _sales(kpi.ticket_type),
+        # training-data operators
+        **(llm.queries() if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return {**oracle.statements(), **(llm.oracle_sql() if llm else {})}
