@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import shutil
+import tempfile
+from collections.abc import Callable, Sequence
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marquee.operators.lineage import stored
@@ -13,6 +16,21 @@ from marquee.operators.lineage import stored
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable on the executors, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent.parent
+    # the driver serves this file to executors as long as the application runs
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='package-')}/{root.name}", "zip", root.parent, root.name)
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def whole_text(text: str = "text") -> Column:
     """The text, or an empty one for null."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
@@ -27,6 +45,37 @@ def word_count(text: str = "text") -> Column:
     return F.regexp_count(whole_text(text), F.lit(WORD)).cast("long")
 
 
+#: Slots of a key filter: its size in bytes.
+_FILTER_SLOTS = 2**20
+_CHUNK_SLOTS = 4096
+
+
+def _slot(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(_FILTER_SLOTS))
+
+
+def may_contain(keys: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A condition that holds for all keys in ``keys``, and for few others while they are few.
+
+    The keys set slots in a filter of fixed size (1 MiB), which reaches the tasks as a
+    scalar, so a join that follows needs to shuffle only rows that may match.
+    """
+    slots = keys.select(_slot(F.col(key)).alias("slot"))
+    chunk, at = F.floor(F.col("slot") / _CHUNK_SLOTS).cast("int"), F.col("slot") % _CHUNK_SLOTS
+    chunks = slots.groupBy(chunk.alias("chunk")).agg(F.bitmap_construct_agg(at * 8).alias("set"))
+    held = F.map_from_entries(F.collect_list(F.struct("chunk", "set")))
+    none = F.unhex(F.repeat(F.lit("00"), _CHUNK_SLOTS))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(_FILTER_SLOTS // _CHUNK_SLOTS - 1)), lambda i: F.coalesce(F.element_at("held", i), none))
+    bits = chunks.agg(held.alias("held")).select(dense.alias("filter")).scalar()
+
+    def test(column: Column) -> Column:
+        slot = _slot(column)
+        part = F.element_at(bits, (F.floor(slot / _CHUNK_SLOTS) + 1).cast("int"))
+        return F.substr(part, (slot % _CHUNK_SLOTS + 1).cast("int"), F.lit(1)) == F.lit(bytearray(b"\x01"))
+
+    return test
+
+
 def prefix_sums(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], weight: str, out: str, name: str
 ) -> DataFrame:

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marquee.llm.common import may_contain
 from marquee.operators.lineage import stored
 
 
@@ -56,7 +57,8 @@ def linked(
     share a bucket, and returns a function that keeps the pairs (a, b) that are linked.
     """
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    live = stored(members.join(shared, "bucket"), name)
+    shared = stored(shared, name)
+    live = stored(members.filter(may_contain(shared, "bucket")(F.col("bucket"))).join(shared, "bucket"), name)
     mass = live.groupBy("id").agg(F.sum(F.col("n") - 1).alias("mass"))
     known = stored(mass.join(payload, "id"), name)
     confirm = prepare(known.select("id"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import text_key, whole_text
+from marquee.llm.common import may_contain, text_key, whole_text
 from marquee.llm.linking import linked
 from marquee.operators.lineage import stored
 
@@ -170,8 +170,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, name: str = "minhash") -
         return sizes & (estimated_similarity(x["bits"], y["bits"]) >= least)
 
     def prepare(live: DataFrame):
-        wanted = classes.join(live, "id").select("id", "text_key")
-        texts = docs.select(text_key().alias("text_key"), whole_text().alias("text")).join(wanted, "text_key")
+        wanted = stored(classes.join(live, "id").select("id", "text_key"), name)
+        texts = docs.select(text_key().alias("text_key"), whole_text().alias("text"))
+        texts = texts.filter(may_contain(wanted, "text_key")(F.col("text_key"))).join(wanted, "text_key")
         sets = stored(_shingles(texts.dropDuplicates(["id"]).select("id", "text")), name)
 
         def confirm(pairs: DataFrame) -> DataFrame:

@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import byte_bpe, minhash, mixing, sharding, token_files, topk
+from marquee.llm import byte_bpe, line_dedup, minhash, mixing, pii, sharding, syncmers, token_files, topk, toxicity
+from marquee.llm.common import ship_package
 from marquee.session import scratch_path
 
+#: The key of the registered query; a deployment passes its own.
+PII_SECRET = "example key"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -44,10 +49,29 @@ def op5_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     return byte_bpe.digests(coded, ranks)
 
 
+def op6_feistel_pii(spark: SparkSession, d: str) -> DataFrame:
+    named = pii.pseudonymise(table(spark, d, "documents"), PII_SECRET)
+    return named.select("doc_id", F.size("_found").alias("found"), F.col("_changed").alias("changed"), "text")
+
+
+def op7_ngram_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return toxicity.scores(docs, toxicity.fit(docs, table(spark, d, "labels")))
+
+
+def op8_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, d, "documents"))
+    return kept.select("doc_id", F.col("_lines").alias("lines"), F.col("_dropped").alias("dropped"), "text")
+
+
 def op9_source_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix_words(table(spark, d, "documents")).drop("source")
 
 
+def op10_closed_syncmers(spark: SparkSession, d: str) -> DataFrame:
+    return syncmers.edited_fingerprints(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_kd_shards": op1_kd_shards,
@@ -55,7 +79,11 @@ def queries() -> dict[str, Query]:
         "op3_segment_topk": op3_segment_topk,
         "op4_token_files": op4_token_files,
         "op5_byte_bpe": op5_byte_bpe,
+        "op6_feistel_pii": op6_feistel_pii,
+        "op7_ngram_toxicity": op7_ngram_toxicity,
+        "op8_line_dedup": op8_line_dedup,
         "op9_source_mix": op9_source_mix,
+        "op10_closed_syncmers": op10_closed_syncmers,
     }
 
 
