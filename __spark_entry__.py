@@ -25,6 +25,7 @@ from marquee.sources import catalog, delimited, files
 from marquee.sources.snapshots import SnapshotTable
 
 try:
+    import corpus_pipeline
     from marquee.llm import queries as llm
 except ImportError:
     llm = None
@@ -361,7 +362,7 @@ def queries() -> dict[str, Query]:
         "popcorn_corr": _sales(extended.popcorn_correlation),
         "by_ticket_type": _sales(kpi.ticket_type),
         # training-data operators
-        **(llm.queries() if llm else {}),
+        **({**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
