@@ -33,32 +33,62 @@ PAGE_BYTES = 256 * 1024
 
 _CACHED_WORDS = 400_000
 _CACHED_LENGTH = 64
+_WORD_END = "</w>"
+_MARKS = b".,!?;:"
 _encoders: dict[str, tuple] = {}
 
 
 def _encoder(vocabulary: str) -> tuple:
-    """The tokenizer and this worker's word cache."""
+    """The tokenizer, whether each id ends a word, and this worker's word cache."""
     if vocabulary not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(vocabulary)
         tokenizer.encode_special_tokens = True
-        _encoders[vocabulary] = tokenizer, {}
+        names = tokenizer.get_vocab(with_added_tokens=True)
+        ends = np.zeros(max(names.values()) + 1, bool)
+        ends[[i for name, i in names.items() if name.endswith(_WORD_END)]] = True
+        _encoders[vocabulary] = tokenizer, ends, {}
     return _encoders[vocabulary]
 
 
+def _encode_words(words: list[str], tokenizer, ends: np.ndarray) -> list[bytes]:
+    """Ids of single words; words of letters alone are encoded as one text and parted at word ends."""
+    out: list[bytes] = []
+    for start in range(0, len(words), 5_000):
+        part = words[start : start + 5_000]
+        if all(map(str.isalpha, part)):
+            ids = np.asarray(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            stops = np.flatnonzero(ends[ids]) + 1
+            if len(stops) == len(part):
+                out += [ids[a:b].tobytes() for a, b in zip([0, *stops[:-1].tolist()], stops.tolist())]
+                continue
+        out += [np.asarray(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+    return out
+
+
 def encode_texts(texts: list[bytes], vocabulary: str) -> list[bytes]:
-    """Ids of each text as little-endian 32-bit integers."""
-    tokenizer, cache = _encoder(vocabulary)
-    words = [text.split() for text in texts]
+    """Ids of each text as little-endian 32-bit integers.
+
+    The normaliser lowers letters in any case, and a letter and a mark after it are never
+    one token, so ``word,`` has the ids of ``word`` and of ``,``.
+    """
+    tokenizer, ends, cache = _encoder(vocabulary)
+    words = [text.lower().split() for text in texts]
     if len(cache) > _CACHED_WORDS:
         cache.clear()
-    missing = list(set(chain.from_iterable(words)).difference(cache))
-    for start in range(0, len(missing), 20_000):
-        part = missing[start : start + 20_000]
-        coded = tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-        cache.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(part, coded))
+    missing = set(chain.from_iterable(words)).difference(cache)
+    parted = {}
+    for word in missing:
+        base = word.rstrip(_MARKS)
+        if len(base) < len(word) and base[-1:].isalpha():
+            parted[word] = base, word[len(base) :]
+    single = list(missing.difference(parted).union(chain.from_iterable(parted.values())).difference(cache))
+    plain = {w: w.decode("utf-8", "replace") for w in single}
+    for group in ([w for w in single if plain[w].isalpha()], [w for w in single if not plain[w].isalpha()]):
+        cache.update(zip(group, _encode_words([plain[w] for w in group], tokenizer, ends)))
+    cache.update({word: cache[base] + cache[marks] for word, (base, marks) in parted.items()})
     found = [b"".join(map(cache.__getitem__, w)) for w in words]
     for word in missing:
         if len(word) > _CACHED_LENGTH:
