@@ -49,12 +49,15 @@ def linked(
     may_link: Callable[[Column, Column], Column],
     prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]],
     name: str,
+    sharpen: Callable[[DataFrame], tuple[DataFrame, Callable[[Column, Column], Column]]] | None = None,
 ) -> DataFrame:
     """(id, root) of items with a link.
 
     ``members`` has (bucket, id), ``payload`` (id, p). ``may_link`` compares two payloads
     and must hold for every pair that is to be linked. ``prepare`` gets the ids (id) that
     share a bucket, and returns a function that keeps the pairs (a, b) that are linked.
+    ``sharpen`` may give a second condition for the items (id) left to the second round:
+    rows (id, s) and a comparison of two ``s`` that holds for every pair to be linked.
     """
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = stored(shared, name)
@@ -79,11 +82,15 @@ def linked(
     labelled = labelled.join(hub_root, "bucket")
     open_buckets = labelled.groupBy("bucket", "hub_root").agg(F.count_if(F.col("root") != F.col("hub_root")).alias("out")).filter("out > 0")
     rest = stored(labelled.join(open_buckets.select("bucket"), "bucket"), name)
+    closer = F.lit(True)
+    if sharpen:
+        facts, compare = sharpen(rest.select("id").distinct())
+        rest, closer = stored(rest.join(facts, "id"), name), compare(F.col("l.s"), F.col("r.s"))
     outside, inside = rest.filter("root != hub_root").alias("l"), rest.alias("r")
     once = (F.col("r.root") == F.col("r.hub_root")) | (F.col("l.id") < F.col("r.id"))
     across = outside.join(
         inside,
-        (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.root") != F.col("r.root")) & once & may_link(F.col("l.p"), F.col("r.p")),
+        (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.root") != F.col("r.root")) & once & closer & may_link(F.col("l.p"), F.col("r.p")),
     )
     a, b = F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")
     more = across.select(a, b).distinct().join(tried, ["a", "b"], "left_anti")

@@ -169,11 +169,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, name: str = "minhash") -
         sizes = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * percent
         return sizes & (estimated_similarity(x["bits"], y["bits"]) >= least)
 
+    held: dict[str, DataFrame] = {}
+
     def prepare(live: DataFrame):
         wanted = stored(classes.join(live, "id").select("id", "text_key"), name)
         texts = docs.select(text_key().alias("text_key"), whole_text().alias("text"))
         texts = texts.filter(may_contain(wanted, "text_key")(F.col("text_key"))).join(wanted, "text_key")
-        sets = stored(_shingles(texts.dropDuplicates(["id"]).select("id", "text")), name)
+        sets = held["sets"] = stored(_shingles(texts.dropDuplicates(["id"]).select("id", "text")), name)
 
         def confirm(pairs: DataFrame) -> DataFrame:
             left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
@@ -184,7 +186,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85, name: str = "minhash") -
 
         return confirm
 
-    roots = linked(members, payload, may_link, prepare, name).withColumnRenamed("id", "set_key")
+    def sharpen(left: DataFrame):
+        """Shingles that no other of these classes has can't be common to a pair."""
+        mine = held["sets"].join(left, "id")
+        each = mine.select(F.xxhash64("id").alias("owner"), F.explode("shingles").alias("shingle"))
+        once = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("owner").alias("owner")).filter("n = 1")
+        own = once.groupBy("owner").agg(F.count(F.lit(1)).alias("own"))
+        facts = mine.select("id", F.size("shingles").alias("n"), F.xxhash64("id").alias("owner")).join(own, "owner", "left")
+        shared = F.col("n") - F.coalesce("own", F.lit(0))
+
+        def compare(x: Column, y: Column) -> Column:
+            common = F.least(x["shared"], y["shared"])
+            return common * 100 >= (x["n"] + y["n"] - common) * percent
+
+        return facts.select("id", F.struct("n", shared.alias("shared")).alias("s")), compare
+
+    roots = linked(members, payload, may_link, prepare, name, sharpen).withColumnRenamed("id", "set_key")
     rows = described.select("doc_id", "text_key", "n_shingles", "set_key").join(roots, "set_key", "left")
     group = F.coalesce("root", "set_key")
     rows = rows.select("doc_id", "text_key", "n_shingles", group.alias("grp"))
