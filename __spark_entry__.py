@@ -282,6 +282,10 @@ def star_store(spark: SparkSession, d: str) -> DataFrame:
     return kpi.rating_mix(stored["fact_ticket"].read(), stored["dim_film"].read())
 
 
+def training_queries() -> dict[str, Query]:
+    return {**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}
+
+
 def queries() -> dict[str, Query]:
     return {
         # overview and revenue
@@ -362,7 +366,7 @@ def queries() -> dict[str, Query]:
         "popcorn_corr": _sales(extended.popcorn_correlation),
         "by_ticket_type": _sales(kpi.ticket_type),
         # training-data operators
-        **({**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}),
+        **training_queries(),
     }
 
 

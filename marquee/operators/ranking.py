@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 
 _ROWS_PER_BAND = 1_000_000
-_MAX_BANDS = 64
 
 
 def with_ntiles(
@@ -21,27 +20,24 @@ def with_ntiles(
     the rows. A value so frequent that it is itself a cut gets its own band, split
     further by the first two hex digits of ``md5(key)``. The cells are counted, their
     running sum gives the rows before each cell, and a row's place within its cell
-    does the rest. There are at most 64 cuts and 257 cells per cut, whatever the row
-    count, so the frame of cells is small enough to broadcast.
+    does the rest. Bands grow with the row count, so the rows of a task don't.
 
     ``df`` is read once for the cuts and again per score: pass a stored frame, with
-    unique non-null keys and non-null values.
+    unique non-null keys. Null values come first.
     """
-    at = [i / _MAX_BANDS for i in range(1, _MAX_BANDS)]
-    cuts = [F.percentile_approx(value, at, 10_000).alias(out) for out, value in scores.items()]
-    found = df.agg(F.count(F.lit(1)).alias("rows"), *cuts).first()
-    bands = min(_MAX_BANDS, found["rows"] // rows_per_band + 1)
-    step = _MAX_BANDS // bands
+    bands = df.count() // rows_per_band + 1
+    at = [i / bands for i in range(1, bands)] or [0.5]
+    found = df.agg(*[F.percentile_approx(value, at, 10_000).alias(out) for out, value in scores.items()]).first()
     digest = F.md5(F.col(key).cast("string"))
     scored = df
     for out, value in scores.items():
-        limits = sorted(set((found[out] or [])[step - 1 :: step]))
+        limits = sorted(set(found[out] or [])) if bands > 1 else []
         cell = [_band(F.col(value), limits).alias("band"), _splinter(F.col(value), limits, digest).alias("splinter")]
         inside = Window.partitionBy("band", "splinter").orderBy(value, digest, key)
         place = F.col("before") + F.row_number().over(inside)
         scored = (
             scored.select("*", *cell)
-            .join(F.broadcast(_offsets(df.select(*cell))), ["band", "splinter"])
+            .join(_offsets(df.select(*cell)), ["band", "splinter"])
             .withColumn(out, _tile(place, F.col("whole"), tiles))
             .drop("band", "splinter", "before", "whole")
         )
@@ -49,15 +45,15 @@ def with_ntiles(
 
 
 def _band(value: Column, limits: list) -> Column:
-    """2 x the number of limits below the value, plus 1 when it equals a limit."""
-    number = F.lit(0)
-    for limit in limits:
-        number = number + (value > F.lit(limit)).cast("int") * 2
-    return number + value.isin(limits).cast("int") if limits else number
+    """2 x the number of limits below the value, plus 1 when it equals a limit; -1 for null, which sorts first."""
+    if not limits:
+        return F.when(value.isNull(), -1).otherwise(0)
+    below = F.size(F.filter(F.array(*map(F.lit, limits)), lambda limit: limit < value))
+    return F.when(value.isNull(), -1).otherwise(below * 2 + value.isin(limits).cast("int"))
 
 
 def _splinter(value: Column, limits: list, digest: Column) -> Column:
-    return F.when(value.isin(limits), F.substring(digest, 1, 2)).otherwise("") if limits else F.lit("")
+    return F.when(value.isNull() | value.isin(limits), F.substring(digest, 1, 2)).otherwise("") if limits else F.lit("")
 
 
 def _offsets(cells: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ class SplitSales:
 Sales = DataFrame | SplitSales
 
 MEASURES = (
-    "tickets", "total_high", "total_low", "total_count", "total_squares", "price_high", "price_low", "price_count",
+    "tickets", "total_high", "total_low", "total_count", "price_high", "price_low", "price_count",
 )
 
 
@@ -94,7 +94,6 @@ def _per_ticket(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
         high_part(total).alias("total_high"),
         low_part(total).alias("total_low"),
         _present("total").alias("total_count"),
-        (total * total).alias("total_squares"),
         high_part(price).alias("price_high"),
         low_part(price).alias("price_low"),
         _present("ticket_price").alias("price_count"),
@@ -118,7 +117,6 @@ def _per_order(tickets: DataFrame, orders: DataFrame, columns: tuple[str, ...])
         (high_part(total) * rows).alias("total_high"),
         (low_part(total) * rows).alias("total_low"),
         (_present("total") * rows).alias("total_count"),
-        (total * total * rows).alias("total_squares"),
         "price_high",
         "price_low",
         "price_count",

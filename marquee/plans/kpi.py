@@ -173,7 +173,7 @@ def _with_customer(sales: Sales, customers: DataFrame, *attributes: str) -> Data
 
 def _by_customer_group(sales: Sales, customers: DataFrame, *by: str) -> DataFrame:
     joined = _with_customer(sales, customers, *by)
-    return regroup(joined, *by, so_khach=F.count_distinct("customer_id"))
+    return regroup(joined, *by, so_khach=F.count("customer_id"))
 
 
 def customer_gender(sales: Sales, customers: DataFrame) -> DataFrame:

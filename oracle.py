@@ -191,6 +191,7 @@ FROM orders WHERE {condition} GROUP BY 1, 2"""
 
 COHORT = f"""{FACT}, visits AS (
   SELECT DISTINCT customer_id, year(sale_date) * 12 + month(sale_date) - 1 AS m FROM fact
+  WHERE customer_id IS NOT NULL AND sale_date IS NOT NULL
 ), firsts AS (
   SELECT customer_id, m, MIN(m) OVER (PARTITION BY customer_id) AS f FROM visits
 ), counted AS (
@@ -392,8 +393,8 @@ FROM (SELECT DISTINCT film_name, trim(unnest(string_split(listed_in, ','))) AS g
         "genre_explode": f"""{FACT}, genres AS (
   SELECT DISTINCT film_name, trim(unnest(string_split(listed_in, ','))) AS genre FROM films
 )
-SELECT genre, COUNT(DISTINCT t.film_name) AS so_phim, COUNT(ticket_id) AS so_ve, {REVENUE} AS doanh_thu
-FROM fact t JOIN genres g ON t.film_name = g.film_name GROUP BY genre""",
+SELECT coalesce(genre, 'Unknown') AS genre, COUNT(DISTINCT t.film_name) AS so_phim, COUNT(ticket_id) AS so_ve, {REVENUE} AS doanh_thu
+FROM fact t LEFT JOIN genres g ON t.film_name = g.film_name GROUP BY 1""",
         "star_by_weekday": _calendar("day_of_week", "day_name"),
         "star_by_quarter": _calendar("year", "quarter"),
         "cohort_retention": f"""{COHORT}
@@ -402,10 +403,12 @@ SELECT {COHORT_DATE}, thang_thu, so_khach,
         "cohort_matrix": f"""{COHORT}
 SELECT {COHORT_DATE}, """ + ", ".join(
             f"CAST(coalesce(SUM(so_khach) FILTER (thang_thu = {m}), 0) AS BIGINT) AS m{m}" for m in range(13)
-        ) + " FROM counted GROUP BY f",
-        "rfm": f"""{FACT}, spend AS (
-  SELECT customer_id, MAX(sale_date) AS last_date, COUNT(DISTINCT order_id) AS so_don, SUM(total) AS spend
-  FROM fact GROUP BY customer_id
+        ) + ", CAST(coalesce(SUM(so_khach) FILTER (thang_thu > 12), 0) AS BIGINT) AS later FROM counted GROUP BY f",
+        "rfm": f"""{FACT}, per_order AS (
+  SELECT customer_id, order_id, MAX(sale_date) AS sale_date, MIN(total) AS total FROM fact GROUP BY 1, 2
+), spend AS (
+  SELECT customer_id, MAX(sale_date) AS last_date, COUNT(order_id) AS so_don, SUM(total) AS spend
+  FROM per_order WHERE customer_id IS NOT NULL GROUP BY customer_id
 ), scored AS (
   SELECT *, md5(CAST(customer_id AS VARCHAR)) AS d FROM spend
 )

@@ -37,6 +37,13 @@ def test_ntiles_equal_a_full_sort(spark, size, rows_per_band):
     assert {r["k"]: (r["a"], r["b"]) for r in got.collect()} == {k: (up[k], down[k]) for k, _ in data}
 
 
+@pytest.mark.parametrize("rows_per_band", [10, 1_000_000])
+def test_ntiles_keep_null_scores_first(spark, rows_per_band):
+    df = spark.range(300).select("id", F.when(F.col("id") % 5 > 0, F.col("id") % 40).alias("v"))
+    got = {r["id"]: r["t"] for r in with_ntiles(df, "id", 5, {"t": "v"}, rows_per_band=rows_per_band).collect()}
+    assert len(got) == 300 and all((got[i] == 1) == (i % 5 == 0) for i in got)
+
+
 def test_ntiles_spread_a_frequent_value(spark):
     df = spark.range(20_000).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("v"))
     plan = with_ntiles(df, "id", 4, {"t": "v"}, rows_per_band=100)

@@ -168,7 +168,9 @@ def test_cohorts(sales):
     rows = {(r["cohort"].year * 12 + r["cohort"].month - 1, r["thang_thu"]): r["so_khach"] for r in as_dicts(got)}
     assert rows == counts
     wide = as_dicts(extended.cohort_matrix(got, months=[0, 1]))
-    assert sum(r["m0"] + r["m1"] for r in wide) == sum(counts.values())
+    assert sum(r["m0"] + r["m1"] + r["later"] for r in wide) == sum(counts.values())
+    short = as_dicts(extended.cohort_matrix(got, months=[0]))
+    assert sum(r["m0"] + r["later"] for r in short) == sum(counts.values())
 
 
 def test_hot_order_is_split_in_the_join(spark, conf, tmp_path):
