@@ -178,7 +178,7 @@ def csv_documents(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "document-csv")
     texts = shop.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("Doc Id"), "text")
     delimited.write_delimited(texts, path)
-    back = delimited.clean_columns(delimited.read_delimited(spark, path, multi_line=True))
+    back = delimited.normalised(delimited.read_delimited(spark, path, multi_line=True))
     return back.select("doc_id", F.length("text").alias("chars"), F.md5("text").alias("digest"))
 
 
