@@ -82,15 +82,18 @@ def linked(
     labelled = labelled.join(hub_root, "bucket")
     open_buckets = labelled.groupBy("bucket", "hub_root").agg(F.count_if(F.col("root") != F.col("hub_root")).alias("out")).filter("out > 0")
     rest = stored(labelled.join(open_buckets.select("bucket"), "bucket"), name)
-    closer = F.lit(True)
+    closer = here = F.lit(True)
     if sharpen:
         facts, compare = sharpen(rest.select("id").distinct())
-        rest, closer = stored(rest.join(facts, "id"), name), compare(F.col("l.s"), F.col("r.s"))
+        # a pair may share many of these buckets: it is kept in the first of them
+        meets = rest.groupBy("id").agg(F.collect_set("bucket").alias("meets"))
+        rest, closer = stored(rest.join(facts, "id").join(meets, "id"), name), compare(F.col("l.s"), F.col("r.s"))
+        here = F.array_min(F.array_intersect("l.meets", "r.meets")) == F.col("l.bucket")
     outside, inside = rest.filter("root != hub_root").alias("l"), rest.alias("r")
     once = (F.col("r.root") == F.col("r.hub_root")) | (F.col("l.id") < F.col("r.id"))
     across = outside.join(
         inside,
-        (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.root") != F.col("r.root")) & once & closer & may_link(F.col("l.p"), F.col("r.p")),
+        (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.root") != F.col("r.root")) & once & closer & may_link(F.col("l.p"), F.col("r.p")) & here,
     )
     a, b = F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")
     more = across.select(a, b).distinct().join(tried, ["a", "b"], "left_anti")
