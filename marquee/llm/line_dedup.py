@@ -110,6 +110,39 @@ def _lines(docs: DataFrame) -> DataFrame:
     return usual.unionByName(very_long).filter(F.col("words") >= MIN_WORDS).drop("words")
 
 
+def _unlike(words: Column, other: Column) -> Column:
+    """Number of words up to the first that differs from ``other``, or that one of both lacks."""
+    same = F.zip_with(words, other, lambda x, y: x.eqNullSafe(y))
+    first = F.array_position(same, False)
+    return F.when(first > 0, first - 1).otherwise(F.size(words)).cast("int")
+
+
+def _rest(words: Column, start: Column) -> Column:
+    return F.slice(words, start + 1, F.size(words))
+
+
+def similar(pairs: DataFrame, name: str) -> DataFrame:
+    """The rows whose word lists ``wa`` and ``wb``, joined by blanks, have an edit similarity of 0.9.
+
+    What both lines begin or end with adds nothing to their edit distance, so it is taken
+    off before; each word keeps the blank after it. The middles are stored, as a filter
+    right above them would compute each of them many times.
+    """
+
+    def ahead(df: DataFrame) -> DataFrame:
+        cut = df.withColumn("_n", _unlike(F.col("wa"), F.col("wb")))
+        cut = cut.withColumns({"wa": F.reverse(_rest(F.col("wa"), F.col("_n"))), "wb": F.reverse(_rest(F.col("wb"), F.col("_n")))})
+        return cut.drop("_n")
+
+    def joined(words: str) -> Column:
+        return F.array_join(F.transform(words, lambda w: F.concat(w, F.lit(" "))), "")
+
+    chars = F.greatest(*[F.length(F.array_join(w, " ")) for w in ("wa", "wb")])
+    sized = pairs.withColumn("_most", F.floor(chars * (1 - SIMILARITY) + 1e-9).cast("int"))
+    middles = ahead(ahead(sized)).withColumns({"_la": joined("wa"), "_lb": joined("wb")})
+    return stored(middles.drop("wa", "wb"), name).filter(F.expr("levenshtein(_la, _lb, _most)") >= 0).drop("_la", "_lb", "_most")
+
+
 def dropped_lines(docs: DataFrame, name: str = "lines") -> DataFrame:
     """(doc_id, text_key, drop): numbers from 0 of the lines that go, for documents that lose any."""
     lines = stored(_lines(docs), name)
@@ -125,21 +158,20 @@ def dropped_lines(docs: DataFrame, name: str = "lines") -> DataFrame:
         return near & (F.least(x["chars"], y["chars"]) >= F.greatest(x["chars"], y["chars"]) * SIMILARITY)
 
     def prepare(live: DataFrame):
-        wanted = distinct.join(live.select(F.col("id").alias("line_key")), "line_key").select(
-            "line_key", F.col("first.text_id").alias("text_id"), F.col("first.line_no").alias("line_no")
-        )
-        wanted = stored(wanted, name)
-        texts = docs.select(_text_id().alias("text_id"), whole_text().alias("text"))
-        texts = texts.filter(may_contain(wanted, "text_id")(F.col("text_id"))).join(wanted, "text_id")
-        line = F.element_at(F.split("text", "\n"), F.col("line_no") + 1)
-        found = texts.select(F.col("line_key").alias("id"), F.array_join(line_words(line), " ").alias("line"))
-        plain = stored(found.dropDuplicates(["id"]), name)
-
         def confirm(pairs: DataFrame) -> DataFrame:
-            left, right = plain.toDF("a", "la"), plain.toDF("b", "lb")
-            most = F.floor(F.greatest(F.length("la"), F.length("lb")) * (1 - SIMILARITY) + 1e-9).cast("int")
-            joined = pairs.join(left, "a").join(right, "b").withColumn("most", most)
-            return joined.filter(F.expr("levenshtein(la, lb, most)") >= 0).select("a", "b")
+            ids = pairs.select(F.explode(F.array("a", "b")).alias("line_key")).distinct()
+            wanted = distinct.join(ids, "line_key").select(
+                "line_key", F.col("first.text_id").alias("text_id"), F.col("first.line_no").alias("line_no")
+            )
+            wanted = stored(wanted, name)
+            texts = docs.select(_text_id().alias("text_id"), whole_text().alias("text"))
+            # one text may lie in many rows, so each row gives its wanted lines before it meets their pairs
+            texts = texts.filter(may_contain(wanted, "text_id")(F.col("text_id"))).join(wanted, "text_id")
+            line = F.element_at(F.split("text", "\n"), F.col("line_no") + 1)
+            found = texts.select(F.col("line_key").alias("id"), line.alias("line")).groupBy("id").agg(F.first("line").alias("line"))
+            plain = stored(found.select("id", line_words(F.col("line")).alias("words")), name)
+            both = pairs.join(plain.toDF("a", "wa"), "a").join(plain.toDF("b", "wb"), "b")
+            return similar(both, name)
 
         return confirm
 

@@ -152,3 +152,31 @@ def test_model_scores_do_not_depend_on_batches():
     vocabulary = toxicity.Vocabulary(np.unique(feature), np.ones(len(np.unique(feature))))
     for n, text in enumerate(texts):
         assert sorted(vocabulary.features[vocabulary.present([text])[1]]) == sorted(feature[owner == n])
+
+
+def test_similar_lines_match_edit_distance(spark):
+    """Words in common at both ends change nothing: against a plain edit distance."""
+    pick = random.Random(8)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rows = [("same", ["a", "b"], ["a", "b"]), ("none", [], ["a"]), ("tail", ["ab"] * 30, ["ab"] * 31), ("over", ["x", "x", "y"], ["x", "y"])]
+    for n in range(150):
+        a = [pick.choice(["tea", "cup", "é", "river"]) for _ in range(pick.randrange(1, 40))]
+        b = list(a)
+        for _ in range(pick.randrange(0, 4)):
+            at = pick.randrange(len(b) + 1)
+            b[at : at + pick.randrange(2)] = [pick.choice(["tea", "cap", "zz"])][: pick.randrange(2)]
+        rows.append((str(n), a, b))
+    near = {
+        n for n, a, b in rows
+        if distance(" ".join(a), " ".join(b)) <= int(max(len(" ".join(a)), len(" ".join(b))) * (1 - line_dedup.SIMILARITY) + 1e-9)
+    }
+    pairs = spark.createDataFrame(rows, "id string, wa array<string>, wb array<string>")
+    assert {r["id"] for r in line_dedup.similar(pairs, "t").collect()} == near
