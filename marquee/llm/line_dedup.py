@@ -171,7 +171,7 @@ def dropped_lines(docs: DataFrame, name: str = "lines") -> DataFrame:
             found = texts.select(F.col("line_key").alias("id"), line.alias("line")).groupBy("id").agg(F.first("line").alias("line"))
             plain = stored(found.select("id", line_words(F.col("line")).alias("words")), name)
             both = pairs.join(plain.toDF("a", "wa"), "a").join(plain.toDF("b", "wb"), "b")
-            return similar(both, name)
+            return similar(both, name).select("a", "b")
 
         return confirm
 
