@@ -66,8 +66,12 @@ def _majority(width: int) -> Column:
 
 
 def with_simhash(lines: DataFrame, keys: list[str], words: str, width: int) -> DataFrame:
-    """(keys, words, hash) of lines; ``keys`` name a line and come from columns of it."""
-    each = lines.select(*keys, F.explode(words).alias("word")).select(*keys, F.xxhash64("word").alias("word"))
+    """(keys, words, hash) of lines; ``keys`` name a line and come from columns of it.
+
+    The outer form of explode keeps Spark from adding a filter on the size of the list, for which
+    it would compute the words once more.
+    """
+    each = lines.select(*keys, F.explode_outer(words).alias("word")).filter("word IS NOT NULL").select(*keys, F.xxhash64("word").alias("word"))
     counted = each.groupBy(*keys).agg(F.count(F.lit(1)).alias("words"), *_packed_counts(F.col("word"), width))
     return counted.select(*keys, "words", _majority(width).alias("hash"))
 
@@ -94,12 +98,20 @@ def _position() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_id", "line_no")
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", _text_id().alias("text_id"), whole_text().alias("text"))
+
+
+def _split(texts: DataFrame) -> DataFrame:
+    return texts.select("doc_id", "text_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text_id, line_no, line_key, hash, chars) of every line with enough words."""
-    texts = docs.select("doc_id", _text_id().alias("text_id"), whole_text().alias("text"))
+    texts = _texts(docs)
 
     def hashed(rows: DataFrame, fits: Column, width: int) -> DataFrame:
-        split = rows.select("doc_id", "text_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(fits)
+        split = _split(rows).filter(fits)
         words = split.select("doc_id", "text_id", "line_no", line_words(F.col("line")).alias("words"))
         plain = words.withColumn("plain", F.array_join("words", " "))
         lines = plain.select("doc_id", "text_id", "line_no", F.unhex(F.md5("plain")).alias("line_key"), F.length("plain").alias("chars"), "words")
@@ -160,15 +172,12 @@ def dropped_lines(docs: DataFrame, name: str = "lines") -> DataFrame:
     def prepare(live: DataFrame):
         def confirm(pairs: DataFrame) -> DataFrame:
             ids = pairs.select(F.explode(F.array("a", "b")).alias("line_key")).distinct()
-            wanted = distinct.join(ids, "line_key").select(
-                "line_key", F.col("first.text_id").alias("text_id"), F.col("first.line_no").alias("line_no")
-            )
+            at = F.xxhash64("doc_id", "text_id", "line_no").alias("at")
+            wanted = distinct.join(ids, "line_key").select("line_key", "first.*").select(F.col("line_key").alias("id"), at)
             wanted = stored(wanted, name)
-            texts = docs.select(_text_id().alias("text_id"), whole_text().alias("text"))
-            # one text may lie in many rows, so each row gives its wanted lines before it meets their pairs
-            texts = texts.filter(may_contain(wanted, "text_id")(F.col("text_id"))).join(wanted, "text_id")
-            line = F.element_at(F.split("text", "\n"), F.col("line_no") + 1)
-            found = texts.select(F.col("line_key").alias("id"), line.alias("line")).groupBy("id").agg(F.first("line").alias("line"))
+            # only the first occurrences travel, whatever the texts around them
+            each = _split(_texts(docs)).select(at, "line").filter(may_contain(wanted, "at")(F.col("at")))
+            found = each.join(wanted, "at").select("id", "line").dropDuplicates(["id"])
             plain = stored(found.select("id", line_words(F.col("line")).alias("words")), name)
             both = pairs.join(plain.toDF("a", "wa"), "a").join(plain.toDF("b", "wb"), "b")
             return similar(both, name).select("a", "b")
@@ -176,10 +185,12 @@ def dropped_lines(docs: DataFrame, name: str = "lines") -> DataFrame:
         return confirm
 
     groups = linked(members, payload, may_link, prepare, name).withColumnRenamed("id", "line_key")
-    rooted = distinct.join(groups, "line_key", "left").select("line_key", "first", "copies", F.coalesce("root", "line_key").alias("root"))
+    rooted = distinct.join(groups, "line_key", "left").filter("copies > 1 OR root IS NOT NULL")
+    rooted = rooted.select("line_key", "first", "copies", F.coalesce("root", "line_key").alias("root"))
     several = rooted.groupBy("root").agg(F.min("first").alias("keeper"), F.sum("copies").alias("n")).filter("n > 1")
-    keepers = rooted.join(several, "root").select("line_key", "keeper")
-    gone = lines.select("doc_id", "text_id", "line_no", "line_key").join(keepers, "line_key").filter(_position() != F.col("keeper"))
+    keepers = stored(rooted.join(several, "root").select("line_key", "keeper"), name)
+    places = lines.select("doc_id", "text_id", "line_no", "line_key").filter(may_contain(keepers, "line_key")(F.col("line_key")))
+    gone = places.join(keepers, "line_key").filter(_position() != F.col("keeper"))
     return gone.groupBy("doc_id", "text_id").agg(F.collect_set("line_no").alias("drop"))
 
 
