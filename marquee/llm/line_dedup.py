@@ -173,11 +173,11 @@ def dropped_lines(docs: DataFrame, name: str = "lines") -> DataFrame:
         def confirm(pairs: DataFrame) -> DataFrame:
             ids = pairs.select(F.explode(F.array("a", "b")).alias("line_key")).distinct()
             at = F.xxhash64("doc_id", "text_id", "line_no").alias("at")
-            wanted = distinct.join(ids, "line_key").select("line_key", "first.*").select(F.col("line_key").alias("id"), at)
+            wanted = distinct.join(ids, "line_key").select("line_key", "first.*").select(F.col("line_key").alias("id"), at, "text_id", "line_no")
             wanted = stored(wanted, name)
             # only the first occurrences travel, whatever the texts around them
-            each = _split(_texts(docs)).select(at, "line").filter(may_contain(wanted, "at")(F.col("at")))
-            found = each.join(wanted, "at").select("id", "line").dropDuplicates(["id"])
+            each = _split(_texts(docs)).select(at, "text_id", "line_no", "line").filter(may_contain(wanted, "at")(F.col("at")))
+            found = each.join(wanted, ["at", "text_id", "line_no"]).select("id", "line").dropDuplicates(["id"])
             plain = stored(found.select("id", line_words(F.col("line")).alias("words")), name)
             both = pairs.join(plain.toDF("a", "wa"), "a").join(plain.toDF("b", "wb"), "b")
             return similar(both, name).select("a", "b")
