@@ -1,11 +1,13 @@
 """Fuzzy line deduplication over the whole corpus.
 
 Lines are normalised to their lower-case words of letters and digits. Equal normalised
-lines are one from the start. A 64-bit SimHash of the words, cut in four blocks, names
-the buckets: hashes that differ in at most two bits agree in at least two blocks, so
-every pair of blocks is a key. Pairs of one bucket whose hashes are close are verified by
-edit similarity of the normalised lines (at least 0.9), and of each connected group only
-the first occurrence, in the order of document id and line, stays.
+lines are one from the start. Other lines are candidates if they share a bucket: the minima
+of their word pairs under 24 hash functions, two to a key, name 12 buckets, and lines
+with the share s of their word pairs in common meet with a chance of 1 - (1 - s^2)^12.
+Pairs whose 64-bit SimHashes of the words lie within the angle of lines with 70 % of their
+words in common, and a margin, are verified by edit similarity of the normalised lines (at
+least 0.9), and of each connected group only the first occurrence, in the order of
+document id and line, stays.
 
 Defined cases: lines of fewer than two words are never removed; a null text stays null;
 a null id comes after all others; rows equal in id and text are one document here, so
@@ -14,8 +16,6 @@ both lose or keep the same lines; a document may end up with an empty text.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +24,10 @@ from marquee.llm.linking import linked
 from marquee.operators.lineage import stored
 
 MIN_WORDS = 2
-DISTANCE = 2
-BLOCKS = 4
+#: 70 % of words in common: 64 * acos(0.7) / pi = 16 bits differ, and twice the deviation of 3.5 more.
+DISTANCE = 24
+BUCKETS = 12
+BUCKET_MINIMA = 2
 SIMILARITY = 0.9
 
 #: ASCII other than letters and digits, Latin-1 signs, general and ideographic punctuation.
@@ -65,29 +67,27 @@ def _majority(width: int) -> Column:
     return bits
 
 
-def with_simhash(lines: DataFrame, keys: list[str], words: str, width: int) -> DataFrame:
-    """(keys, words, hash) of lines; ``keys`` name a line and come from columns of it.
-
-    The outer form of explode keeps Spark from adding a filter on the size of the list, for which
-    it would compute the words once more.
-    """
-    each = lines.select(*keys, F.explode_outer(words).alias("word")).filter("word IS NOT NULL").select(*keys, F.xxhash64("word").alias("word"))
-    counted = each.groupBy(*keys).agg(F.count(F.lit(1)).alias("words"), *_packed_counts(F.col("word"), width))
-    return counted.select(*keys, "words", _majority(width).alias("hash"))
+def _buckets() -> Column:
+    """One number for every bucket of a line, from the minima of its word pairs."""
+    keys = [[f"m{i * BUCKET_MINIMA + j}" for j in range(BUCKET_MINIMA)] for i in range(BUCKETS)]
+    return F.array(*[F.hash(*names) for names in keys])
 
 
-def _signed(x: int) -> int:
-    return x - 2**64 if x >= 2**63 else x
+def with_signatures(lines: DataFrame, keys: list[str], words: str, width: int) -> DataFrame:
+    """(keys, words, hash, buckets) of lines; ``keys`` name a line and come from columns of it.
 
-
-def block_keys(hash_: Column, blocks: int = BLOCKS, distance: int = DISTANCE) -> Column:
-    """One key for every choice of blocks that must agree if at most ``distance`` bits differ."""
-    width = 64 // blocks
-    keys = []
-    for chosen in combinations(range(blocks), blocks - distance):
-        mask = sum(((1 << width) - 1) << (width * b) for b in chosen)
-        keys.append(F.xxhash64(F.lit(str(chosen)), hash_.bitwiseAND(F.lit(_signed(mask)))))
-    return F.array(*keys)
+    The first and the last word also make a pair with the line's end. The outer form of explode
+    keeps Spark from adding a filter on the size of the list, for which it would compute the words
+    once more.
+    """
+    end = F.array(F.lit(""))
+    pairs = F.arrays_zip(F.concat(end, words).alias("a"), F.concat(words, end).alias("b"))
+    each = lines.select(*keys, F.explode_outer(pairs).alias("pair")).select(*keys, "pair.a", "pair.b")
+    each = each.filter("a != '' OR b != ''")
+    each = each.select(*keys, F.when(F.col("b") != "", F.xxhash64("b")).alias("word"), F.xxhash64("a", "b").alias("pair"))
+    minima = [F.min(F.hash("pair", F.lit(i))).alias(f"m{i}") for i in range(BUCKETS * BUCKET_MINIMA)]
+    counted = each.groupBy(*keys).agg(F.count("word").alias("words"), *_packed_counts(F.col("word"), width), *minima)
+    return counted.select(*keys, "words", _majority(width).alias("hash"), _buckets().alias("buckets"))
 
 
 def _text_id() -> Column:
@@ -107,7 +107,7 @@ def _split(texts: DataFrame) -> DataFrame:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_id, line_no, line_key, hash, chars) of every line with enough words."""
+    """(doc_id, text_id, line_no, line_key, chars, hash, buckets) of every line with enough words."""
     texts = _texts(docs)
 
     def hashed(rows: DataFrame, fits: Column, width: int) -> DataFrame:
@@ -115,7 +115,7 @@ def _lines(docs: DataFrame) -> DataFrame:
         words = split.select("doc_id", "text_id", "line_no", line_words(F.col("line")).alias("words"))
         plain = words.withColumn("plain", F.array_join("words", " "))
         lines = plain.select("doc_id", "text_id", "line_no", F.unhex(F.md5("plain")).alias("line_key"), F.length("plain").alias("chars"), "words")
-        return with_simhash(lines, ["doc_id", "text_id", "line_no", "line_key", "chars"], "words", width)
+        return with_signatures(lines, ["doc_id", "text_id", "line_no", "line_key", "chars"], "words", width)
 
     usual = hashed(texts, F.length("line") < _LONG_LINE, 16)
     very_long = hashed(texts.filter(F.length("text") >= _LONG_LINE), F.length("line") >= _LONG_LINE, 32)
@@ -159,15 +159,17 @@ def dropped_lines(docs: DataFrame, name: str = "lines") -> DataFrame:
     """(doc_id, text_key, drop): numbers from 0 of the lines that go, for documents that lose any."""
     lines = stored(_lines(docs), name)
     distinct = lines.groupBy("line_key").agg(
-        F.min(_position()).alias("first"), F.max("hash").alias("hash"), F.max("chars").alias("chars"), F.count(F.lit(1)).alias("copies")
+        F.min(_position()).alias("first"), F.max("hash").alias("hash"), F.max("chars").alias("chars"), F.count(F.lit(1)).alias("copies"),
+        F.first("buckets").alias("buckets"),
     )
     distinct = stored(distinct, name)
-    members = distinct.select(F.explode(block_keys(F.col("hash"))).alias("bucket"), F.col("line_key").alias("id"))
+    members = distinct.select(F.posexplode("buckets").alias("no", "key"), F.col("line_key").alias("id"))
+    members = members.select(F.xxhash64("no", "key").alias("bucket"), "id")
     payload = distinct.select(F.col("line_key").alias("id"), F.struct("hash", "chars").alias("p"))
 
     def may_link(x: Column, y: Column) -> Column:
         near = F.bit_count(x["hash"].bitwiseXOR(y["hash"])) <= DISTANCE
-        return near & (F.least(x["chars"], y["chars"]) >= F.greatest(x["chars"], y["chars"]) * SIMILARITY)
+        return near & (F.least(x["chars"], y["chars"]) >= F.greatest(x["chars"], y["chars"]) * SIMILARITY - 1e-9)
 
     def prepare(live: DataFrame):
         def confirm(pairs: DataFrame) -> DataFrame:

@@ -180,3 +180,42 @@ def test_similar_lines_match_edit_distance(spark):
     }
     pairs = spark.createDataFrame(rows, "id string, wa array<string>, wb array<string>")
     assert {r["id"] for r in line_dedup.similar(pairs, "t").collect()} == near
+
+
+def test_fuzzy_lines_of_all_lengths_go(spark):
+    """Recall against plain edit similarity, for lines of 10 to 400 words with one word replaced and with letters mistyped."""
+    pick = random.Random(12)
+
+    def word():
+        return "".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(pick.randrange(4, 8)))
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    lines, truth, kinds = [], {}, {}
+    for n in (10, 20, 30, 50, 100, 400):
+        for kind in ("replaced", "mistyped", "unlike"):
+            for _ in range({100: 6, 400: 1}.get(n, 15)):
+                a = [word() for _ in range(n)]
+                b = list(a)
+                if kind == "replaced":
+                    b[pick.randrange(n)] = word()
+                for at in pick.sample(range(n), {"mistyped": max(1, n // 10), "unlike": n * 2 // 3}.get(kind, 0)):
+                    b[at] = b[at][:-1] + "0" if kind == "mistyped" else word()
+                x, y = " ".join(a), " ".join(b)
+                truth[len(lines) + 1] = distance(x, y) <= int(max(len(x), len(y)) * (1 - line_dedup.SIMILARITY) + 1e-9)
+                kinds[len(lines) + 1] = n, kind
+                lines += [x, y]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    gone = {r["doc_id"] for r in line_dedup.dropped_lines(docs).collect()}
+    real = {i for i, near in truth.items() if near}
+    assert gone <= real
+    for n in (10, 20, 30, 50, 100, 400):
+        for kind in ("replaced", "mistyped"):
+            wanted = {i for i in real if kinds[i] == (n, kind)}
+            assert wanted and len(wanted & gone) >= 0.95 * len(wanted)
