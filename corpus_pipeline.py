@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated and nearly repeated lines go, but for their first occurrence; n_chars follows the text."""
-    kept = line_dedup.dedup_lines(docs)
+    kept = line_dedup.dedup_lines(docs, least_words=1)
     count = F.when(F.col("_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", count).select(*docs.columns)
 

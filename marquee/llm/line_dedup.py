@@ -9,7 +9,11 @@ words in common, and a margin, are verified by edit similarity of the normalised
 least 0.9), and of each connected group only the first occurrence, in the order of
 document id and line, stays.
 
-Defined cases: lines of fewer than two words are never removed; a null text stays null;
+Words here are also the single characters of scripts without spaces, such as ideographs, kana
+and Thai; edit similarity is taken on the line as it is.
+
+Defined cases: of lines of fewer than two words only equal ones go, and these only with
+``least_words`` 1; a line without words is never removed; a null text stays null;
 a null id comes after all others; rows equal in id and text are one document here, so
 both lose or keep the same lines; a document may end up with an empty text.
 """
@@ -23,6 +27,7 @@ from marquee.llm.common import may_contain, whole_text
 from marquee.llm.linking import linked
 from marquee.operators.lineage import stored
 
+#: Fuzzy lines have so many words at least.
 MIN_WORDS = 2
 #: 70 % of words in common: 64 * acos(0.7) / pi = 16 bits differ, and twice the deviation of 3.5 more.
 DISTANCE = 24
@@ -34,10 +39,20 @@ SIMILARITY = 0.9
 _BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\xBF -⁯　-〿]+"
 
 
+#: Scripts written without spaces: Thai to Burmese, Khmer, ideographs and kana.
+_UNSPACED = r"[\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
+
+
 def line_words(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(line), _BREAK), "")
 
 
+def _units(plain: Column, words: Column) -> Column:
+    """The words of a line, with characters of scripts without spaces as words of their own."""
+    apart = F.array_remove(F.split(F.regexp_replace(plain, f"({_UNSPACED})", " $1 "), " +"), "")
+    return F.when(plain.rlike(_UNSPACED), apart).otherwise(words)
+
+
 #: A line of fewer characters has fewer than 2**14 words, and its counts of bits fit 14 bits.
 _LONG_LINE = 2**15 - 1
 
@@ -106,20 +121,20 @@ def _split(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "text_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_id, line_no, line_key, chars, hash, buckets) of every line with enough words."""
+def _lines(docs: DataFrame, least_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, text_id, line_no, line_key, chars, words, hash, buckets) of every line with enough words."""
     texts = _texts(docs)
 
     def hashed(rows: DataFrame, fits: Column, width: int) -> DataFrame:
         split = _split(rows).filter(fits)
         words = split.select("doc_id", "text_id", "line_no", line_words(F.col("line")).alias("words"))
         plain = words.withColumn("plain", F.array_join("words", " "))
-        lines = plain.select("doc_id", "text_id", "line_no", F.unhex(F.md5("plain")).alias("line_key"), F.length("plain").alias("chars"), "words")
-        return with_signatures(lines, ["doc_id", "text_id", "line_no", "line_key", "chars"], "words", width)
+        lines = plain.select("doc_id", "text_id", "line_no", F.unhex(F.md5("plain")).alias("line_key"), F.length("plain").alias("chars"), _units(F.col("plain"), F.col("words")).alias("units"))
+        return with_signatures(lines, ["doc_id", "text_id", "line_no", "line_key", "chars"], "units", width)
 
     usual = hashed(texts, F.length("line") < _LONG_LINE, 16)
     very_long = hashed(texts.filter(F.length("text") >= _LONG_LINE), F.length("line") >= _LONG_LINE, 32)
-    return usual.unionByName(very_long).filter(F.col("words") >= MIN_WORDS).drop("words")
+    return usual.unionByName(very_long).filter(F.col("words") >= least_words)
 
 
 def _unlike(words: Column, other: Column) -> Column:
@@ -155,15 +170,15 @@ def similar(pairs: DataFrame, name: str) -> DataFrame:
     return stored(middles.drop("wa", "wb"), name).filter(F.expr("levenshtein(_la, _lb, _most)") >= 0).drop("_la", "_lb", "_most")
 
 
-def dropped_lines(docs: DataFrame, name: str = "lines") -> DataFrame:
+def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_key, drop): numbers from 0 of the lines that go, for documents that lose any."""
-    lines = stored(_lines(docs), name)
+    lines = stored(_lines(docs, least_words), name)
     distinct = lines.groupBy("line_key").agg(
         F.min(_position()).alias("first"), F.max("hash").alias("hash"), F.max("chars").alias("chars"), F.count(F.lit(1)).alias("copies"),
-        F.first("buckets").alias("buckets"),
+        F.first("buckets").alias("buckets"), F.max("words").alias("words"),
     )
     distinct = stored(distinct, name)
-    members = distinct.select(F.posexplode("buckets").alias("no", "key"), F.col("line_key").alias("id"))
+    members = distinct.filter(F.col("words") >= MIN_WORDS).select(F.posexplode("buckets").alias("no", "key"), F.col("line_key").alias("id"))
     members = members.select(F.xxhash64("no", "key").alias("bucket"), "id")
     payload = distinct.select(F.col("line_key").alias("id"), F.struct("hash", "chars").alias("p"))
 
@@ -196,12 +211,12 @@ def dropped_lines(docs: DataFrame, name: str = "lines") -> DataFrame:
     return gone.groupBy("doc_id", "text_id").agg(F.collect_set("line_no").alias("drop"))
 
 
-def dedup_lines(docs: DataFrame, name: str = "lines") -> DataFrame:
+def dedup_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_WORDS) -> DataFrame:
     """The documents with their text rid of repeated lines, and (_lines, _dropped) counts added.
 
     Documents that lose nothing are not shuffled.
     """
-    drops = stored(dropped_lines(docs, name).toDF("_doc_id", "_text_id", "_drop"), name)
+    drops = stored(dropped_lines(docs, name, least_words).toDF("_doc_id", "_text_id", "_drop"), name)
     held = docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", "text", _text_id().alias("_id"))
     touched = may_contain(drops, "_text_id")(F.col("_id"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_id") == F.col("_text_id"))

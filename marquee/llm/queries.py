@@ -60,7 +60,7 @@ def op7_ngram_toxicity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, d: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(table(spark, d, "documents"))
+    kept = line_dedup.dedup_lines(table(spark, d, "documents"), least_words=1)
     return kept.select("doc_id", F.col("_lines").alias("lines"), F.col("_dropped").alias("dropped"), "text")
 
 

@@ -219,3 +219,12 @@ def test_fuzzy_lines_of_all_lengths_go(spark):
         for kind in ("replaced", "mistyped"):
             wanted = {i for i in real if kinds[i] == (n, kind)}
             assert wanted and len(wanted & gone) >= 0.95 * len(wanted)
+
+
+def test_equal_lines_of_one_word_go(spark):
+    base = "今日は天気がとても良いので友達と一緒に公園まで散歩に行きましたそして夕方に帰りました"
+    rows = [(1, f"ok\n{base}\nsome-slug-x"), (2, f"OK!\n{base[:20]}々{base[21:]}\n-\nsome_slug_x"), (3, f"-\n{base}\nno"), (4, "so\nsomeslugx\nsomeslugx")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs, least_words=1).collect()}
+    assert found == {1: rows[0][1], 2: "-", 3: "-\nno", 4: "so\nsomeslugx"}
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs).collect()}[3] == "-\nno"
