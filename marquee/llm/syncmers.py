@@ -7,7 +7,8 @@ so an edit only touches the anchors it overlaps, and anchors of two texts can be
 by position. The fingerprint lists the anchors' hashes in the order of the text; likeness
 is the share of distinct anchors that two fingerprints have in common.
 
-Defined cases: a text of fewer than k units is one anchor; a null text counts as empty;
+Defined cases: a text of fewer than k units is one anchor; in a longer one where no k-mer
+counts (one of 7 to 10 units at most), all do, at most four; a null text counts as empty;
 a text without units has no anchor, and is like another without any. Rows with equal ids
 follow each other in the order of their texts' digests; null ids come last.
 """
@@ -54,6 +55,8 @@ def with_anchors(df: DataFrame, text: str, places: str, fingerprint: str) -> Dat
     hashed = df.withColumn("_units", unit_hashes(F.col(text)))
     inner = hashed.withColumn("_inner", _inner(F.col("_units")))
     placed = inner.withColumn(places, F.when(F.size("_units").between(1, K - 1), F.array(F.lit(0))).otherwise(_anchors(inner, "_units", "_inner")))
+    bare = (F.size(places) == 0) & (F.size("_units") >= K)
+    placed = placed.withColumn(places, F.when(bare, F.sequence(F.lit(0), F.size("_units") - K)).otherwise(F.col(places)))
     hashes = F.transform(places, lambda i: F.hash(F.slice("_units", i + 1, F.lit(K))))
     return placed.withColumn(fingerprint, hashes).drop("_units", "_inner")
 

@@ -228,3 +228,14 @@ def test_equal_lines_of_one_word_go(spark):
     found = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs, least_words=1).collect()}
     assert found == {1: rows[0][1], 2: "-", 3: "-\nno", 4: "so\nsomeslugx"}
     assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(docs).collect()}[3] == "-\nno"
+
+
+def test_short_texts_have_an_anchor_and_differ(spark):
+    rows = [(n * 100 + i, " ".join(f"u{n}x{i}y{j}" for j in range(n))) for n in range(1, 16) for i in range(40)]
+    rows += [(9000 + i, f"u0 u1 u2 u3 u4 u5 u6 v{i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marked = syncmers.with_anchors(docs, "text", "places", "marks").collect()
+    assert all(r["marks"] and max(r["places"]) <= max(0, len(r["text"].split()) - syncmers.K) for r in marked)
+    marked = [r for r in marked if len(r["marks"]) == len(r["text"].split()) - syncmers.K + 1 or r["doc_id"] < 9000]
+    twins = spark.createDataFrame([(a["marks"], b["marks"]) for a, b in zip(marked, marked[1:])], "a array<int>, b array<int>")
+    assert twins.filter(syncmers.likeness(F.col("a"), F.col("b")) == 1).count() == 0
