@@ -8,7 +8,8 @@ some documents or only the metadata opens only the pages it needs.
 
 Encoding goes word by word: the vocabulary's normaliser and splitter never join
 characters across ASCII white space, so the ids of a text are those of its words in a
-row, and each worker encodes a word it has met before only once.
+row, and each worker encodes a word it has met before only once. The literal form of a
+special token in a text is ordinary text, so no document can hold such a token.
 
 Defined cases: a null text is an empty one and has the end id alone; null ids sort first;
 rows with equal ids stand in a stored order; an empty table gives a table without rows.
@@ -71,11 +72,12 @@ def _encode_words(words: list[str], tokenizer, ends: np.ndarray) -> list[bytes]:
 def encode_texts(texts: list[bytes], vocabulary: str) -> list[bytes]:
     """Ids of each text as little-endian 32-bit integers.
 
-    The normaliser lowers letters in any case, and a letter and a mark after it are never
-    one token, so ``word,`` has the ids of ``word`` and of ``,``.
+    The normaliser composes characters, then lowers letters, so only words of ASCII alone may be
+    lowered before it. A letter and a mark after it are never one token, so ``word,`` has the
+    ids of ``word`` and of ``,``.
     """
     tokenizer, ends, cache = _encoder(vocabulary)
-    words = [text.lower().split() for text in texts]
+    words = [text.lower().split() if text.isascii() else [w.lower() if w.isascii() else w for w in text.split()] for text in texts]
     if len(cache) > _CACHED_WORDS:
         cache.clear()
     missing = set(chain.from_iterable(words)).difference(cache)

@@ -47,6 +47,17 @@ def test_words_and_marks_part_as_the_library_does(text):
     assert ids == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["J\u030cH\u0331T\u0308", "Some J\u030c, W\u030aY\u030a! x", "E\u0301A\u0300 É İ\u0307 ABC", "X\nI\u0307.", "Ab \u0301c <|ENDOFTEXT|>"])
+def test_decomposed_capitals_have_the_library_ids(text):
+    ids = np.frombuffer(token_files.encode_texts([text.encode()], VOCABULARY)[0], "<u4").tolist()
+    assert ids == Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids
+
+
+def test_literal_special_tokens_are_ordinary_text():
+    ids = np.frombuffer(token_files.encode_texts([b"a <|endoftext|> b"], VOCABULARY)[0], "<u4").tolist()
+    assert 49407 not in ids and len(ids) == 8
+
+
 def test_files_have_page_index_and_set_row_groups(spark, documents, tmp_path):
     import pyarrow.parquet as pq
 
