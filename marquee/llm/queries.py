@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import byte_bpe, line_dedup, minhash, mixing, pii, sharding, syncmers, token_files, topk, toxicity
+from marquee.llm import (
+    byte_bpe, centroids, line_dedup, merkle, minhash, mixing, ngram_join, pii, sharding, statements, syncmers, token_files, topk, toxicity,
+)
 from marquee.llm.common import ship_package
 from marquee.session import scratch_path
 
@@ -72,6 +74,18 @@ def op10_closed_syncmers(spark: SparkSession, d: str) -> DataFrame:
     return syncmers.edited_fingerprints(table(spark, d, "documents"))
 
 
+def op11_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.linked_documents(table(spark, d, "documents"), 85)
+
+
+def op12_centroid_heaps(spark: SparkSession, d: str) -> DataFrame:
+    return centroids.clusters_with_inertia(table(spark, d, "embeddings"), 40, 5)
+
+
+def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    return merkle.document_manifest(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_kd_shards": op1_kd_shards,
@@ -84,11 +98,19 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": op8_line_dedup,
         "op9_source_mix": op9_source_mix,
         "op10_closed_syncmers": op10_closed_syncmers,
+        "op11_ngram_jaccard": op11_ngram_jaccard,
+        "op12_centroid_heaps": op12_centroid_heaps,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_segment_topk": _TOP_K, "op9_source_mix": _MIX}
+    return {
+        "op3_segment_topk": _TOP_K,
+        "op9_source_mix": _MIX,
+        "op12_centroid_heaps": statements.clusters_sql(),
+        "op13_merkle_manifest": statements.manifest_sql(),
+    }
 
 
 _TOP_K = """
