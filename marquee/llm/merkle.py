@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from marquee.operators.lineage import stored
 
-#: Leaves of a block at most.
-BLOCK_LEAVES = 256
+#: Leaves of a block at most. Code for structs nested deeper takes the compiler gigabytes.
+BLOCK_LEAVES = 16
 #: Ranks stay below 2**62.
 _RANK_BITS = 62
 
