@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import may_contain, text_key, whole_text
+from marquee.llm.common import may_contain, whole_text
 from marquee.llm.linking import components
 from marquee.operators.lineage import stored
 
@@ -45,7 +45,8 @@ FREQUENT = 16
 MOST_FREQUENT = 2**18
 #: Bits of the parity map that bounds how far two sets differ.
 PARITY_BITS = 1024
-_FLUSH = 2**21
+#: Shingles that a task gathers before it sends a run.
+_FLUSH = 2**19
 
 _STEP = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -159,25 +160,31 @@ def parity(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """(doc_id, row, check, text): two hashes name a row by its id and text."""
+    text = whole_text()
+    return docs.select("doc_id", F.xxhash64("doc_id", text).alias("row"), F.hash("doc_id", text).alias("check"), text.alias("text"))
+
+
 def describe(docs: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
-    """(doc_id, text_key, n, set_key, prefix, parity) of every row; no set_key without words."""
+    """(doc_id, row, check, n, set_key, prefix, parity) of every row; no set_key without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _texts(batches):
             found = [len(s) > 0 for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id"), part.column("text_key"), pa.array([len(s) for s in sets], pa.int64()),
+                    part.column("doc_id"), part.column("row"), part.column("check"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if f else None for s, f in zip(sets, found)], pa.binary()),
                     pa.array([prefix(s, frequent, percent).view(np.int64) if f else None for s, f in zip(sets, found)], pa.list_(pa.int64())),
                     pa.array([parity(s) if f else None for s, f in zip(sets, found)], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "text_key", "n", "set_key", "prefix", "parity"],
+                names=["doc_id", "row", "check", "n", "set_key", "prefix", "parity"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", text_key().alias("text_key"), whole_text().alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, text_key binary, n bigint, set_key binary, prefix array<bigint>, parity array<bigint>")
+    columns = f"doc_id {kind}, row bigint, check int, n bigint, set_key binary, prefix array<bigint>, parity array<bigint>"
+    return _named(docs).mapInArrow(run, columns)
 
 
 def _least_overlap(n: Column, m: Column, percent: int) -> Column:
@@ -188,22 +195,17 @@ def _sizes_fit(n: Column, m: Column, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
-def _row_name() -> Column:
-    return F.xxhash64("doc_id", "text_key")
-
-
 class _Overlaps:
     """Exact overlaps of pairs of classes, from their texts."""
 
     def __init__(self, docs: DataFrame, classes: DataFrame, name: str):
-        self.docs = docs.select("doc_id", text_key().alias("text_key"), whole_text().alias("text"))
-        self.classes, self.name = classes, name
+        self.docs, self.classes, self.name = _named(docs).drop("doc_id"), classes, name
 
     def _sets(self, wanted: DataFrame, kept: str) -> DataFrame:
         """(id, kept, tokens) of wanted rows (id, kept), each from the one text that stands for its class."""
-        spots = stored(wanted.join(self.classes.select("id", "row"), "id"), self.name)
-        rows = self.docs.withColumn("row", _row_name()).filter(may_contain(spots, "row")(F.col("row")))
-        texts = rows.join(spots, "row").dropDuplicates(["id", kept]).select("id", kept, "text")
+        spots = stored(wanted.join(self.classes.select("id", "row", "check"), "id"), self.name)
+        rows = self.docs.filter(may_contain(spots, "row")(F.col("row")))
+        texts = rows.join(spots, ["row", "check"]).dropDuplicates(["id", kept]).select("id", kept, "text")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for part, sets in _texts(batches):
@@ -234,9 +236,9 @@ def ngram_links(docs: DataFrame, percent: int = 85, name: str = "ngrams") -> tup
     Classes are linked with 100 * |intersection| >= percent * |union|.
     """
     described = stored(describe(docs, frequent_shingles(docs), percent), name)
-    one = F.min_by(F.struct("doc_id", "text_key", "n", "prefix", "parity"), F.struct("doc_id", "text_key")).alias("one")
+    one = F.min_by(F.struct("row", "check", "n", "prefix", "parity"), F.struct("row", "check")).alias("one")
     classes = described.filter("n > 0").groupBy("set_key").agg(one).select("set_key", "one.*")
-    classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), "set_key", "n", _row_name().alias("row"), "prefix", "parity"), name)
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), "set_key", "n", "row", "check", "prefix", "parity"), name)
     entries = classes.select(F.posexplode("prefix").alias("pos", "token"), "id", "n")
     lists = stored(entries.groupBy("token").agg(F.count(F.lit(1)).alias("length")).filter("length > 1"), name)
     live = stored(entries.filter(may_contain(lists, "token")(F.col("token"))).join(lists, "token"), name)
