@@ -248,14 +248,18 @@ def ngram_links(docs: DataFrame, percent: int = 85, name: str = "ngrams") -> tup
     def enough(n: Column, m: Column, common: Column) -> Column:
         return common * 100 >= (n + m - common) * percent
 
+    def left_open(n: Column, m: Column, p: Column, q: Column) -> Column:
+        """Whether the parity maps allow the similarity."""
+        differ = F.lit(0)
+        for i in range(PARITY_BITS // 64):
+            differ = differ + F.bit_count(p[i].bitwiseXOR(q[i]))
+        return enough(n, m, F.floor((n + m - differ) / 2))
+
     def in_reach(pairs: DataFrame) -> DataFrame:
         """(a, b, na, nb) of pairs that the parity maps leave open."""
         x, y = (facts.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("parity").alias(f"p{k}")) for k in "ab")
-        differ = F.lit(0)
-        for i in range(PARITY_BITS // 64):
-            differ = differ + F.bit_count(F.col("pa")[i].bitwiseXOR(F.col("pb")[i]))
-        most = F.floor((F.col("na") + F.col("nb") - differ) / 2)
-        return pairs.join(x, "a").join(y, "b").filter(enough(F.col("na"), F.col("nb"), most)).select("a", "b", "na", "nb")
+        near = left_open(F.col("na"), F.col("nb"), F.col("pa"), F.col("pb"))
+        return pairs.join(x, "a").join(y, "b").filter(near).select("a", "b", "na", "nb")
 
     def meet(n: Column, i: Column, m: Column, j: Column) -> Column:
         """Whether two entries of a list can be of similar sets."""
@@ -298,7 +302,7 @@ def ngram_links(docs: DataFrame, percent: int = 85, name: str = "ngrams") -> tup
     told = answers.select(F.col("a").alias("id"), F.col("b").alias("hub"), "common")
     shared = shared.join(told, ["id", "hub"], "left").withColumn("common", F.when(F.col("id") == F.col("hub"), F.col("n")).otherwise(F.col("common")))
     block = F.floor(F.log(F.col("n").cast("double")) * 8) * 64 + F.floor(F.col("pos") * 32 / F.col("n"))
-    shared = stored(shared.withColumn("block", block.cast("int")), name)
+    shared = stored(shared.withColumn("block", block.cast("int")).join(facts.select("id", "parity"), "id"), name)
     bounds = shared.groupBy("token", "block").agg(
         F.min("n").alias("n0"), F.max("n").alias("n1"), F.max("pos").alias("i1"), F.max(F.col("n") - F.col("pos")).alias("r1"), F.bool_or("open").alias("open")
     )
@@ -308,19 +312,20 @@ def ngram_links(docs: DataFrame, percent: int = 85, name: str = "ngrams") -> tup
     blocks = left.filter("openl").join(right, "token").filter(fit & (most >= _least_overlap(F.col("n0l"), F.col("n0r"), percent)))
     blocks = blocks.select("token", F.col("blockl").alias("block"), "blockr")
     x = shared.filter("open").join(blocks, ["token", "block"])
-    x = x.select("token", F.col("blockr").alias("block"), *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "pos", "root", "common")])
-    y = shared.select("token", "block", "hub_n", *[F.col(c).alias(f"{c}_y") for c in ("id", "n", "pos", "root", "common", "open")])
+    x = x.select("token", F.col("blockr").alias("block"), *[F.col(c).alias(f"{c}_x") for c in ("id", "n", "pos", "root", "common", "parity")])
+    y = shared.select("token", "block", "hub_n", *[F.col(c).alias(f"{c}_y") for c in ("id", "n", "pos", "root", "common", "parity", "open")])
     least = _least_overlap(F.col("n_x"), F.col("n_y"), percent)
     most = F.least("common_x", "common_y") + F.least(F.col("n_x") - F.col("common_x"), F.col("n_y") - F.col("common_y"))
     surely = F.col("common_x") + F.col("common_y") - F.col("hub_n")
     once = ~F.col("open_y") | (F.col("id_x") < F.col("id_y"))
     met = meet(F.col("n_x"), F.col("pos_x"), F.col("n_y"), F.col("pos_y"))
+    met = met & left_open(F.col("n_x"), F.col("n_y"), F.col("parity_x"), F.col("parity_y"))
     both = x.join(y, ["token", "block"]).filter((F.col("root_x") != F.col("root_y")) & once & met & F.coalesce(most >= least, F.lit(True)))
     sure = F.max(F.coalesce(enough(F.col("n_x"), F.col("n_y"), surely), F.lit(False))).alias("sure")
-    both = stored(both.groupBy(F.col("id_x").alias("a"), F.col("id_y").alias("b")).agg(sure), name)
+    both = stored(both.groupBy(F.col("id_x").alias("a"), F.col("id_y").alias("b"), F.col("n_x").alias("na"), F.col("n_y").alias("nb")).agg(sure), name)
     seen = answers.unionByName(more).select("a", "b")
     seen = seen.union(seen.select("b", "a"))
-    rest = stored(in_reach(both.filter("NOT sure").select("a", "b").join(seen, ["a", "b"], "left_anti")), name)
+    rest = stored(both.filter("NOT sure").select("a", "b", "na", "nb").join(seen, ["a", "b"], "left_anti"), name)
     last = links_of(overlaps.of(rest.select("a", "b")).join(rest, ["a", "b"]))
     groups = components(links.union(both.filter("sure").select("a", "b")).union(last), name)
     keys = classes.select("id", "set_key")
