@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from marquee import schemas
+from marquee.functions.amounts import usable
 
 
 def band(value: Column, bands: Sequence[tuple[float, str]], rest: str, null_label: str | None = None) -> Column:
@@ -52,10 +53,9 @@ def whole_number(text: Column) -> Column:
     return F.nullif(digits, F.lit("")).try_cast("int")
 
 
-def finite_number(text: Column, limit: float = 1e15) -> Column:
-    """Number of a text, else null; also null when not finite or beyond the limit of exact sums."""
-    number = text.try_cast("double")
-    return F.when(F.abs(number) < limit, number)
+def finite_number(text: Column) -> Column:
+    """Number of a text, else null; also null for one that is no amount (see ``amounts``)."""
+    return usable(text.try_cast("double"))
 
 
 def hour_of_clock(clock: Column) -> Column:

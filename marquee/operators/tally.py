@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.amounts import high_part, joined, low_part
+from marquee.functions.amounts import high_part, joined, low_part, rest_part, usable
 from marquee.operators.sizing import fits_broadcast
 
 
@@ -33,15 +33,16 @@ class SplitSales:
 Sales = DataFrame | SplitSales
 
 MEASURES = (
-    "tickets", "total_high", "total_low", "total_count", "price_high", "price_low", "price_count",
+    "tickets", "total_high", "total_low", "total_rest", "total_count",
+    "price_high", "price_low", "price_rest", "price_count",
 )
 
 
 def ticket_measures(sales: Sales, *columns: str) -> DataFrame:
     """The given columns beside additive measures, at ticket grain or coarser.
 
-    Measures: tickets, and for both total and price a high part, a low part and a
-    count (see ``amounts``), with the squares of the total. Unused ones are pruned
+    Measures: tickets, and for both total and price a high part, a low part, the rest and
+    a count (see ``amounts``). Unused ones are pruned
     from the plan. The rows are input for an aggregate: how many tickets one row
     stands for is not fixed.
 
@@ -78,47 +79,52 @@ def summed() -> list[Column]:
 
 def revenue() -> Column:
     """The order total behind summed measures."""
-    return joined(F.col("total_high"), F.col("total_low"))
+    return joined(F.col("total_high"), F.col("total_low"), F.col("total_rest"))
 
 
 def price() -> Column:
     """The ticket price behind summed measures."""
-    return joined(F.col("price_high"), F.col("price_low"))
+    return joined(F.col("price_high"), F.col("price_low"), F.col("price_rest"))
 
 
 def _per_ticket(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     total, price = F.col("total"), F.col("ticket_price")
-    return rows.select(
+    return rows.withColumns({"total": usable(total), "ticket_price": usable(price)}).select(
         *columns,
         _present("ticket_id").alias("tickets"),
         high_part(total).alias("total_high"),
         low_part(total).alias("total_low"),
+        rest_part(total).alias("total_rest"),
         _present("total").alias("total_count"),
         high_part(price).alias("price_high"),
         low_part(price).alias("price_low"),
+        rest_part(price).alias("price_rest"),
         _present("ticket_price").alias("price_count"),
     )
 
 
 def _per_order(tickets: DataFrame, orders: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Sum the tickets of an order before the join, so no order is a hot join key."""
-    price = F.col("ticket_price")
+    price = usable(F.col("ticket_price"))
     sums = tickets.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("ticket_id").alias("tickets"),
         F.sum(high_part(price)).alias("price_high"),
         F.sum(low_part(price)).alias("price_low"),
-        F.count("ticket_price").alias("price_count"),
+        F.sum(rest_part(price)).alias("price_rest"),
+        F.count(price).alias("price_count"),
     )
     total, rows = F.col("total"), F.col("rows")
-    return sums.join(orders, "order_id").select(
+    return sums.join(orders, "order_id").withColumn("total", usable(total)).select(
         *columns,
         "tickets",
         (high_part(total) * rows).alias("total_high"),
         (low_part(total) * rows).alias("total_low"),
+        (rest_part(total) * rows.cast("decimal(12,0)")).alias("total_rest"),
         (_present("total") * rows).alias("total_count"),
         "price_high",
         "price_low",
+        "price_rest",
         "price_count",
     )
 

@@ -40,7 +40,7 @@ POPCORN_LABEL, NO_POPCORN_LABEL = "Có bắp rang", "Không bắp rang"
 UNKNOWN = "Unknown"
 
 # Amounts are stored as double; a sum of them becomes this exact decimal.
-AMOUNT_SUM = T.DecimalType(24, 2)
+AMOUNT_SUM = T.DecimalType(38, 15)
 
 
 def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:

@@ -7,15 +7,21 @@ agree to the last digit.
 
 from __future__ import annotations
 
-FACT = """
+
+
+def _exact(amount: str) -> str:
+    """A double as the decimal that its text says."""
+    return f"CAST(CAST({amount} AS VARCHAR) AS DECIMAL(24,6))"
+
+
+FACT = f"""
 WITH fact AS (
   SELECT l_orderkey AS order_id, l_linenumber AS ticket_id, o_custkey AS customer_id,
          'Film #' || l_partkey AS film_name, CAST(o_orderdate AS DATE) AS sale_date,
          isodow(o_orderdate) >= 6 AS is_weekend, l_linestatus AS slot_type,
          l_returnflag = 'R' AS has_popcorn, CAST(l_suppkey % 10 AS INTEGER) AS room,
          o_orderpriority AS ticket_type,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS ticket_price,
-         CAST(o_totalprice AS DECIMAL(18,2)) AS total
+         {_exact('l_extendedprice')} AS ticket_price, {_exact('o_totalprice')} AS total
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ), films AS (
   SELECT 'Film #' || p_partkey AS film_name, nullif(p_type, 'ECONOMY') AS rating,
@@ -30,7 +36,7 @@ WITH fact AS (
               ELSE '50+' END AS age_group
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
 ), shows AS (
-  SELECT event_id AS ticket_id, CAST(hour(ts) AS INTEGER) AS show_hour, CAST(value AS DECIMAL(18,2)) AS total,
+  SELECT event_id AS ticket_id, CAST(hour(ts) AS INTEGER) AS show_hour, {_exact('value')} AS total,
          CASE WHEN hour(ts) < 12 THEN 'Sáng' WHEN hour(ts) < 17 THEN 'Chiều'
               WHEN hour(ts) < 20 THEN 'Tối sớm' ELSE 'Tối muộn' END AS show_session
   FROM events
@@ -42,12 +48,13 @@ def _half_up(part: str, whole: str, digits: int) -> str:
     return f"CAST((2 * ({part}) * {10 ** digits} + ({whole})) // (2 * ({whole})) AS DOUBLE) / {10 ** digits}.0"
 
 
-def _cents(amount: str) -> str:
-    return f"CAST(({amount}) * 100 AS HUGEINT)"
+def _units(amount: str) -> str:
+    """A decimal of six places in whole units of the last one."""
+    return f"CAST(({amount}) * 1000000 AS HUGEINT)"
 
 
 def _mean(total: str, count: str, digits: int = 0) -> str:
-    return _half_up(_cents(total), f"CAST({count} AS HUGEINT) * 100", digits)
+    return _half_up(_units(total), f"CAST({count} AS HUGEINT) * 1000000", digits)
 
 
 def _money(total: str, digits: int = 0) -> str:
@@ -55,7 +62,7 @@ def _money(total: str, digits: int = 0) -> str:
 
 
 PCT_TICKETS = _half_up("CAST(so_ve AS HUGEINT) * 100", "CAST(SUM(so_ve) OVER () AS HUGEINT)", 2)
-PCT_REVENUE = _half_up(_cents("revenue") + " * 100", _cents("SUM(revenue) OVER ()"), 2)
+PCT_REVENUE = _half_up(_units("revenue") + " * 100", _units("SUM(revenue) OVER ()"), 2)
 REVENUE = _money("SUM(total)")
 
 DAILY = f"""{FACT}, daily AS (
@@ -186,7 +193,7 @@ def _value_counts(source: str, *columns: str) -> str:
 
 MONTHLY = """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS sale_year, CAST(month(o_orderdate) AS INTEGER) AS sale_month,
-       COUNT(*) AS so_don, CAST(SUM(CAST({total} AS DECIMAL(18,2))) AS DOUBLE) AS doanh_thu
+       COUNT(*) AS so_don, CAST(SUM(CAST(CAST({total} AS VARCHAR) AS DECIMAL(24,6))) AS DOUBLE) AS doanh_thu
 FROM orders WHERE {condition} GROUP BY 1, 2"""
 
 COHORT = f"""{FACT}, visits AS (
@@ -354,7 +361,7 @@ UNION ALL {_value_counts('sessions', 'slot_type', 'show_session')}""",
         "preview": "SELECT * FROM customer ORDER BY c_custkey LIMIT 10",
         "csv_tickets": f"""{CLEAN}
 SELECT show_session, is_couple_seat, has_popcorn, COUNT(*) AS so_ve, COUNT(total) AS so_tong,
-       COUNT(sale_hour) AS so_gio, CAST(SUM(CAST(ticket_price AS DECIMAL(18,2))) AS DOUBLE) AS gia
+       COUNT(sale_hour) AS so_gio, CAST(SUM({_exact('ticket_price')}) AS DOUBLE) AS gia
 FROM sessions GROUP BY 1, 2, 3""",
         "csv_customers": _profile(twice, "customer", raw_customer_missing),
         "csv_films": f"{CLEAN} SELECT * FROM titles",
@@ -384,7 +391,7 @@ FROM (VALUES {fact_item}) AS c(position, column_name, type)""",
         "kpi_export": f"{TOP_FILMS} SELECT * FROM best",
         "star_store": f"""{CLEAN}, mix AS (
   SELECT COALESCE(f.rating, 'Unknown') AS genre, COUNT(t.ticket_id) AS so_ve,
-         {_money('SUM(CAST(t.total AS DECIMAL(18,2)))')} AS doanh_thu
+         {_money(f"SUM({_exact('t.total')})")} AS doanh_thu
   FROM sessions t LEFT JOIN titles f ON t.film_name = f.film_name GROUP BY 1
 ) SELECT *, {PCT_TICKETS} AS pct_ve FROM mix""",
         "genre_films": f"""{FACT}

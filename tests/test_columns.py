@@ -1,4 +1,6 @@
 import datetime
+import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,8 +34,8 @@ def test_whole_number(spark):
 
 
 def test_finite_number(spark):
-    texts = ["90000", "-1.5", "1e3", "x", "", None, "NaN", "Infinity", "1e16"]
-    assert values(spark, C.finite_number, texts) == [90000.0, -1.5, 1000.0, None, None, None, None, None, None]
+    texts = ["90000", "-1.5", "1e3", "x", "", None, "NaN", "Infinity", "1e16", "2e15"]
+    assert values(spark, C.finite_number, texts) == [90000.0, -1.5, 1000.0, None, None, None, None, None, None, 2e15]
 
 
 def test_address_parts(spark):
@@ -72,18 +74,30 @@ def test_weekdays(spark):
 
 def test_exact_sum_of_many_cents(spark):
     df = spark.range(300_000).select((F.lit(0.1) + (F.col("id") % 2) * -0.3).alias("v"))
-    assert str(df.agg(exact_sum(F.col("v"))).first()[0]) == "-15000.00"
+    assert df.agg(exact_sum(F.col("v"))).first()[0] == Decimal("-15000.00")
 
 
-@pytest.mark.parametrize("rows, expected", [([1e13, 0.01, -5.25], "9999999999994.76"), ([None, None], "None"), ([-0.01], "-0.01")])
+@pytest.mark.parametrize("rows, expected", [
+    ([1e13, 0.01, -5.25], "9999999999994.76"), ([None, None], None), ([-0.01], "-0.01"),
+    ([0.004] * 1000, "4.00"), ([47521.123, 0.0005, -1.5], "47519.6235"), ([2e15, 0.125, None], "2000000000000000.125"),
+    ([1.0, float("nan"), float("inf"), float("-inf"), 1e300], "1.00"), ([float("nan")], None), ([1e-15, 3e-15], "0.000000000000004"),
+])
 def test_exact_sum_edges(spark, rows, expected):
     df = spark.createDataFrame([(v,) for v in rows], "v double")
-    assert str(df.agg(exact_sum(F.col("v"))).first()[0]) == expected
+    assert df.agg(exact_sum(F.col("v"))).first()[0] == (expected and Decimal(expected))
+
+
+def test_exact_sum_of_any_decimals(spark):
+    pick = random.Random(12)
+    amounts = [round(pick.uniform(-1, 1) * 10 ** pick.randrange(0, 7), pick.randrange(0, 8)) for _ in range(3000)]
+    for parts in (1, 7):
+        df = spark.createDataFrame([(v,) for v in amounts], "v double").repartition(parts)
+        assert df.agg(exact_sum(F.col("v"))).first()[0] == sum(Decimal(repr(v)) for v in amounts)
 
 
 def test_exact_sum_beyond_one_word(spark):
     df = spark.range(2_000_000).select(F.lit(9e10).alias("v"))
-    assert str(df.agg(exact_sum(F.col("v"))).first()[0]) == "180000000000000000.00"
+    assert df.agg(exact_sum(F.col("v"))).first()[0] == Decimal("180000000000000000.00")
 
 
 def test_share_rounds_ties_up(spark):
@@ -91,5 +105,10 @@ def test_share_rounds_ties_up(spark):
     assert sorted(r[0] for r in df.collect()) == [16.67, 83.34]
 
 
+def test_share_of_small_amounts(spark):
+    df = spark.createDataFrame([(0.004,), (0.012,)], "v double").select(share(F.col("v").cast("decimal(38,15)")).alias("p"))
+    assert sorted(r[0] for r in df.collect()) == [25.0, 75.0]
+
+
 def test_ratio_of_zero_is_null(spark):
     assert spark.range(1).select(ratio(F.lit(5).cast("decimal(24,2)"), F.lit(0))).first()[0] is None
