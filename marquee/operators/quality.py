@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marquee.functions.columns import is_missing
+from marquee.operators.lineage import stored
 
 
 def profile(df: DataFrame, name: str) -> DataFrame:
@@ -56,28 +57,32 @@ def not_positive(df: DataFrame, *columns: str) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c) <= 0).alias(f"invalid_{c}") for c in columns])
 
 
-def fact_checks(fact: DataFrame) -> DataFrame:
-    """All checks of the fact as rows of (check, item, value), in two passes."""
+def fact_checks(fact: DataFrame, account: Observation | None = None) -> DataFrame:
+    """All checks of the fact as rows of (check, item, value), in one pass over the fact.
+
+    Date range, bad amounts and the ``account`` of cleaning are observed while four columns are stored;
+    frequencies and distinct counts then read one or two stored columns each.
+    """
     invalid = ("ticket_price", "total")
-    one = fact.agg(
-        F.min("sale_date").alias("first"), F.max("sale_date").alias("last"),
+    seen = Observation()
+    observed = fact.observe(
+        seen, F.min("sale_date").alias("min"), F.max("sale_date").alias("max"),
         *[F.count_if(F.col(c) <= 0).alias(c) for c in invalid],
     )
-    scalars = [("date_range", "min", "first"), ("date_range", "max", "last")]
-    scalars += [("not_positive", c, c) for c in invalid]
-    entries = [
-        F.struct(F.lit(check).alias("check"), F.lit(item).alias("item"), F.col(c).cast("string").alias("value"))
-        for check, item, c in scalars
+    kept = stored(observed.select("slot_type", "show_session", "film_name", "customer_id"), "checks")
+    facts = seen.get
+    scalars = [("date_range", c, facts[c]) for c in ("min", "max")] + [("not_positive", c, facts[c]) for c in invalid]
+    if account is not None:
+        scalars += [("account", item, value) for item, value in account.get.items()]
+    rows = [(check, item, None if value is None else str(value)) for check, item, value in scalars]
+    told = fact.sparkSession.createDataFrame(rows, "check string, item string, value string")
+    pairs = kept.groupBy("slot_type", "show_session").agg(F.count(F.lit(1)).alias("value"))
+    values = _long(pairs, ("slot_type", "show_session"), "value").groupBy("check", "item").agg(F.sum("value").cast("string").alias("value"))
+    distinct = [
+        kept.select(c).distinct().agg(F.count(F.lit(1)).cast("string").alias("value")).select(F.lit("distinct").alias("check"), F.lit(c).alias("item"), "value")
+        for c in ("film_name", "customer_id")
     ]
-    counted = _value_counts(fact, "slot_type", "show_session", "film_name", "customer_id")
-    key = F.col("check").isin("film_name", "customer_id")
-    merged = counted.select(
-        F.when(key, "distinct").otherwise(F.col("check")).alias("check"),
-        F.when(key, F.col("check")).otherwise(F.col("item")).alias("item"),
-        F.when(key, 1).otherwise(F.col("value")).alias("value"),
-    )
-    values = merged.groupBy("check", "item").agg(F.sum("value").cast("string").alias("value"))
-    return one.select(F.inline(F.array(*entries))).unionByName(values)
+    return _stack([told, values, *distinct])
 
 
 def customer_checks(customers: DataFrame) -> DataFrame:
@@ -90,10 +95,10 @@ def _value_counts(df: DataFrame, *columns: str) -> DataFrame:
     return _long(df, columns).groupBy("check", "item").agg(F.count(F.lit(1)).alias("value"))
 
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One (check, item) row per column of each row."""
+def _long(df: DataFrame, columns: Sequence[str], *more: str) -> DataFrame:
+    """One (check, item) row per column of each row, beside ``more`` columns."""
     entries = [F.struct(F.lit(c).alias("check"), F.col(c).cast("string").alias("item")) for c in columns]
-    return df.select(F.inline(F.array(*entries)))
+    return df.select(F.inline(F.array(*entries)), *more)
 
 
 def _stack(parts: Sequence[DataFrame]) -> DataFrame:

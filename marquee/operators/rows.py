@@ -26,12 +26,12 @@ def top(df: DataFrame, k: int, *order: Column | str) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def side_by_side(*frames: DataFrame) -> DataFrame:
-    """Several one-row frames with different columns as one row, without a join."""
-    stacked = frames[0]
-    for frame in frames[1:]:
-        stacked = stacked.unionByName(frame, allowMissingColumns=True)
-    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+def measures_as_rows(df: DataFrame, name: str, *keys: str) -> DataFrame:
+    """The numbers of a report as rows (report, item, measure, value); ``item`` joins the keys, null as an empty text."""
+    numbers = [f.name for f in df.schema if f.name not in keys and f.dataType.typeName() not in ("string", "date", "boolean")]
+    item = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    wide = df.select(item.alias("item"), *[F.col(c).cast("double").alias(c) for c in numbers])
+    return wide.unpivot("item", numbers, "measure", "value").select(F.lit(name).alias("report"), "item", "measure", "value")
 
 
 def label_frame(spark: SparkSession, column: str, labels: Sequence[str]) -> DataFrame:

@@ -63,6 +63,19 @@ def ticket_measures(sales: Sales, *columns: str) -> DataFrame:
     return _per_order(sales.tickets, orders, columns)
 
 
+def order_cells(sales: Sales) -> tuple[DataFrame, bool]:
+    """Measures with order_id, customer_id, sale_date and a list ``films``, and whether there is one row per order.
+
+    Split sales are summed per order before the join, the films of an order as a set, which is no
+    longer than the catalogue; joined sales keep their rows.
+    """
+    columns = ("order_id", "customer_id", "sale_date")
+    if isinstance(sales, DataFrame):
+        return _per_ticket(sales, (*columns, "film_name")).withColumn("films", F.array("film_name")), False
+    orders = sales.orders.select(*columns, "total")
+    return _per_order(sales.tickets, orders, (*columns, "films"), films=F.collect_set("film_name")), True
+
+
 def tally(sales: Sales, *by: str) -> DataFrame:
     """One row per combination of ``by`` with the summed measures."""
     return regroup(ticket_measures(sales, *by), *by)
@@ -103,8 +116,8 @@ def _per_ticket(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     )
 
 
-def _per_order(tickets: DataFrame, orders: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Sum the tickets of an order before the join, so no order is a hot join key."""
+def _per_order(tickets: DataFrame, orders: DataFrame, columns: tuple[str, ...], **more: Column) -> DataFrame:
+    """Sum the tickets of an order before the join, so no order is a hot join key; ``more`` names further aggregates."""
     price = usable(F.col("ticket_price"))
     sums = tickets.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("rows"),
@@ -113,6 +126,7 @@ def _per_order(tickets: DataFrame, orders: DataFrame, columns: tuple[str, ...])
         F.sum(low_part(price)).alias("price_low"),
         F.sum(rest_part(price)).alias("price_rest"),
         F.count(price).alias("price_count"),
+        *[c.alias(n) for n, c in more.items()],
     )
     total, rows = F.col("total"), F.col("rows")
     return sums.join(orders, "order_id").withColumn("total", usable(total)).select(

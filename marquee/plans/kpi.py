@@ -9,14 +9,15 @@ reports have always done; ``extended.revenue_per_order`` counts it once per orde
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee import schemas
 from marquee.functions.amounts import ratio, rounded, share
-from marquee.operators.rows import align, side_by_side, top
-from marquee.operators.tally import Sales, price, regroup, revenue, summed, tally, ticket_measures
+from marquee.operators.rows import align, top
+from marquee.operators.tally import MEASURES, Sales, order_cells, price, regroup, revenue, summed, tally, ticket_measures
 from marquee.operators.trends import with_change
 
 
@@ -46,25 +47,35 @@ def _mean_price() -> Column:
 def summary(sales: Sales) -> DataFrame:
     """One row: orders, tickets, customers, films, revenue, mean price, first and last date.
 
-    Each distinct count is a narrow pass of its own. Counted together they would need
-    every ticket once per counted column in the shuffle's hash tables.
+    Tickets are shuffled once, by order. Each cell then gives one row that carries its
+    measures, and one row per customer and film; equal ones merge inside each task, so all
+    distinct counts come out of one narrow aggregate.
     """
-    orders = regroup(
-        ticket_measures(sales, "order_id", "sale_date"), "order_id",
-        first=F.min("sale_date"), last=F.max("sale_date"),
-    ).agg(
-        F.count("order_id").alias("tong_don_hang"), F.min("first").alias("ngay_dau"), F.max("last").alias("ngay_cuoi"),
-        *summed(),
+    cells, one_per_order = order_cells(sales)
+    keys = {"customer": F.array("customer_id"), "film": F.col("films")} | ({} if one_per_order else {"order": F.array("order_id")})
+
+    def named(kind: str, key: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), key.cast("string").alias("key"))
+
+    lists = [F.transform(values, partial(named, kind)) for kind, values in keys.items()]
+    whole = F.array(named("all", F.lit(None)))
+    held = [*MEASURES, "sale_date", "order_id"]
+    rows = cells.select(*held, F.explode(F.concat(whole, *lists)).alias("of"))
+    only = F.col("of.kind") == "all"
+    rows = rows.select("of.*", *[F.when(only, F.col(c)).alias(c) for c in held])
+    merged = regroup(rows, "kind", "key", first=F.min("sale_date"), last=F.max("sale_date"), orders=F.count("order_id"))
+
+    def distinct(kind: str) -> Column:
+        return F.count_if((F.col("kind") == kind) & F.col("key").isNotNull())
+
+    whole = merged.agg(
+        (F.max("orders") if one_per_order else distinct("order")).alias("tong_don_hang"),
+        distinct("customer").alias("tong_khach_hang"), distinct("film").alias("tong_phim"),
+        F.min("first").alias("ngay_dau"), F.max("last").alias("ngay_cuoi"), *summed(),
     )
-    customers = ticket_measures(sales, "customer_id").select("customer_id").distinct()
-    films = ticket_measures(sales, "film_name").select("film_name").distinct()
-    return side_by_side(
-        orders,
-        customers.agg(F.count("customer_id").alias("tong_khach_hang")),
-        films.agg(F.count("film_name").alias("tong_phim")),
-    ).select(
-        "tong_don_hang",
-        _tickets().alias("tong_ve_ban"),
+    return whole.select(
+        F.coalesce("tong_don_hang", F.lit(0)).alias("tong_don_hang"),
+        F.coalesce(_tickets(), F.lit(0)).alias("tong_ve_ban"),
         "tong_khach_hang",
         "tong_phim",
         _total().alias("tong_doanh_thu_vnd"),
@@ -126,6 +137,18 @@ def _day_label() -> Column:
 # --- films --------------------------------------------------------------------
 
 
+def rating_by_gender(sales: DataFrame, films: DataFrame) -> DataFrame:
+    """Tickets and revenue per film rating and customer gender; sales without a known customer under null.
+
+    ``sales`` are tickets that have met their customers.
+    """
+    per_film = tally(sales, "film_name", "gender")
+    catalogue = films.select(F.trim("film_name").alias("title"), "rating")
+    met = per_film.join(catalogue, F.trim(per_film["film_name"]) == catalogue["title"], "left")
+    mixed = regroup(met.withColumn("genre", F.coalesce("rating", F.lit(schemas.UNKNOWN))), "genre", "gender")
+    return mixed.select("genre", "gender", _tickets().alias("so_ve"), _total().alias("doanh_thu")).orderBy("genre", "gender")
+
+
 def _with_film(sales: Sales, films: DataFrame, *attributes: str) -> DataFrame:
     """Measures per film beside film attributes; films not in the catalogue stay."""
     per_film = tally(sales, "film_name")

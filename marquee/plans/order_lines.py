@@ -154,11 +154,10 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
         F.when(segment == "MACHINERY", "m").when(segment == "FURNITURE", "Male")
         .when(segment == "BUILDING", "FEMALE").when(segment == "AUTOMOBILE", "Nam")
     )
-    prefix = F.when(nation % 2 == 0, schemas.ONLINE_PREFIX).otherwise("C")
     twice = _customers_with_place(spark, folder).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
     known = ~((F.col("copy") == 1) & (nation == 9))
     return twice.select(
-        F.when(known, F.concat(prefix, key.cast("string"))).alias("customerid"),
+        F.when(known, F.concat(_customer_prefix(), key.cast("string"))).alias("customerid"),
         dob.alias("dob"),
         gender.alias("gender"),
         address.alias("address"),
@@ -166,6 +165,20 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
     ).select(*schemas.RAW_CUSTOMER)
 
 
+def _customer_prefix() -> Column:
+    return F.when(F.col("c_nationkey") % 2 == 0, schemas.ONLINE_PREFIX).otherwise("C")
+
+
+def raw_tickets_with_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw tickets under the ids of the raw customers; every tenth customer's tickets have an id no one has."""
+    people = table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("customerid"),
+        F.concat(F.when(F.col("c_custkey") % 10 == 0, "X").otherwise(_customer_prefix()), F.col("c_custkey").cast("string")).alias("known_id"),
+    )
+    met = raw_tickets(spark, folder).join(people, "customerid", "left")
+    return met.withColumn("customerid", F.col("known_id")).select(*schemas.RAW_TICKET)
+
+
 def raw_films(spark: SparkSession, folder: str) -> DataFrame:
     """Every part as a raw film row; the smallest size has no title."""
     size = F.col("p_size")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marquee import schemas
@@ -74,19 +74,43 @@ def dim_date_of(dates: DataFrame) -> DataFrame:
     )
 
 
-def build_fact_ticket(raw: DataFrame, null_session: str | None = None, dedupe: bool = False) -> DataFrame:
+def _refusals() -> dict[str, Column]:
+    """Why a raw ticket is left out, in the order in which it is told; texts are the raw ones, others typed."""
+    return {
+        "no_order": F.col("order_id").isNull(),
+        "no_customer": F.col("customer_id").isNull(),
+        "no_film": F.col("film_name").isNull(),
+        "no_date": F.col("sale_date").isNull(),
+        "no_price": F.col("ticket_price").isNull(),
+        "price_not_positive": F.col("ticket_price") <= 0,
+    }
+
+
+def build_fact_ticket(
+    raw: DataFrame, null_session: str | None = None, dedupe: bool = False, account: Observation | None = None,
+    zone: str | None = None,
+) -> DataFrame:
     """One row per sold ticket. Narrow: no shuffle unless ``dedupe`` drops equal rows.
 
-    ``sale_date`` is the date of the screening; the hour of sale comes from ``saledate``.
-    Rows without order, customer, film, date or a positive price are dropped.
+    ``sale_date`` is the date of the screening; the hour of sale comes from ``saledate``. It is
+    the hour that the text shows, unless ``zone`` is given: then a text with an offset counts as
+    the hour of that moment in the zone, and a text without one as the zone's own time.
+
+    Rows without order, customer, film, date or a positive price are dropped. ``account`` learns in the
+    pass that reads the rows how many came in, went out, and were refused for which reason;
+    each refused row counts once, under its first reason.
     """
+    if zone is None:
+        sold = F.hour(F.col("saledate").try_cast("timestamp_ntz"))
+    else:
+        sold = _hour_in(F.col("saledate"), zone)
     fact = raw.select(
         F.col("orderid").alias("order_id"),
         F.col("ticketcode").alias("ticket_id"),
         F.col("customerid").alias("customer_id"),
         F.trim("film").alias("film_name"),
         F.try_to_date("date").alias("sale_date"),
-        F.hour(F.col("saledate").try_cast("timestamp_ntz")).alias("sale_hour"),
+        sold.alias("sale_hour"),
         "time",
         C.hour_of_clock(F.col("time")).alias("show_hour"),
         "slot",
@@ -98,16 +122,38 @@ def build_fact_ticket(raw: DataFrame, null_session: str | None = None, dedupe: b
         C.finite_number(F.col("total")).alias("total"),
         C.is_yes(F.col("popcorn")).alias("has_popcorn"),
         F.trim("cashier").alias("cashier"),
+        F.coalesce(F.trim("total") != "", F.lit(False)).alias("total_given"),
     )
-    kept = fact.dropna(subset=["order_id", "customer_id", "film_name", "sale_date"]).filter(F.col("ticket_price") > 0)
+    reason = F
+    for name, holds in _refusals().items():
+        reason = reason.when(holds, name)
+    fact = fact.withColumn("refused", reason)
+    if account is not None:
+        kept = F.col("refused").isNull()
+        fact = fact.observe(
+            account,
+            F.count(F.lit(1)).alias("rows_in"),
+            F.count_if(kept).alias("rows_out"),
+            *[F.count_if(F.col("refused") == name).alias(name) for name in _refusals()],
+            F.count_if(kept & F.col("total_given") & F.col("total").isNull()).alias("total_unreadable"),
+        )
     derived = {
         "is_weekend": C.is_weekend(F.col("sale_date")),
         "show_session": C.show_session(F.col("show_hour"), null_session),
     }
-    kept = kept.withColumns(derived).select(*schemas.FACT_TICKET.names)
+    kept = fact.filter("refused IS NULL").withColumns(derived).select(*schemas.FACT_TICKET.names)
     return kept.distinct() if dedupe else kept
 
 
+def _hour_in(text: Column, zone: str) -> Column:
+    """The hour of a date and time in a zone; what the text itself says counts unless it has an offset."""
+    offset = F.regexp_extract(text, r"(?i)(Z|[+-]\d{2}:?\d{2})\s*$", 1)
+    local = text.try_cast("timestamp_ntz")
+    moment = text.try_cast("timestamp")
+    there = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.convert_timezone(F.current_timezone(), F.lit("UTC"), moment.cast("timestamp_ntz")))
+    return F.when(offset != "", F.hour(there)).otherwise(F.hour(local))
+
+
 def with_sale_month(fact: DataFrame) -> DataFrame:
     """Add the partition columns sale_year and sale_month."""
     return fact.withColumns({"sale_year": F.year("sale_date"), "sale_month": F.month("sale_date")})

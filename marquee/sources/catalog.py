@@ -7,17 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-# insertInto reads the overwrite mode from the session, not from writer options.
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
+from marquee.sources.files import write_parquet
 
 class RowCountMismatch(RuntimeError):
     """A stored table that does not hold the rows it was given."""
 
 
-def use_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
-    """Create a schema unless it exists, and make it current."""
+def use_schema(spark: SparkSession, name: str, location: str | None = None, catalog: str | None = None) -> None:
+    """Create a schema unless it exists, and make it current, in the given catalog or the current one."""
+    if catalog:
+        spark.catalog.setCurrentCatalog(catalog)
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}{where}")
     spark.catalog.setCurrentDatabase(name)
@@ -33,13 +32,12 @@ def save_table(
     """
     spark = df.sparkSession
     if only_touched and spark.catalog.tableExists(name):
-        ordered = df.select(*spark.table(name).columns)
-        mode = spark.conf.get(_OVERWRITE_MODE)
-        spark.conf.set(_OVERWRITE_MODE, "dynamic")
-        try:
-            _spread(ordered, partition_by).write.mode("overwrite").insertInto(name)
-        finally:
-            spark.conf.set(_OVERWRITE_MODE, mode)
+        # insertInto takes the mode from the session only; a write to the table's place has it as its own option
+        place = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
+        ordered = df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in spark.table(name).schema])
+        write_parquet(ordered, place, partition_by, only_touched=True)
+        spark.catalog.recoverPartitions(name)
+        spark.catalog.refreshTable(name)
         return
     writer = _spread(df, partition_by).write.mode("overwrite").format("parquet")
     if partition_by:
@@ -49,6 +47,16 @@ def save_table(
     writer.saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str) -> None:
+    """Overwrite a table whose rows lie in buckets of the keys, sorted by them.
+
+    Two such tables with equal keys and bucket counts are joined without a shuffle. A bucket
+    is one file, written by one task.
+    """
+    spread = df.repartition(buckets, *keys)
+    spread.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+
+
 def _spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *partition_by) if partition_by else df
 

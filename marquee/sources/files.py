@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.functions.columns import is_missing
+
 
 class TableNotReadable(RuntimeError):
     """A table path that cannot be opened."""
@@ -51,16 +53,33 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     )
 
 
+def rows_by_file(df: DataFrame) -> DataFrame:
+    """Files that the rows of a frame come from: path, name, bytes, modified, rows.
+
+    The file of each row is in its metadata; Parquet tells it without reading a column.
+    """
+    meta = [F.col(f"_metadata.{c}").alias(n) for c, n in
+            (("file_path", "path"), ("file_name", "name"), ("file_size", "bytes"), ("file_modification_time", "modified"))]
+    return df.select(*meta).groupBy("path", "name", "bytes", "modified").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def schema_report(df: DataFrame) -> DataFrame:
-    """Columns of a frame as rows: position, column_name, type, nullable."""
+    """Columns of a frame as rows, with what they hold: position, column_name, type, nullable, filled, empty.
+
+    ``empty`` counts nulls and empty texts. All columns are counted in one aggregate.
+    """
+    fields = df.schema.fields
+    missing = [is_missing(f"`{f.name}`", f.dataType.simpleString()) for f in fields]
+    counts = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(m).alias(f"c{i}") for i, m in enumerate(missing)])
     entries = [
         F.struct(
             F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
             F.lit(f.dataType.simpleString()).alias("type"), F.lit(f.nullable).alias("nullable"),
+            (F.col("rows") - F.col(f"c{i}")).alias("filled"), F.col(f"c{i}").alias("empty"),
         )
-        for i, f in enumerate(df.schema.fields)
+        for i, f in enumerate(fields)
     ]
-    return df.sparkSession.range(1).select(F.inline(F.array(*entries)))
+    return counts.select(F.inline(F.array(*entries)))
 
 
 def between_dates(df: DataFrame, first: str, last: str, column: str = "sale_date") -> DataFrame:

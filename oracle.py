@@ -191,6 +191,17 @@ def _value_counts(source: str, *columns: str) -> str:
     )
 
 
+def _filled(column: str, kind: str) -> str:
+    return f"{column} IS NOT NULL" + (f" AND {column} <> ''" if kind == "string" else "")
+
+
+def _long(source: str, report: str, item: str, *measures: str) -> str:
+    """The numbers of a report as rows."""
+    return " UNION ALL ".join(
+        f"SELECT '{report}' AS report, {item} AS item, '{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM {source}" for m in measures
+    )
+
+
 MONTHLY = """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS sale_year, CAST(month(o_orderdate) AS INTEGER) AS sale_month,
        COUNT(*) AS so_don, CAST(SUM(CAST(CAST({total} AS VARCHAR) AS DECIMAL(24,6))) AS DOUBLE) AS doanh_thu
@@ -222,7 +233,6 @@ def _calendar(*by: str) -> str:
 
 
 def statements() -> dict[str, str]:
-    fact_item = ", ".join(f"({i}, '{n}', '{t}')" for i, (n, t) in enumerate(FACT_COLUMNS))
     raw_ticket_missing = {
         "orderid": "FALSE", "cashier": "FALSE", "saledate": "FALSE", "total": "o_orderstatus = 'P'",
         "customerid": "l_linenumber = 1 AND o_orderpriority = '5-LOW'", "ticketcode": "FALSE", "date": "FALSE",
@@ -236,6 +246,7 @@ def statements() -> dict[str, str]:
     }
     joined = "lineitem JOIN orders ON l_orderkey = o_orderkey"
     twice = "(SELECT * FROM customer, (VALUES (0), (1)) AS copies(copy))"
+    whole = f"(SELECT * FROM {twice} WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_name = 'CANADA'))"
     return {
         "summary": f"""{FACT}
 SELECT COUNT(DISTINCT order_id) AS tong_don_hang, COUNT(ticket_id) AS tong_ve_ban,
@@ -356,14 +367,25 @@ UNION ALL SELECT 'distinct', 'film_name', CAST(COUNT(DISTINCT film_name) AS VARC
 UNION ALL SELECT 'distinct', 'customer_id', CAST(COUNT(DISTINCT customer_id) AS VARCHAR) FROM sessions
 UNION ALL SELECT 'not_positive', 'ticket_price', CAST(COUNT(*) FILTER (ticket_price <= 0) AS VARCHAR) FROM sessions
 UNION ALL SELECT 'not_positive', 'total', CAST(COUNT(*) FILTER (total <= 0) AS VARCHAR) FROM sessions
-UNION ALL {_value_counts('sessions', 'slot_type', 'show_session')}""",
+UNION ALL {_value_counts('sessions', 'slot_type', 'show_session')}
+UNION ALL SELECT 'account', item, CAST(CASE item
+    WHEN 'rows_in' THEN COUNT(*) WHEN 'rows_out' THEN COUNT(*) FILTER (known AND l_quantity < 48)
+    WHEN 'no_customer' THEN COUNT(*) FILTER (NOT known) WHEN 'no_date' THEN COUNT(*) FILTER (known AND l_quantity = 50)
+    WHEN 'price_not_positive' THEN COUNT(*) FILTER (known AND l_quantity = 49)
+    WHEN 'no_price' THEN COUNT(*) FILTER (known AND l_quantity = 48) ELSE 0 END AS VARCHAR)
+FROM (SELECT *, NOT (l_linenumber = 1 AND o_orderpriority = '5-LOW') AS known FROM {joined}) AS raw,
+     (VALUES ('rows_in'), ('rows_out'), ('no_order'), ('no_customer'), ('no_film'), ('no_date'), ('no_price'),
+             ('price_not_positive'), ('total_unreadable')) AS items(item)
+GROUP BY item""",
         "customer_checks": f"{CLEAN} {_value_counts('clients', 'gender', 'age_group', 'customer_type')}",
         "preview": "SELECT * FROM customer ORDER BY c_custkey LIMIT 10",
         "csv_tickets": f"""{CLEAN}
 SELECT show_session, is_couple_seat, has_popcorn, COUNT(*) AS so_ve, COUNT(total) AS so_tong,
-       COUNT(sale_hour) AS so_gio, CAST(SUM({_exact('ticket_price')}) AS DOUBLE) AS gia
+       COUNT(sale_hour) AS so_gio, CAST(SUM({_exact('ticket_price')}) AS DOUBLE) AS gia, COUNT(*) AS quoted
 FROM sessions GROUP BY 1, 2, 3""",
-        "csv_customers": _profile(twice, "customer", raw_customer_missing),
+        "csv_customers": _profile(whole, "customer", raw_customer_missing) + f"""
+UNION ALL SELECT 'customer', '(damaged lines)', COUNT(*) + 2 * COUNT(*) FILTER (broken), 3 * COUNT(*) FILTER (broken), COUNT(*) FILTER (broken) > 0
+FROM (SELECT c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_name = 'CANADA') AS broken FROM {twice})""",
         "csv_films": f"{CLEAN} SELECT * FROM titles",
         "csv_documents": """
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, CAST(length(text) AS INTEGER) AS chars, md5(text) AS digest FROM documents""",
@@ -382,18 +404,29 @@ SELECT 'fact_order' AS table_name, TRUE AS present, TRUE AS listed, COUNT(*) AS
 UNION ALL SELECT 'dim_date', TRUE, TRUE, COUNT(DISTINCT CAST(o_orderdate AS DATE)), 10 FROM orders
 UNION ALL SELECT 'dim_film', FALSE, NULL, NULL, NULL""",
         "file_listing": " UNION ALL ".join(
-            f"SELECT '{t}.parquet' AS name, TRUE AS has_bytes, TRUE AS dated"
+            f"SELECT '{t}.parquet' AS name, TRUE AS has_bytes, TRUE AS dated, COUNT(*) AS rows FROM {t}"
             for t in ("region nation customer supplier part orders lineitem events documents embeddings "
                       "pages benchmark labels conversations").split()),
-        "schema_report": f"""
-SELECT position, column_name, type, column_name NOT IN ('slot_type', 'is_couple_seat', 'has_popcorn', 'show_session') AS nullable
-FROM (VALUES {fact_item}) AS c(position, column_name, type)""",
-        "kpi_export": f"{TOP_FILMS} SELECT * FROM best",
-        "star_store": f"""{CLEAN}, mix AS (
-  SELECT COALESCE(f.rating, 'Unknown') AS genre, COUNT(t.ticket_id) AS so_ve,
-         {_money(f"SUM({_exact('t.total')})")} AS doanh_thu
-  FROM sessions t LEFT JOIN titles f ON t.film_name = f.film_name GROUP BY 1
-) SELECT *, {PCT_TICKETS} AS pct_ve FROM mix""",
+        "schema_report": f"{CLEAN} " + " UNION ALL ".join(
+            f"SELECT {i} AS position, '{name}' AS column_name, '{kind}' AS type, "
+            f"{name not in ('slot_type', 'is_couple_seat', 'has_popcorn', 'show_session')} AS nullable, "
+            f"COUNT(*) FILTER ({_filled(name, kind)}) AS filled, COUNT(*) FILTER (NOT ({_filled(name, kind)})) AS empty FROM sessions"
+            for i, (name, kind) in enumerate(FACT_COLUMNS)),
+        "kpi_export": f"{TOP_FILMS}, daily AS (" + f"{DAILY} SELECT *, ROUND(doanh_thu - doanh_thu_ngay_truoc, 0) AS tang_giam FROM trend), ages AS ("
+        + _by_people("age_group, gender", PER_TICKET) + ") "
+        + " UNION ALL ".join([
+            _long("daily", "analytics_revenue_daily", "CAST(sale_date AS VARCHAR)", "so_ve", "doanh_thu", "doanh_thu_ngay_truoc", "tang_giam"),
+            _long("best", "analytics_top_films", "film_name", "duration", "so_ve", "doanh_thu", "gia_tb"),
+            _long("ages", "analytics_customer_age", "coalesce(age_group, '') || '|' || coalesce(gender, '')", "so_khach", "so_ve", "tong_chi_tieu", "chi_tieu_tb_moi_ve"),
+        ]),
+        "star_store": f"""{CLEAN}, sold AS (
+  SELECT t.*, c.c_mktsegment AS segment, coalesce(c.c_custkey % 10 <> 0, FALSE) AS known
+  FROM sessions t LEFT JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = t.customer_id
+)
+SELECT COALESCE(f.rating, 'Unknown') AS genre,
+       CASE WHEN NOT known THEN NULL WHEN segment IN ('MACHINERY', 'FURNITURE') THEN 'Male' WHEN segment = 'BUILDING' THEN 'Female' ELSE 'Other' END AS gender,
+       COUNT(t.ticket_id) AS so_ve, {_money(f"SUM({_exact('t.total')})")} AS doanh_thu
+FROM sold t LEFT JOIN titles f ON t.film_name = f.film_name GROUP BY 1, 2""",
         "genre_films": f"""{FACT}
 SELECT genre, COUNT(*) AS so_phim
 FROM (SELECT DISTINCT film_name, trim(unnest(string_split(listed_in, ','))) AS genre FROM films) GROUP BY genre""",

@@ -3,6 +3,8 @@
 import datetime
 
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from marquee import schemas
 from marquee.operators import quality
@@ -155,6 +157,29 @@ def test_rollup_lists_every_session(run):
     assert rolled == [("Sáng", 1), ("Chiều", 2), ("Tối sớm", 1), ("Tối muộn", 1)]
 
 
+def test_refused_rows_add_up(spark, run):
+    _, _, folder = run
+    raw = spark.read.parquet(f"{folder}/staging/ticket")
+    lost = raw.limit(1).withColumns({"total": F.lit("12,5"), "customerid": F.lit("C1"), "ticket_price": F.lit("2e15")})
+    worse = raw.limit(1).withColumns({"customerid": F.lit(None).cast("string"), "date": F.lit("x")})
+    account = Observation()
+    fact = star.build_fact_ticket(raw.unionByName(lost).unionByName(worse), account=account)
+    found = {r["item"]: int(r["value"]) for r in as_dicts(quality.fact_checks(fact, account)) if r["check"] == "account"}
+    assert found["rows_in"] == raw.count() + 2 and found["rows_out"] == 6 and found["total_unreadable"] == 1
+    reasons = [v for k, v in found.items() if k not in ("rows_in", "rows_out", "total_unreadable")]
+    assert len(reasons) == 6 and sum(reasons) == found["rows_in"] - found["rows_out"]
+
+
+def test_hour_of_sale_in_a_zone(spark, run):
+    _, _, folder = run
+    raw = spark.read.parquet(f"{folder}/staging/ticket").filter("ticketcode = 't1'")
+    texts = ["2019-05-03T18:45:10+07:00", "2019-05-03 18:45:10", "2019-05-03T18:45:10Z", "n/a", None]
+    for zone, hours in ((None, [18, 18, 18, None, None]), ("UTC", [11, 18, 18, None, None]), ("Asia/Ho_Chi_Minh", [18, 18, 1, None, None])):
+        for text, hour in zip(texts, hours):
+            fact = star.build_fact_ticket(raw.withColumn("saledate", F.lit(text).cast("string")), zone=zone)
+            assert fact.first()["sale_hour"] == hour, (zone, text)
+
+
 def test_checks(run):
     built, *_ = run
     checks = {(r["check"], r["item"]): r["value"] for r in as_dicts(quality.fact_checks(built.fact_ticket))}

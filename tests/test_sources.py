@@ -1,9 +1,13 @@
 import datetime
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from pyspark.errors import SparkRuntimeException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from marquee import schemas
+from marquee.plans import full_run
 from marquee.session import scratch_path, shared_dir
 from marquee.sources import catalog, delimited, files
 from marquee.sources.snapshots import SnapshotTable, VersionNotFound
@@ -73,7 +77,99 @@ def test_list_files(spark, tmp_path):
 
 def test_schema_report(spark):
     df = spark.range(1).select("id", F.lit("x").alias("s"))
-    assert rows_of(files.schema_report(df)) == [(0, "id", "bigint", False), (1, "s", "string", False)]
+    assert rows_of(files.schema_report(df)) == [(0, "id", "bigint", False, 1, 0), (1, "s", "string", False, 1, 0)]
+    df = spark.createDataFrame([(1, "", None), (None, "x", 2.0), (3, None, 1.0)], "`a.b` int, s string, d double")
+    assert [r[1:] for r in rows_of(files.schema_report(df))] == [("a.b", "int", True, 2, 1), ("s", "string", True, 1, 2), ("d", "double", True, 2, 1)]
+    assert {r[-2:] for r in rows_of(files.schema_report(df.limit(0)))} == {(0, 0)}
+
+
+def test_rows_by_file(spark, tmp_path):
+    spark.range(10).repartitionByRange(3, "id").write.parquet(f"{tmp_path}/t")
+    listed = as_dicts(files.rows_by_file(spark.read.parquet(f"{tmp_path}/t")))
+    assert len(listed) == 3 and sum(r["rows"] for r in listed) == 10
+    assert all(r["bytes"] > 0 and r["modified"] and r["path"].endswith(r["name"]) for r in listed)
+
+
+HEADER = "\ufefforderid;Cashier;saledate;total;customerid;ticketcode;date;time;slot;room;film;slot type;ticket type;ticket price;popcorn\n"
+WHOLE = '1;"A ""x""; b";d;1;c;t;2019;1;s;1;f;x;y;1;Có\n'
+
+
+def test_damaged_lines_are_counted_and_left_out(spark, tmp_path):
+    broken = '2;"in two\nlines";d;1;c;t;2019;1;s;1;f;x;y;1;Có\n3;short\n4' + ";z" * 16 + "\n"
+    path = f"{tmp_path}/Ticket.csv"
+    with open(path, "w") as out:
+        out.write(HEADER + WHOLE + broken + "5" + ";" * 14 + "\n")
+    for read in (lambda df: df.collect(), lambda df: df.select("orderid").collect(), lambda df: [0] * df.count()):
+        seen = Observation()
+        assert len(read(delimited.read_tickets(spark, path, seen))) == 2
+        assert (seen.get["read"], seen.get["damaged"]) == (6, 4)
+        # without a counter they are an error, whatever columns are read
+        with pytest.raises(SparkRuntimeException, match="damaged line"):
+            read(delimited.read_tickets(spark, path))
+    seen = Observation()
+    rows = {r["orderid"]: r for r in delimited.read_tickets(spark, path, seen).collect()}
+    assert rows["1"]["cashier"] == 'A "x"; b' and rows["5"]["popcorn"] is None
+
+
+def test_whole_file_has_no_damaged_line(spark, tmp_path):
+    with open(f"{tmp_path}/Ticket.csv", "w") as out:
+        out.write(HEADER + WHOLE * 3)
+    assert delimited.read_tickets(spark, f"{tmp_path}/Ticket.csv").count() == 3
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, conf, tmp_path):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    fact = spark.range(400).select(
+        F.col("id").alias("order_id"), F.lit(1).alias("ticket_id"), F.when(F.col("id") < 150, 0).otherwise(F.col("id") % 30).alias("customer_id")
+    )
+    people = spark.range(25).select(F.col("id").alias("customer_id"), F.concat(F.lit("g"), F.col("id") % 3).alias("gender"))
+    before = spark.catalog.currentDatabase()
+    catalog.use_schema(spark, "bucket_db", f"{tmp_path}/db", "spark_catalog")
+    try:
+        full_run.store_for_customers(fact, people, "bucket_db", f"{tmp_path}/tables", buckets=5, slices=3)
+        sales = full_run.sales_with_customers(spark, "bucket_db")
+        assert "Exchange" not in sales._jdf.queryExecution().executedPlan().toString()
+        wanted = fact.join(people, "customer_id", "left")
+        assert sorted(map(tuple, sales.select(wanted.columns).collect()), key=repr) == sorted(map(tuple, wanted.collect()), key=repr)
+        # the tickets of one customer lie in several buckets
+        assert spark.table("bucket_db.fact_ticket").filter("customer_id = 0").select("slice").distinct().count() == 3
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql("DROP SCHEMA bucket_db CASCADE")
+
+
+def test_two_writers_replace_their_own_partitions(spark, tmp_path):
+    """Two threads with one session, one of them replacing the whole table of its own."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    mode = spark.conf.get(setting)
+    before = spark.catalog.currentDatabase()
+    catalog.use_schema(spark, "writers_db", f"{tmp_path}/db")
+    try:
+        rows = spark.range(40).select("id", (F.col("id") % 4).alias("k"))
+        for name in ("a", "b"):
+            catalog.save_table(rows, f"writers_db.{name}", ["k"])
+        newer = rows.filter("k = 1").withColumn("id", F.col("id") + 100)
+        with ThreadPoolExecutor(2) as pool:
+            both = [
+                pool.submit(catalog.save_table, newer, "writers_db.a", ["k"], True),
+                pool.submit(catalog.save_table, newer, "writers_db.b", ["k"]),
+            ]
+            [w.result() for w in both]
+        assert spark.table("writers_db.a").count() == 40 and spark.table("writers_db.a").filter("id >= 100").count() == 10
+        assert sorted(r["k"] for r in spark.table("writers_db.b").select("k").distinct().collect()) == [1]
+        assert spark.conf.get(setting) == mode
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql("DROP SCHEMA writers_db CASCADE")
+
+
+def test_rows_are_counted_while_they_are_written(spark, tmp_path):
+    table = SnapshotTable(spark, f"{tmp_path}/counted")
+    table.overwrite(spark.range(1000).withColumn("k", F.col("id") % 3), ["k"])
+    table.overwrite(spark.range(0).toDF("id"))
+    assert [r["rows"] for r in table.history().collect()] == [0, 1000]
+    table.check(0)
+    table.check(1)
 
 
 def monthly(spark, start, days):

@@ -5,7 +5,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 
-from marquee.operators.tally import revenue, tally
+from marquee.operators.tally import SplitSales, price, revenue, tally
 from marquee.plans import extended, kpi
 from support import as_dicts, joined_sales, make_sales, rows_of, split_sales
 
@@ -73,6 +73,38 @@ def test_summary(sales):
     }
 
 
+def test_summary_shuffles_tickets_once(spark, conf, tmp_path):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    ticket_rows, order_rows = make_sales()
+    split = split_sales(spark, ticket_rows, order_rows)
+    for name in ("tickets", "orders"):
+        getattr(split, name).write.parquet(f"{tmp_path}/{name}")
+    stored = SplitSales(*(spark.read.parquet(f"{tmp_path}/{n}") for n in ("tickets", "orders")))
+    result = kpi.summary(stored)
+    plan = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    # tickets by order, orders by order, then the merged keys and one row
+    assert plan.count("SortMergeJoin") == 1 and plan.count("hashpartitioning(order_id") == 2 and plan.count("Exchange") == 4
+    assert rows_of(result) == rows_of(kpi.summary(joined_sales(spark, ticket_rows, order_rows)))
+
+
+def test_no_sales_summed_up(spark):
+    empty = SplitSales(*(df.limit(0) for df in (split_sales(spark, *make_sales()).tickets, split_sales(spark, *make_sales()).orders)))
+    assert rows_of(kpi.summary(empty)) == [(0, 0, 0, 0, None, None, None, None)]
+
+
+def test_amounts_that_are_none_do_not_stop_a_report(spark):
+    ticket_rows, order_rows = make_sales(orders=8, tickets=40)
+    odd = [(*r[:5], v) for r, v in zip(order_rows, (float("nan"), float("inf"), 1e300, 0.004, 1.125, None, 2e15, -0.5))]
+    sold = [(*r[:6], float("nan") if n % 5 == 0 else 0.0015) for n, r in enumerate(ticket_rows)]
+    totals = {r[0]: Decimal(repr(r[5])) for r in odd if r[5] is not None and abs(r[5]) < 2**53}
+    wanted = sum(totals.get(r[0], 0) for r in sold)
+    for sales in (split_sales(spark, sold, odd), joined_sales(spark, sold, odd)):
+        row = tally(sales).select(revenue().alias("total"), price().alias("price"), "total_count", "price_count").first()
+        assert (row["total"], row["price"]) == (wanted, Decimal("0.0015") * 32)
+        assert (row["total_count"], row["price_count"]) == (sum(r[0] in totals for r in sold), 32)
+    assert rows_of(kpi.summary(split_sales(spark, sold, odd))) == rows_of(kpi.summary(joined_sales(spark, sold, odd)))
+
+
 def test_weekend_compare(sales):
     got = {r["loai_ngay"]: r for r in as_dicts(kpi.weekend_compare(sales))}
     for weekend, rows in groups(lambda r: r[9]).items():
