@@ -9,7 +9,8 @@ is not white space, and away from the end of a chunk, where matches may look ahe
 some overlap has no such place, the neighbours are joined to one piece, so the result is
 exact for every text. Texts within one chunk are encoded where they are read.
 
-Decoding concatenates the bytes of the ids.
+Decoding concatenates the bytes of the ids. ``round_trip`` encodes and decodes a text in one Python
+worker, so a task never runs two with tables of their own, and no ids are shuffled but those of pieces.
 
 Defined cases: a null or empty text has no ids; equal long texts are encoded once.
 """
@@ -17,11 +18,12 @@ Defined cases: a null or empty text has no ids; equal long texts are encoded onc
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.common import text_key, whole_text
@@ -31,9 +33,14 @@ OVERLAP_CHARS = 1_024
 #: Matches that end this close to the end of a chunk may depend on what follows.
 LOOK_AHEAD = 4
 
-_CACHED_PIECES = 400_000
+#: Bytes of matches and their ids that a worker remembers, about; an entry takes some 200 more than its text.
+_CACHED_BYTES = 24_000_000
+_ENTRY_BYTES = 200
 _CACHED_LENGTH = 64
+#: Characters of text that are encoded at a time.
+_SLICE_CHARS = 1_000_000
 _coders: dict[tuple, tuple] = {}
+_tables: dict[str, list[bytes]] = {}
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -53,10 +60,25 @@ def _coder(ranks_path: str, pattern: str) -> tuple:
     return _coders[key]
 
 
+def _table(ranks_path: str) -> list[bytes]:
+    """The bytes of each rank."""
+    if ranks_path not in _tables:
+        ranks = read_ranks(ranks_path)
+        table = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            table[rank] = token
+        _tables[ranks_path] = table
+    return _tables[ranks_path]
+
+
+def decode_ids(ids: bytes, ranks_path: str) -> bytes:
+    return b"".join(map(_table(ranks_path).__getitem__, np.frombuffer(ids, "<u4").tolist()))
+
+
 def encode_text(text: str, ranks_path: str, pattern: str) -> bytes:
     """Ids of a text as little-endian 32-bit integers."""
     splitter, encode, cache = _coder(ranks_path, pattern)
-    if len(cache) > _CACHED_PIECES:
+    if len(cache) * _ENTRY_BYTES > _CACHED_BYTES:
         cache.clear()
     pieces = splitter.findall(text)
     missing = set(pieces).difference(cache)
@@ -69,19 +91,45 @@ def encode_text(text: str, ranks_path: str, pattern: str) -> bytes:
     return ids
 
 
-def _encode_rows(rows: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Replace column ``text`` by ``ids``."""
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Parts of a batch with their texts, cut by the amount of text."""
+    start, held, chars = 0, [], 0
+    for text in batch.column("text"):
+        held.append(text.as_py())
+        chars += len(held[-1])
+        if chars >= _SLICE_CHARS:
+            yield batch.slice(start, len(held)), held
+            start, held, chars = start + len(held), [], 0
+    if held:
+        yield batch.slice(start, len(held)), held
+
+
+def _digested(ids: list[bytes], ranks_path: str) -> list[pa.Array]:
+    def sha(parts) -> pa.Array:
+        return pa.array([hashlib.sha256(p).hexdigest() for p in parts], pa.string())
+
+    counts = pa.array([len(x) // 4 for x in ids], pa.int64())
+    return [counts, sha(ids), sha(decode_ids(x, ranks_path) for x in ids)]
+
+
+_DIGESTS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+
+
+def _encode_rows(rows: DataFrame, ranks_path: str, pattern: str, digest: bool = False) -> DataFrame:
+    """Replace column ``text`` by ``ids``, or by the digests of ids and decoded bytes."""
     kept = [c for c in rows.columns if c != "text"]
+    made = _DIGESTS if digest else "ids binary"
+    names = [*kept, *[c.split()[0] for c in made.split(", ")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                ids = [encode_text(t, ranks_path, pattern) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(ids, pa.binary())], names=[*kept, "ids"])
+            for part, texts in _slices(batch):
+                ids = [encode_text(t, ranks_path, pattern) for t in texts]
+                new = _digested(ids, ranks_path) if digest else [pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], *new], names=names)
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in kept)
-    return rows.mapInArrow(run, f"{types}, ids binary")
+    return rows.mapInArrow(run, f"{types}, {made}")
 
 
 def chunk_seams(chunk: str, start: int, core: int, last: bool, pattern) -> tuple[list[int], list[int]]:
@@ -122,8 +170,8 @@ def stitch(seams: list[tuple[int, list[int], list[int]]]) -> list[int]:
     return cuts
 
 
-def _long_ids(texts: DataFrame, ranks_path: str, pattern: str, chunk: int, overlap: int) -> DataFrame:
-    """(key, ids) of distinct long texts (key, text)."""
+def _long_ids(texts: DataFrame, ranks_path: str, pattern: str, chunk: int, overlap: int, digest: bool) -> DataFrame:
+    """(key, ids), or (key, digests), of distinct long texts (key, text)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,9 +209,29 @@ def _long_ids(texts: DataFrame, ranks_path: str, pattern: str, chunk: int, overl
     gathered = found.groupBy("key").agg(F.collect_list(F.struct("n", "head", "tail")).alias("seams"))
     parts = texts.join(gathered, "key").mapInArrow(pieces, "key binary, n bigint, text string").repartition("key", "n")
     coded = _encode_rows(parts, ranks_path, pattern)
-    in_order = F.array_sort(F.collect_list(F.struct("n", F.hex("ids").alias("ids"))))
-    joined = F.unhex(F.array_join(F.transform(in_order, lambda p: p["ids"]), ""))
-    return coded.groupBy("key").agg(joined.alias("ids"))
+    made = _DIGESTS if digest else "ids binary"
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                found = sorted((p["n"], p["ids"]) for p in row.column("pieces")[0].as_py())
+                ids = [b"".join(part for _, part in found)]
+                new = _digested(ids, ranks_path) if digest else [pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays([row.column("key"), *new], names=["key", *[c.split()[0] for c in made.split(", ")]])
+
+    # one row per long text
+    return coded.groupBy("key").agg(F.collect_list(F.struct("n", "ids")).alias("pieces")).mapInArrow(whole, f"key binary, {made}")
+
+
+def _coded(docs: DataFrame, ranks_path: str, pattern: str, key: str, chunk: int, overlap: int, digest: bool) -> DataFrame:
+    rows = docs.select(F.col(key), whole_text().alias("text"))
+    short = _encode_rows(rows.filter(F.length("text") <= chunk), ranks_path, pattern, digest)
+    long_rows = rows.filter(F.length("text") > chunk).select(F.col(key).alias("row_id"), text_key().alias("key"), "text")
+    found = _long_ids(long_rows.select("key", "text").dropDuplicates(["key"]), ranks_path, pattern, chunk, overlap, digest)
+    made = [c for c in found.columns if c != "key"]
+    coded = long_rows.select("row_id", "key").join(found, "key").select(F.col("row_id").alias(key), *made)
+    return short.unionByName(coded)
 
 
 def encode(
@@ -171,33 +239,42 @@ def encode(
     chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS,
 ) -> DataFrame:
     """(key, ids) of every row; ids are little-endian 32-bit integers in one binary value."""
-    rows = docs.select(F.col(key), whole_text().alias("text"))
-    short = _encode_rows(rows.filter(F.length("text") <= chunk), ranks_path, pattern)
-    long_rows = rows.filter(F.length("text") > chunk).select(F.col(key).alias("row_id"), text_key().alias("key"), "text")
-    ids = _long_ids(long_rows.select("key", "text").dropDuplicates(["key"]), ranks_path, pattern, chunk, overlap)
-    coded = long_rows.select("row_id", "key").join(ids, "key").select(F.col("row_id").alias(key), "ids")
-    return short.unionByName(coded)
+    return _coded(docs, ranks_path, pattern, key, chunk, overlap, False)
 
 
-def decoder(ranks_path: str):
-    """A function from a column of ids to the decoded bytes."""
+def round_trip(
+    docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id",
+    chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS,
+) -> DataFrame:
+    """(key, n_tokens, ids_sha256, decoded_sha256) of every row, encoded and decoded again."""
+    return _coded(docs, ranks_path, pattern, key, chunk, overlap, True)
 
-    @F.pandas_udf("binary")
-    def decode(ids):
-        table = _tables.get(ranks_path)
-        if table is None:
-            table = _tables[ranks_path] = {rank: token for token, rank in read_ranks(ranks_path).items()}
-        return ids.map(lambda x: b"".join(map(table.__getitem__, np.frombuffer(x, "<u4").tolist())))
 
-    return decode
+def decode(coded: DataFrame, ranks_path: str, key: str = "doc_id") -> DataFrame:
+    """(key, decoded) from coded rows; the decoded bytes as one binary value."""
+    kind = coded.schema[key].dataType.simpleString()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                back = pa.array([decode_ids(x, ranks_path) for x in part.column("ids").to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(key), back], names=[key, "decoded"])
 
-_tables: dict[str, dict[int, bytes]] = {}
+    return coded.select(key, "ids").mapInArrow(run, f"`{key}` {kind}, decoded binary")
 
 
 def digests(coded: DataFrame, ranks_path: str, key: str = "doc_id") -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256) from coded rows."""
-    n: Column = (F.octet_length("ids") / 4).cast("long")
-    return coded.select(
-        key, n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(decoder(ranks_path)("ids"), 256).alias("decoded_sha256")
-    )
+    kind = coded.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(key), *_digested(part.column("ids").to_pylist(), ranks_path)],
+                    names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+
+    return coded.select(key, "ids").mapInArrow(run, f"`{key}` {kind}, {_DIGESTS}")

@@ -36,6 +36,17 @@ def whole_text(text: str = "text") -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as it takes to differ from all columns."""
+    held = {c.casefold() for c in df.columns}
+    out = []
+    for name in names:
+        while name.casefold() in held:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def text_key(text: str = "text") -> Column:
     """16 bytes that name a text; null counts as empty."""
     return F.unhex(F.md5(whole_text(text)))

@@ -211,10 +211,12 @@ def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_W
     return gone.groupBy("doc_id", "text_id").agg(F.collect_set("line_no").alias("drop"))
 
 
-def dedup_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_WORDS) -> DataFrame:
-    """The documents with their text rid of repeated lines, and (_lines, _dropped) counts added.
+def dedup_lines(
+    docs: DataFrame, name: str = "lines", least_words: int = MIN_WORDS, counted: str = "_lines", dropped: str = "_dropped"
+) -> DataFrame:
+    """The documents with their text rid of repeated lines, and the counts ``counted`` and ``dropped`` added.
 
-    Documents that lose nothing are not shuffled.
+    These two names must differ from the documents' own columns. Documents that lose nothing are not shuffled.
     """
     drops = stored(dropped_lines(docs, name, least_words).toDF("_doc_id", "_text_id", "_drop"), name)
     held = docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", "text", _text_id().alias("_id"))
@@ -230,7 +232,7 @@ def dedup_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_WOR
 
     def cleaned(rows: DataFrame) -> DataFrame:
         return rows.select(
-            *columns, count.cast("long").alias("_lines"), F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("_dropped")
+            *columns, count.cast("long").alias(counted), F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias(dropped)
         )
 
     return cleaned(changed).unionByName(cleaned(rest))

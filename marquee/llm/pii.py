@@ -33,6 +33,8 @@ ANY = "|".join(KINDS.values())
 
 #: Days from 1900-01-01 that take part, as a product of two residues.
 _DATE_RESIDUES = (271, 270)
+#: Years from 1900 on whose month-first dates take part; 49 of them are leap years.
+_LATE_YEARS = 200
 
 
 def feistel(left: Column, right: Column, sizes: tuple, secret: str, tweak: Column) -> Column:
@@ -151,13 +153,41 @@ def _ipv4(value: Column, secret: str) -> Column:
     return F.when(valid, F.aggregate(F.array(out), F.lit(""), lambda _, p: octets(p))).otherwise(value)
 
 
+def _late_day(day: Column, secret: str) -> Column:
+    """Digits MMddyyyy of the pseudonym of a date whose day of the month is 13 or more, another such date.
+
+    Days 13 to 28, 29 and 30, 31, and leap days are each permuted among themselves, so every result
+    is a date that reads in one way only.
+    """
+    year, month, dom = F.year(day) - 1900, F.month(day), F.dayofmonth(day)
+    long_months = F.array(*[F.lit(m) for m in (1, 3, 5, 7, 8, 10, 12)])
+    no_february = F.array(*[F.lit(m) for m in (1, *range(3, 13))])
+    place = F.array_position(no_february, month) - 1
+
+    def text(m: Column, d: Column, y: Column) -> Column:
+        return F.concat(*[F.lpad(x.cast("int").cast("string"), n, "0") for x, n in ((m, 2), (d, 2), (y + 1900, 4))])
+
+    def turned(number: Column, sizes: tuple[int, int], kind: str, write) -> Column:
+        new = permuted_number(number.cast("long"), sizes, secret, kind)
+        return F.aggregate(F.array(new), F.lit(""), lambda _, x: write(x))
+
+    years = _LATE_YEARS
+    usual = turned((year * 12 + month - 1) * 16 + dom - 13, (years * 12, 16), "late13", lambda x: text(F.floor(x / 16) % 12 + 1, x % 16 + 13, F.floor(x / 192)))
+    end = turned((year * 11 + place) * 2 + dom - 29, (years * 11, 2), "late29", lambda x: text(F.element_at(no_february, (F.floor(x / 2) % 11 + 1).cast("int")), x % 2 + 29, F.floor(x / 22)))
+    last = turned(year * 7 + F.array_position(long_months, month) - 1, (years, 7), "late31", lambda x: text(F.element_at(long_months, (x % 7 + 1).cast("int")), F.lit(31), F.floor(x / 7)))
+    leap = turned(F.floor((year - 4) / 4), (7, 7), "leap", lambda x: text(F.lit(2), F.lit(29), x * 4 + 4))
+    return F.when(dom <= 28, usual).when(month == 2, leap).when(dom == 31, last).otherwise(end)
+
+
 def _date(value: Column, secret: str) -> Column:
+    """Dates that read day first, or year first, are permuted as days; those that can only read month first among themselves."""
     iso = value.rlike("^[0-9]{4}")
     parts = F.regexp_replace(value, "[/.]", "-")
-    options = (("yyyy-MM-dd", iso), ("dd-MM-yyyy", ~iso), ("MM-dd-yyyy", ~iso))
     first = F.lit("1900-01-01").cast("date")
-    out = value
-    for pattern, fits in reversed(options):
+    late = F.try_to_timestamp(parts, F.lit("MM-dd-yyyy")).cast("date")
+    kept = ~iso & (F.dayofmonth(late) > 12) & F.year(late).between(1900, 1899 + _LATE_YEARS)
+    out = F.when(kept, _fill(value, _late_day(late, secret), "[0-9]")).otherwise(value)
+    for pattern, fits in (("dd-MM-yyyy", ~iso), ("yyyy-MM-dd", iso)):
         day = F.datediff(F.try_to_timestamp(parts, F.lit(pattern)).cast("date"), first)
         new = permuted_number(day.cast("long"), _DATE_RESIDUES, secret, "date")
         text = F.date_format(F.date_add(first, new.cast("int")), pattern)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from marquee.llm import (
     byte_bpe, centroids, line_dedup, merkle, minhash, mixing, ngram_join, pii, sharding, statements, syncmers, token_files, topk, toxicity,
 )
-from marquee.llm.common import ship_package
+from marquee.llm.common import free_names, ship_package
 from marquee.session import scratch_path
 
 #: The key of the registered query; a deployment passes its own.
@@ -47,13 +47,14 @@ def op4_token_files(spark: SparkSession, d: str) -> DataFrame:
 
 def op5_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    coded = byte_bpe.encode(table(spark, d, "documents"), ranks, public_tokenizers.PATTERN)
-    return byte_bpe.digests(coded, ranks)
+    return byte_bpe.round_trip(table(spark, d, "documents"), ranks, public_tokenizers.PATTERN)
 
 
 def op6_feistel_pii(spark: SparkSession, d: str) -> DataFrame:
-    named = pii.pseudonymise(table(spark, d, "documents"), PII_SECRET)
-    return named.select("doc_id", F.size("_found").alias("found"), F.col("_changed").alias("changed"), "text")
+    docs = table(spark, d, "documents")
+    found, changed = free_names(docs, "_found", "_changed")
+    named = pii.pseudonymise(docs, PII_SECRET, found=found, changed=changed)
+    return named.select("doc_id", F.size(found).alias("found"), F.col(changed).alias("changed"), "text")
 
 
 def op7_ngram_toxicity(spark: SparkSession, d: str) -> DataFrame:
@@ -62,8 +63,10 @@ def op7_ngram_toxicity(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, d: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(table(spark, d, "documents"), least_words=1)
-    return kept.select("doc_id", F.col("_lines").alias("lines"), F.col("_dropped").alias("dropped"), "text")
+    docs = table(spark, d, "documents")
+    counted, dropped = free_names(docs, "_lines", "_dropped")
+    kept = line_dedup.dedup_lines(docs, least_words=1, counted=counted, dropped=dropped)
+    return kept.select("doc_id", F.col(counted).alias("lines"), F.col(dropped).alias("dropped"), "text")
 
 
 def op9_source_mix(spark: SparkSession, d: str) -> DataFrame:
@@ -71,7 +74,9 @@ def op9_source_mix(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op10_closed_syncmers(spark: SparkSession, d: str) -> DataFrame:
-    return syncmers.edited_fingerprints(table(spark, d, "documents"))
+    found = syncmers.edited_fingerprints(table(spark, d, "documents"))
+    written = {c: F.array_join(F.col(c).cast("array<string>"), ",") for c in ("fingerprint", "edited_fingerprint")}
+    return found.withColumns(written)
 
 
 def op11_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
@@ -115,16 +120,16 @@ def oracle_sql() -> dict[str, str]:
 
 _TOP_K = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+    SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
     FROM embeddings
     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-    SELECT a.vec_id AS query_id, b.vec_id AS vec_id,
+    SELECT a.n, a.vec_id AS query_id, b.vec_id AS vec_id,
            CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
-    FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+    FROM v a JOIN v b ON a.n <> b.n AND len(a.q) = len(b.q)
     WHERE a.vec_id % 50 = 0
 ), ranked AS (
-    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
     FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5

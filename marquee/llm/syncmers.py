@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import text_key, whole_text
+from marquee.operators.lineage import stored
 
 K = 7
 S = 2
@@ -104,10 +105,13 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     turned = F.bitwise_not(F.col("doc_id").cast("long"))
     rows = rows.withColumn("_place", F.struct(F.col("doc_id").isNull().alias("last"), turned.alias("turned"), F.col("_key").alias("key")))
     # one row per bucket from here
-    firsts = rows.groupBy("_bucket").agg(F.min(F.struct("_place", "text")).alias("first"))
+    firsts = stored(rows.groupBy("_bucket").agg(F.min(F.struct("_place", "text")).alias("first")), "firsts")
     down = Window.orderBy(F.desc("_bucket"))
     all_rows = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = firsts.select(F.coalesce(F.lag("_bucket").over(down), F.min("_bucket").over(all_rows)).alias("_bucket"), "first")
+    before = F.coalesce(F.lag("_bucket").over(down), F.min("_bucket").over(all_rows))
+    # the window over all buckets carries their numbers only
+    order = firsts.select("_bucket").withColumn("_before", before)
+    ends = firsts.join(order, "_bucket").select(F.col("_before").alias("_bucket"), "first")
     guests = ends.select(
         F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.col("first.text").alias("text"), "_bucket",
         F.struct(F.lit(True).alias("last"), F.lit(2**63 - 1).alias("turned"), F.unhex(F.lit("FF" * 17)).alias("key")).alias("_place"),

@@ -40,17 +40,17 @@ _encoders: dict[str, tuple] = {}
 
 
 def _encoder(vocabulary: str) -> tuple:
-    """The tokenizer, whether each id ends a word, and this worker's word cache."""
+    """The tokenizer, whether each id ends a word, this worker's word cache, and the special tokens in lower case."""
     if vocabulary not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(vocabulary)
-        tokenizer.encode_special_tokens = True
         names = tokenizer.get_vocab(with_added_tokens=True)
         ends = np.zeros(max(names.values()) + 1, bool)
         ends[[i for name, i in names.items() if name.endswith(_WORD_END)]] = True
-        _encoders[vocabulary] = tokenizer, ends, {}
+        literals = [t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values()]
+        _encoders[vocabulary] = tokenizer, ends, {}, literals
     return _encoders[vocabulary]
 
 
@@ -76,7 +76,11 @@ def encode_texts(texts: list[bytes], vocabulary: str) -> list[bytes]:
     lowered before it. A letter and a mark after it are never one token, so ``word,`` has the
     ids of ``word`` and of ``,``.
     """
-    tokenizer, ends, cache = _encoder(vocabulary)
+    tokenizer, ends, cache, literals = _encoder(vocabulary)
+    # a special token written out is one id wherever it stands, also inside a word
+    whole = {n for n, text in enumerate(texts) if any(x in lowered for lowered in [text.lower()] for x in literals)}
+    special = {n: np.asarray(tokenizer.encode(texts[n].decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes() for n in whole}
+    texts = [b"" if n in whole else text for n, text in enumerate(texts)]
     words = [text.lower().split() if text.isascii() else [w.lower() if w.isascii() else w for w in text.split()] for text in texts]
     if len(cache) > _CACHED_WORDS:
         cache.clear()
@@ -91,7 +95,7 @@ def encode_texts(texts: list[bytes], vocabulary: str) -> list[bytes]:
     for group in ([w for w in single if plain[w].isalpha()], [w for w in single if not plain[w].isalpha()]):
         cache.update(zip(group, _encode_words([plain[w] for w in group], tokenizer, ends)))
     cache.update({word: cache[base] + cache[marks] for word, (base, marks) in parted.items()})
-    found = [b"".join(map(cache.__getitem__, w)) for w in words]
+    found = [special[n] if n in special else b"".join(map(cache.__getitem__, w)) for n, w in enumerate(words)]
     for word in missing:
         if len(word) > _CACHED_LENGTH:
             del cache[word]
@@ -141,8 +145,9 @@ def write_tokens(
     row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE_BYTES,
 ) -> None:
     """Write (seq, doc_id, n_tokens, token_ids); ``seq`` rises in the order of doc_id."""
-    rows = docs.select("doc_id", whole_text().alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    rows = docs.select("doc_id", whole_text().alias("text"), F.xxhash64(whole_text()).alias("_tie"))
+    # rows of one id are spread over tasks by their texts
+    ordered = rows.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").drop("_tie")
     table = encoded(ordered, vocabulary, end_id).select(F.monotonically_increasing_id().alias("seq"), "*")
     (
         table.write.option("parquet.block.size", row_group_bytes)

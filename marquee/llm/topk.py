@@ -12,8 +12,8 @@ rows as there are blocks of queries.
 
 Defined cases: null vectors and vectors with null or non-finite components take no part;
 only vectors of one length are compared; empty vectors score 0; ties go to the smaller
-id; repeated ids are separate candidates, but none of them meets a query of its own id;
-a null id is no query and, as candidate, comes last among ties.
+id; rows of one id are separate queries, each with its own k, and separate candidates, also
+of each other; a null id is no query and, as candidate, comes last among ties.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from marquee.operators.lineage import stored
+
 QUERY_BLOCK = 4_096
 CANDIDATE_BLOCK = 8_192
 _STRIP = 512
@@ -56,8 +58,8 @@ def _levels(length: int) -> list[int]:
     return [s for s in (1, 2, 4, 8, 16) if 2 * s <= length]
 
 
-def best_of_block(q_ids, q, c_ids, c, k: int):
-    """Indices (query, candidate) and scores of each query's k best in a block."""
+def best_of_block(q_rows, q, c_rows, c_ids, c, k: int):
+    """Indices (query, candidate) and scores of each query's k best in a block; a row is no candidate of its own."""
     best_score = np.full((len(q), k), np.iinfo(np.int64).min)
     best_at = np.full((len(q), k), -1)
     levels = _levels(q.shape[1]) if q.shape[1] else []
@@ -66,7 +68,7 @@ def best_of_block(q_ids, q, c_ids, c, k: int):
     for start in range(0, len(c), _STRIP):
         strip = slice(start, min(start + _STRIP, len(c)))
         floor = best_score[:, -1].astype(np.float64)
-        alive = (q_ids[:, None] != c_ids[None, strip])
+        alive = (q_rows[:, None] != c_rows[None, strip])
         rows, cols = None, None
         for n, (sq, sc) in enumerate(stats):
             slack = 1e-9 * (norms[0].max(initial=0) * norms[1].max(initial=0)) + 1e-6
@@ -103,8 +105,8 @@ def best_of_block(q_ids, q, c_ids, c, k: int):
 
 
 def _packed(rows: DataFrame, side: str, blocks: int) -> DataFrame:
-    """One row (side_block, length, side_ids, side_v) per block and length; blocks are dealt by a hash of the id."""
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).repartition("block")
+    """One row (side_block, length, side_rows, side_ids, side_v) per block and length; blocks are dealt by a hash of the row."""
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")).repartition("block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], list] = {}
@@ -112,25 +114,26 @@ def _packed(rows: DataFrame, side: str, blocks: int) -> DataFrame:
         def packed() -> Iterator[pa.RecordBatch]:
             for (block, length), part in held.items():
                 ids = np.array([r[0] for r in part], "<i8")
+                own = np.array([r[2] for r in part], "<i8")
                 v = np.array([r[1] for r in part], "<i8").reshape(len(part), length)
                 narrow = "<i2" if np.abs(v).max(initial=0) < 2**15 else "<i8"
                 yield pa.RecordBatch.from_pydict({
                     f"{side}_block": pa.array([block], pa.int32()), "length": pa.array([length], pa.int32()),
-                    f"{side}_ids": pa.array([ids.tobytes()], pa.binary()), f"{side}_v": pa.array([v.astype(narrow).tobytes()], pa.binary()),
+                    f"{side}_rows": pa.array([own.tobytes()], pa.binary()), f"{side}_ids": pa.array([ids.tobytes()], pa.binary()), f"{side}_v": pa.array([v.astype(narrow).tobytes()], pa.binary()),
                 })
             held.clear()
 
         count = 0
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("block", "id", "v"))
-            for block, row_id, v in zip(*columns):
-                held.setdefault((block, len(v)), []).append((_NO_ID if row_id is None else row_id, v))
+            columns = (batch.column(c).to_pylist() for c in ("block", "id", "v", "row"))
+            for block, row_id, v, own in zip(*columns):
+                held.setdefault((block, len(v)), []).append((_NO_ID if row_id is None else row_id, v, own))
                 count += 1
                 if count % _HELD_ROWS == 0:
                     yield from packed()
         yield from packed()
 
-    return dealt.mapInArrow(run, f"{side}_block int, length int, {side}_ids binary, {side}_v binary")
+    return dealt.mapInArrow(run, f"{side}_block int, length int, {side}_rows binary, {side}_ids binary, {side}_v binary")
 
 
 def _unpacked(ids: bytes, v: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -144,7 +147,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, key: str = "vec_id", vector:
 
     ``is_query`` makes a condition of the id column.
     """
-    rows = quantised(vectors, key, vector)
+    rows = stored(quantised(vectors, key, vector).withColumn("row", F.monotonically_increasing_id()), "vectors")
     queries = rows.filter(is_query(F.col("id")))
     n = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(is_query(F.col("id"))).alias("queries")).first()
     q_blocks, c_blocks = n["queries"] // QUERY_BLOCK + 1, n["rows"] // CANDIDATE_BLOCK + 1
@@ -158,11 +161,12 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, key: str = "vec_id", vector:
             for row in batch.to_pylist():
                 q_ids, q = _unpacked(row["q_ids"], row["q_v"], row["length"])
                 c_ids, c = _unpacked(row["c_ids"], row["c_v"], row["length"])
-                r, at, score = best_of_block(q_ids, q, c_ids, c, k)
-                yield pa.RecordBatch.from_pydict({"query_id": q_ids[r], "vec_id": c_ids[at], "score": score})
+                q_rows, c_rows = (np.frombuffer(row[f"{side}_rows"], "<i8") for side in "qc")
+                r, at, score = best_of_block(q_rows, q, c_rows, c_ids, c, k)
+                yield pa.RecordBatch.from_pydict({"query_row": q_rows[r], "query_id": q_ids[r], "vec_id": c_ids[at], "score": score})
 
-    found = work.mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = work.mapInArrow(run, "query_row bigint, query_id bigint, vec_id bigint, score bigint")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     vec_id = F.when(F.col("vec_id") != _NO_ID, F.col("vec_id"))
     return ranked.select("query_id", "rank", vec_id.alias("vec_id"), "score")

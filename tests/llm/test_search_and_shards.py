@@ -24,6 +24,20 @@ def test_top_k_matches_brute_force(spark):
     assert topk.top_k(table.limit(0), lambda i: i % 50 == 0).count() == 0
 
 
+def test_queries_of_one_id_keep_their_own_answers(spark):
+    pick = random.Random(2)
+    rows = [(i, [pick.uniform(-1, 1) for _ in range(6)]) for i in range(60)] + [(50, [pick.uniform(-1, 1) for _ in range(6)])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    wanted = []
+    for n, (q, v) in enumerate(whole):
+        if q % 50 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for m, (i, w) in enumerate(whole) if m != n)
+            wanted += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored[:5])]
+    assert len(wanted) == 15
+    assert sorted(tuple(r) for r in topk.top_k(table, lambda i: i % 50 == 0, 5).collect()) == sorted(wanted)
+
+
 def test_segment_bounds_hold():
     import numpy as np
 
@@ -37,7 +51,7 @@ def test_segment_bounds_hold():
         last = bound
 
 
-@pytest.mark.parametrize("name", ["op3_segment_topk", "op9_source_mix"])
+@pytest.mark.parametrize("name", ["op3_segment_topk", "op9_source_mix", "op12_centroid_heaps", "op13_merkle_manifest"])
 def test_queries_match_sql(spark, small, name):
     found = queries.queries()[name](spark, small)
     wanted = duck(small).execute(queries.oracle_sql()[name])
@@ -45,6 +59,28 @@ def test_queries_match_sql(spark, small, name):
     assert canonical(found.columns, [tuple(r) for r in found.collect()]) == canonical(columns, wanted.fetchall())
 
 
+SCHEMAS = {
+    "op1_kd_shards": "doc_id bigint, size bigint, text_crc32 bigint, shard int, slot bigint, law string, grown_shard int",
+    "op2_minhash_dedup": "doc_id bigint, n_shingles bigint, component_id bigint, kept boolean",
+    "op4_token_files": "doc_id bigint, n_tokens bigint, ids_crc32 bigint, start bigint",
+    "op5_byte_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    "op6_feistel_pii": "doc_id bigint, found int, changed bigint, text string",
+    "op8_line_dedup": "doc_id bigint, lines bigint, dropped bigint, text string",
+    "op10_closed_syncmers": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
+    "op11_ngram_jaccard": "doc_id bigint, n_shingles bigint, component_id bigint",
+}
+
+
+@pytest.mark.parametrize("name", sorted(SCHEMAS))
+def test_registered_queries_give_a_row_per_document(spark, tmp_path, edges, name):
+    """Through the registered name, on nulls, repeated rows and extra columns whose names the operators use."""
+    odd = {c: F.lit("own") for c in ("_lines", "_dropped", "_found", "_changed", "_key", "_id", "text_key", "row", "grp", "rank")}
+    edges.withColumns(odd).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.queries()[name](spark, str(tmp_path))
+    assert {f.name: f.dataType.simpleString() for f in found.schema} == dict(c.split() for c in SCHEMAS[name].split(", "))
+    assert sorted(str(r["doc_id"]) for r in found.collect()) == sorted(str(r["doc_id"]) for r in edges.collect())
+
+
 def shards_hold(docs, shards):
     rows = sharding.shard(docs, shards).collect()
     assert len(rows) == docs.count()

@@ -78,6 +78,21 @@ def test_pseudonyms_are_valid_linked_and_one_to_one(spark):
     assert again == found and other != found
 
 
+def test_dates_are_one_to_one(spark):
+    """Two days never share a pseudonym, whichever way they are written, and a reading stays a reading."""
+    first = datetime.date(1899, 6, 1)
+    days = [first + datetime.timedelta(days=n) for n in range(0, 74_000, 3)] + [datetime.date(y, 2, 29) for y in range(1904, 2100, 4)]
+    texts = sorted({d.strftime("%d/%m/") + f"{d.year:04}" for d in days} | {d.strftime("%m/%d/") + f"{d.year:04}" for d in days})
+    df = spark.createDataFrame([(t,) for t in texts], "v string").repartition(4)
+    found = {r["v"]: r["p"] for r in df.select("v", pii.pseudonym(F.col("v"), "k").alias("p")).collect()}
+    assert len(set(found.values())) == len(found)
+    late = [t for t in texts if int(t[3:5]) > 12 and 1900 <= int(t[6:]) < 2100]
+    assert all(found[t] != t or t[:5] == "02/29" for t in late[:50]) and len(late) > 10_000
+    for t in late:
+        m, d, y = map(int, found[t].split("/"))
+        assert datetime.date(y, m, d).day > 12
+
+
 def test_permutations_are_one_to_one(spark):
     numbers = spark.range(0, 72).select(pii.permuted_number(F.col("id"), (9, 8), "k", "t").alias("x"))
     assert sorted(r["x"] for r in numbers.collect()) == list(range(72))

@@ -23,7 +23,6 @@ def reference():
 
 def test_token_files_hold_the_library_ids(spark, documents, edges, nothing, tmp_path):
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     for n, docs in enumerate((documents, edges)):
         token_files.write_tokens(docs, str(tmp_path / f"t{n}"), VOCABULARY)
         back = token_files.read_tokens(spark, str(tmp_path / f"t{n}"))
@@ -42,7 +41,6 @@ def test_token_files_hold_the_library_ids(spark, documents, edges, nothing, tmp_
 @pytest.mark.parametrize("text", ["Don't stop.", "a,b ,c", "x!! y?!", "it's, he's.", "ÀÉ. İstanbul, ǅ", "'s. 't, d'", "<|endoftext|>, a", "éa. ́b", "12.5, 3rd;", " a b"])
 def test_words_and_marks_part_as_the_library_does(text):
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     ids = np.frombuffer(token_files.encode_texts([text.encode()], VOCABULARY)[0], "<u4").tolist()
     assert ids == tokenizer.encode(text, add_special_tokens=False).ids
 
@@ -53,9 +51,21 @@ def test_decomposed_capitals_have_the_library_ids(text):
     assert ids == Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids
 
 
-def test_literal_special_tokens_are_ordinary_text():
-    ids = np.frombuffer(token_files.encode_texts([b"a <|endoftext|> b"], VOCABULARY)[0], "<u4").tolist()
-    assert 49407 not in ids and len(ids) == 8
+@pytest.mark.parametrize("text", ["a <|endoftext|> b", "x<|startoftext|>y", "<|endoftext|><|endoftext|>", "A <|ENDOFTEXT|>, b", "É <|endoftext|>\nJ\u030c", "<|endoftext"])
+def test_literal_special_tokens_have_the_library_ids(text):
+    texts = [b"plain words, before", text.encode(), b"and after."]
+    found = [np.frombuffer(x, "<u4").tolist() for x in token_files.encode_texts(texts, VOCABULARY)]
+    assert found == [Tokenizer.from_file(VOCABULARY).encode(t.decode(), add_special_tokens=False).ids for t in texts]
+
+
+def test_rows_of_one_id_are_spread(spark, conf, tmp_path):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    docs = spark.createDataFrame([(7, f"text number {n}") for n in range(400)], "doc_id bigint, text string").repartition(4)
+    token_files.write_tokens(docs, str(tmp_path / "hot"), VOCABULARY)
+    back = token_files.read_tokens(spark, str(tmp_path / "hot"))
+    assert back.select((back["seq"] / 2**33).cast("int")).distinct().count() > 1
+    found = token_files.with_starts(token_files.token_digests(back), back).orderBy("start").collect()
+    assert [r["start"] for r in found] == np.concatenate([[0], np.cumsum([r["n_tokens"] for r in found])[:-1]]).tolist()
 
 
 def test_files_have_page_index_and_set_row_groups(spark, documents, tmp_path):
@@ -74,6 +84,9 @@ def test_byte_bpe_matches_and_round_trips(documents, edges, nothing, reference):
     for docs, chunk in ((documents, byte_bpe.CHUNK_CHARS), (documents, 700), (edges, 64)):
         coded = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN, chunk=chunk, overlap=chunk // 4)
         found = sorted(tuple(r)[1:] for r in byte_bpe.digests(coded, RANKS).collect())
+        direct = byte_bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN, chunk=chunk, overlap=chunk // 4)
+        assert direct.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        assert sorted(tuple(r)[1:] for r in direct.collect()) == found
         wanted = []
         for row in docs.collect():
             text = row["text"] or ""
@@ -83,6 +96,12 @@ def test_byte_bpe_matches_and_round_trips(documents, edges, nothing, reference):
     assert byte_bpe.encode(nothing, RANKS, public_tokenizers.PATTERN).count() == 0
 
 
+def test_decoding_gives_the_bytes_back(documents):
+    coded = byte_bpe.encode(documents.limit(20), RANKS, public_tokenizers.PATTERN)
+    back = {r["doc_id"]: bytes(r["decoded"]).decode() for r in byte_bpe.decode(coded, RANKS).collect()}
+    assert back == {r["doc_id"]: r["text"] or "" for r in documents.limit(20).collect()}
+
+
 def test_cuts_are_boundaries_of_the_whole_text():
     splitter = regex.compile(public_tokenizers.PATTERN)
     texts = ["it's we'll  go\n\n now " * 40, "a" * 400, " " * 300 + "b" + "\n" * 200, "x'l 're!! 12ab " * 30, "don't" * 90]
