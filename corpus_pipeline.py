@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import byte_bpe, line_dedup, minhash, mixing, toxicity
-from marquee.llm.common import may_contain, ship_package, text_key
+from marquee.llm.common import free_names, may_contain, ship_package, text_key
 from marquee.operators.lineage import stored
 
 
@@ -22,8 +22,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated and nearly repeated lines go, but for their first occurrence; n_chars follows the text."""
-    kept = line_dedup.dedup_lines(docs, least_words=1)
-    count = F.when(F.col("_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    counted, dropped = free_names(docs, "_lines", "_dropped")
+    kept = line_dedup.dedup_lines(docs, least_words=1, counted=counted, dropped=dropped)
+    count = F.when(F.col(dropped) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", count).select(*docs.columns)
 
 
@@ -34,12 +35,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     rows are equal in id and text, all stay or all go.
     """
     groups = minhash.near_duplicates(docs, 85)
-    gone = stored(groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")), "gone")
-    keyed = docs.withColumn("_text_key", text_key())
-    touched = may_contain(gone, "_key")(F.col("_text_key"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key"))
+    gone = stored(groups.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")), "gone")
+    # the row travels as one value, so its column names meet no others
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("own_id"), text_key().alias("own_key"))
+    touched = may_contain(gone, "gone_key")(F.col("own_key"))
+    same = F.col("own_id").eqNullSafe(F.col("gone_id")) & (F.col("own_key") == F.col("gone_key"))
     kept = keyed.filter(touched).join(gone, same, "left_anti")
-    return kept.unionByName(keyed.filter(~touched)).select(*docs.columns)
+    return kept.unionByName(keyed.filter(~touched)).select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the text decoded from them."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return byte_bpe.digests(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    return byte_bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
 
 
 STAGES = [
