@@ -53,8 +53,8 @@ def _units(plain: Column, words: Column) -> Column:
     return F.when(plain.rlike(_UNSPACED), apart).otherwise(words)
 
 
-#: A line of fewer characters has fewer than 2**14 words, and its counts of bits fit 14 bits.
-_LONG_LINE = 2**15 - 1
+#: A line of fewer characters has fewer than 2**14 words, single characters counted, and its counts of bits fit 14 bits.
+_LONG_LINE = 2**14 - 1
 
 
 def _lanes(width: int) -> int:
@@ -121,19 +121,32 @@ def _split(texts: DataFrame) -> DataFrame:
     return texts.select("doc_id", "text_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
 
 
-def _lines(docs: DataFrame, least_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_id, line_no, line_key, chars, words, hash, buckets) of every line with enough words."""
+def _keyed(texts: DataFrame) -> DataFrame:
+    """(doc_id, text_id, line_no, line_key, plain) of every line with words; plain is the normalised line."""
+    plain = F.array_join(line_words(F.col("line")), " ")
+    lines = _split(texts).select("doc_id", "text_id", "line_no", plain.alias("plain"))
+    return lines.filter("plain != ''").withColumn("line_key", F.unhex(F.md5("plain")))
+
+
+def _distinct_lines(docs: DataFrame, least_words: int = MIN_WORDS) -> DataFrame:
+    """(line_key, first, copies, chars, words, hash, buckets) of distinct normalised lines with enough words.
+
+    Equal lines merge inside each task, then in the one shuffle that carries lines; only distinct
+    lines are signed, where that shuffle has put them.
+    """
     texts = _texts(docs)
 
-    def hashed(rows: DataFrame, fits: Column, width: int) -> DataFrame:
-        split = _split(rows).filter(fits)
-        words = split.select("doc_id", "text_id", "line_no", line_words(F.col("line")).alias("words"))
-        plain = words.withColumn("plain", F.array_join("words", " "))
-        lines = plain.select("doc_id", "text_id", "line_no", F.unhex(F.md5("plain")).alias("line_key"), F.length("plain").alias("chars"), _units(F.col("plain"), F.col("words")).alias("units"))
-        return with_signatures(lines, ["doc_id", "text_id", "line_no", "line_key", "chars"], "units", width)
+    def signed(rows: DataFrame, fits: Column, width: int) -> DataFrame:
+        one = _keyed(rows).filter(fits).groupBy("line_key").agg(
+            F.min(_position()).alias("first"), F.count(F.lit(1)).alias("copies"), F.min("plain").alias("plain")
+        )
+        units = _units(F.col("plain"), F.split("plain", " "))
+        lines = one.select("line_key", "first", "copies", F.length("plain").alias("chars"), units.alias("units"))
+        return with_signatures(lines, ["line_key", "first", "copies", "chars"], "units", width)
 
-    usual = hashed(texts, F.length("line") < _LONG_LINE, 16)
-    very_long = hashed(texts.filter(F.length("text") >= _LONG_LINE), F.length("line") >= _LONG_LINE, 32)
+    usual = signed(texts, F.length("plain") < _LONG_LINE, 16)
+    # lower case may be longer
+    very_long = signed(texts.filter(F.length(F.lower("text")) >= _LONG_LINE), F.length("plain") >= _LONG_LINE, 32)
     return usual.unionByName(very_long).filter(F.col("words") >= least_words)
 
 
@@ -172,12 +185,7 @@ def similar(pairs: DataFrame, name: str) -> DataFrame:
 
 def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_key, drop): numbers from 0 of the lines that go, for documents that lose any."""
-    lines = stored(_lines(docs, least_words), name)
-    distinct = lines.groupBy("line_key").agg(
-        F.min(_position()).alias("first"), F.max("hash").alias("hash"), F.max("chars").alias("chars"), F.count(F.lit(1)).alias("copies"),
-        F.first("buckets").alias("buckets"), F.max("words").alias("words"),
-    )
-    distinct = stored(distinct, name)
+    distinct = stored(_distinct_lines(docs, least_words), name)
     members = distinct.filter(F.col("words") >= MIN_WORDS).select(F.posexplode("buckets").alias("no", "key"), F.col("line_key").alias("id"))
     members = members.select(F.xxhash64("no", "key").alias("bucket"), "id")
     payload = distinct.select(F.col("line_key").alias("id"), F.struct("hash", "chars").alias("p"))
@@ -206,7 +214,7 @@ def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_W
     rooted = rooted.select("line_key", "first", "copies", F.coalesce("root", "line_key").alias("root"))
     several = rooted.groupBy("root").agg(F.min("first").alias("keeper"), F.sum("copies").alias("n")).filter("n > 1")
     keepers = stored(rooted.join(several, "root").select("line_key", "keeper"), name)
-    places = lines.select("doc_id", "text_id", "line_no", "line_key").filter(may_contain(keepers, "line_key")(F.col("line_key")))
+    places = _keyed(_texts(docs)).drop("plain").filter(may_contain(keepers, "line_key")(F.col("line_key")))
     gone = places.join(keepers, "line_key").filter(_position() != F.col("keeper"))
     return gone.groupBy("doc_id", "text_id").agg(F.collect_set("line_no").alias("drop"))
 
