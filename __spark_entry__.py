@@ -78,7 +78,8 @@ def fact_ticket(spark: SparkSession, d: str) -> DataFrame:
 def fact_checks(spark: SparkSession, d: str) -> DataFrame:
     """Checks of the fact, with the account of rows that cleaning refused."""
     account = Observation("tickets")
-    return quality.fact_checks(star.build_fact_ticket(shop.raw_tickets(spark, d), account=account), account)
+    fact = star.build_fact_ticket(shop.raw_tickets(spark, d), account=account, columns=quality.CHECKED)
+    return quality.fact_checks(fact, account)
 
 
 def customer_checks(spark: SparkSession, d: str) -> DataFrame:

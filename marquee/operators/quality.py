@@ -57,6 +57,10 @@ def not_positive(df: DataFrame, *columns: str) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c) <= 0).alias(f"invalid_{c}") for c in columns])
 
 
+#: The columns that the checks of the fact look at.
+CHECKED = ("film_name", "customer_id", "sale_date", "slot_type", "show_session", "ticket_price", "total")
+
+
 def fact_checks(fact: DataFrame, account: Observation | None = None) -> DataFrame:
     """All checks of the fact as rows of (check, item, value), in one pass over the fact.
 

@@ -88,7 +88,7 @@ def _refusals() -> dict[str, Column]:
 
 def build_fact_ticket(
     raw: DataFrame, null_session: str | None = None, dedupe: bool = False, account: Observation | None = None,
-    zone: str | None = None,
+    zone: str | None = None, columns: Sequence[str] = tuple(schemas.FACT_TICKET.names),
 ) -> DataFrame:
     """One row per sold ticket. Narrow: no shuffle unless ``dedupe`` drops equal rows.
 
@@ -98,32 +98,36 @@ def build_fact_ticket(
 
     Rows without order, customer, film, date or a positive price are dropped. ``account`` learns in the
     pass that reads the rows how many came in, went out, and were refused for which reason;
-    each refused row counts once, under its first reason.
+    each refused row counts once, under its first reason. What is counted keeps Spark from leaving out columns
+    by itself, so a caller that needs a few of them names them in ``columns``.
     """
     if zone is None:
         sold = F.hour(F.col("saledate").try_cast("timestamp_ntz"))
     else:
         sold = _hour_in(F.col("saledate"), zone)
-    fact = raw.select(
-        F.col("orderid").alias("order_id"),
-        F.col("ticketcode").alias("ticket_id"),
-        F.col("customerid").alias("customer_id"),
-        F.trim("film").alias("film_name"),
-        F.try_to_date("date").alias("sale_date"),
-        sold.alias("sale_hour"),
-        "time",
-        C.hour_of_clock(F.col("time")).alias("show_hour"),
-        "slot",
-        C.whole_number(F.col("room")).alias("room"),
-        F.trim("slot_type").alias("slot_type"),
-        C.is_couple(F.col("slot_type")).alias("is_couple_seat"),
-        F.trim("ticket_type").alias("ticket_type"),
-        C.finite_number(F.col("ticket_price")).alias("ticket_price"),
-        C.finite_number(F.col("total")).alias("total"),
-        C.is_yes(F.col("popcorn")).alias("has_popcorn"),
-        F.trim("cashier").alias("cashier"),
-        F.coalesce(F.trim("total") != "", F.lit(False)).alias("total_given"),
-    )
+    fields = {
+        "order_id": F.col("orderid"),
+        "ticket_id": F.col("ticketcode"),
+        "customer_id": F.col("customerid"),
+        "film_name": F.trim("film"),
+        "sale_date": F.try_to_date("date"),
+        "sale_hour": sold,
+        "time": F.col("time"),
+        "show_hour": C.hour_of_clock(F.col("time")),
+        "slot": F.col("slot"),
+        "room": C.whole_number(F.col("room")),
+        "slot_type": F.trim("slot_type"),
+        "is_couple_seat": C.is_couple(F.col("slot_type")),
+        "ticket_type": F.trim("ticket_type"),
+        "ticket_price": C.finite_number(F.col("ticket_price")),
+        "total": C.finite_number(F.col("total")),
+        "has_popcorn": C.is_yes(F.col("popcorn")),
+        "cashier": F.trim("cashier"),
+        "total_given": F.coalesce(F.trim("total") != "", F.lit(False)),
+    }
+    told = {"order_id", "customer_id", "film_name", "sale_date", "ticket_price", "total", "total_given"}
+    needed = told.union(columns, ["show_hour"] if "show_session" in columns else [])
+    fact = raw.select(*[field.alias(name) for name, field in fields.items() if name in needed])
     reason = F
     for name, holds in _refusals().items():
         reason = reason.when(holds, name)
@@ -139,9 +143,9 @@ def build_fact_ticket(
         )
     derived = {
         "is_weekend": C.is_weekend(F.col("sale_date")),
-        "show_session": C.show_session(F.col("show_hour"), null_session),
+        "show_session": C.show_session(F.col("show_hour"), null_session) if "show_hour" in needed else F.lit(None),
     }
-    kept = fact.filter("refused IS NULL").withColumns(derived).select(*schemas.FACT_TICKET.names)
+    kept = fact.filter("refused IS NULL").withColumns(derived).select(*columns)
     return kept.distinct() if dedupe else kept
 
 
