@@ -1,13 +1,17 @@
 """Fuzzy line deduplication over the whole corpus.
 
 Lines are normalised to their lower-case words of letters and digits. Equal normalised
-lines are one from the start. Other lines are candidates if they share a bucket: the minima
-of their word pairs under 24 hash functions, two to a key, name 12 buckets, and lines
-with the share s of their word pairs in common meet with a chance of 1 - (1 - s^2)^12.
-Pairs whose 64-bit SimHashes of the words lie within the angle of lines with 70 % of their
-words in common, and a margin, are verified by edit similarity of the normalised lines (at
-least 0.9), and of each connected group only the first occurrence, in the order of
-document id and line, stays.
+lines are one from the start. Other lines get a SimHash in blocks: a hash deals the words of
+a line over as many classes as the line has pairs of words, give or take a factor of two, and
+the words of a class have a 64-bit SimHash of their own. Edits reach some classes only; by the
+pigeonhole principle, with fewer words taken and added than classes the others keep their block,
+and lines that share a block are candidates. Short lines are dealt by their runs of three
+characters instead, so that one mistyped letter leaves most classes alone. As a line has more
+classes the longer it is, the chance to share one does not fall with the length.
+
+Candidates whose SimHashes over all words differ in few enough bits are verified by edit
+similarity of the normalised lines (at least 0.9), and of each connected group only the first
+occurrence, in the order of document id and line, stays.
 
 Words here are also the single characters of scripts without spaces, such as ideographs, kana
 and Thai; edit similarity is taken on the line as it is.
@@ -31,78 +35,102 @@ from marquee.operators.lineage import stored
 MIN_WORDS = 2
 #: 70 % of words in common: 64 * acos(0.7) / pi = 16 bits differ, and twice the deviation of 3.5 more.
 DISTANCE = 24
-BUCKETS = 12
-BUCKET_MINIMA = 2
 SIMILARITY = 0.9
+#: Lines of fewer characters are dealt by runs of three characters, others by words; those close to it by both.
+SHORT_LINE = 96
 
-#: ASCII other than letters and digits, Latin-1 signs, general and ideographic punctuation.
-_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\xBF -⁯　-〿]+"
+#: ASCII other than letters, digits and line feed, Latin-1 signs, general and ideographic punctuation.
+_BREAK = r"[\x00-\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\xBF -⁯　-〿]+"
 
 
 #: Scripts written without spaces: Thai to Burmese, Khmer, ideographs and kana.
 _UNSPACED = r"[\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
 
 
-def line_words(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), _BREAK), "")
+def plain_lines(text: Column) -> Column:
+    """The normalised lines of a text, with a blank more at either end where a line has other signs there."""
+    return F.split(F.regexp_replace(F.lower(text), _BREAK, " "), "\n")
 
 
-def _units(plain: Column, words: Column) -> Column:
+def _units(plain: Column) -> Column:
     """The words of a line, with characters of scripts without spaces as words of their own."""
     apart = F.array_remove(F.split(F.regexp_replace(plain, f"({_UNSPACED})", " $1 "), " +"), "")
-    return F.when(plain.rlike(_UNSPACED), apart).otherwise(words)
+    return F.when(plain.rlike(_UNSPACED), apart).otherwise(F.split(plain, " "))
 
 
-#: A line of fewer characters has fewer than 2**14 words, single characters counted, and its counts of bits fit 14 bits.
-_LONG_LINE = 2**14 - 1
+def _grams(plain: Column) -> Column:
+    """The runs of three characters of a short line, its ends included."""
+    ended = F.concat(F.lit(" "), plain, F.lit(" "))
+    starts = F.sequence(F.lit(1), F.length(plain))
+    return F.when(F.length(plain) < SHORT_LINE, F.transform(starts, lambda i: F.substr(ended, i, F.lit(3)))).otherwise(F.array())
 
 
-def _lanes(width: int) -> int:
-    return sum(1 << (width * j) for j in range(64 // width))
+_WIDTH = 16
+_LANES = sum(1 << (_WIDTH * j) for j in range(64 // _WIDTH))
+#: A line of fewer characters has fewer than 2**14 words, single characters counted, and its counts of bits fit their lanes.
+_LONG_LINE = 2**14 - 1
 
 
-def _packed_counts(word: Column, width: int) -> list[Column]:
-    """Sums that hold the counts of all 64 bits, several counts of ``width`` bits in one number."""
-    lanes = F.lit(_lanes(width))
-    return [F.sum(F.shiftrightunsigned(word, k).bitwiseAND(lanes)).alias(f"c{k}") for k in range(width)]
+def _packed_counts(word: Column) -> list[Column]:
+    """Sums that hold the counts of all 64 bits, four counts in one number."""
+    return [F.sum(F.shiftrightunsigned(word, k).bitwiseAND(F.lit(_LANES))).alias(f"c{k}") for k in range(_WIDTH)]
 
 
-def _majority(width: int) -> Column:
-    """The SimHash from packed counts: a bit is set if more than half of the words have it.
+def _majority(size: str) -> Column:
+    """The SimHash from packed counts: a bit is set if more than half of the ``size`` words have it.
 
-    Adding 2^(width - 2) - half - 1 to a count sets bit width - 2 if the count is above
-    half; this is done for all counts of a number at once.
+    Adding 2^14 - half - 1 to a count sets bit 14 if the count is above half; this is done for
+    all counts of a number at once.
     """
-    lanes = F.lit(_lanes(width))
-    lift = (2 ** (width - 2) - 1 - F.floor(F.col("words") / 2)) * lanes
+    lanes = F.lit(_LANES)
+    lift = (2 ** (_WIDTH - 2) - 1 - F.floor(F.col(size) / 2)) * lanes
     bits = F.lit(0).cast("long")
-    for k in range(width):
-        above = F.shiftrightunsigned(F.col(f"c{k}") + lift, width - 2).bitwiseAND(lanes)
+    for k in range(_WIDTH):
+        above = F.shiftrightunsigned(F.col(f"c{k}") + lift, _WIDTH - 2).bitwiseAND(lanes)
         bits = bits.bitwiseOR(F.shiftleft(above, k))
     return bits
 
 
-def _buckets() -> Column:
-    """One number for every bucket of a line, from the minima of its word pairs."""
-    keys = [[f"m{i * BUCKET_MINIMA + j}" for j in range(BUCKET_MINIMA)] for i in range(BUCKETS)]
-    return F.array(*[F.hash(*names) for names in keys])
+def _classes(size: Column) -> Column:
+    """The power of two that leaves two to four of ``size`` features to a class on average."""
+    return F.lit(2) ** (F.length(F.bin(F.greatest(F.floor(size / 2), F.lit(1)).cast("long"))) - 1)
 
 
-def with_signatures(lines: DataFrame, keys: list[str], words: str, width: int) -> DataFrame:
-    """(keys, words, hash, buckets) of lines; ``keys`` name a line and come from columns of it.
+def with_signatures(lines: DataFrame, keys: list[str], plain: str) -> DataFrame:
+    """(keys, words, hash, blocks) of lines; ``keys`` name a line and come from columns of it.
 
-    The first and the last word also make a pair with the line's end. The outer form of explode
-    keeps Spark from adding a filter on the size of the list, for which it would compute the words
-    once more.
+    A line whose size is close to a step in the number of classes is dealt by both numbers, so that
+    similar lines always have one in common. A class of one feature gives no block. The outer
+    form of explode keeps Spark from computing the lists once more for a filter on their size.
     """
-    end = F.array(F.lit(""))
-    pairs = F.arrays_zip(F.concat(end, words).alias("a"), F.concat(words, end).alias("b"))
-    each = lines.select(*keys, F.explode_outer(pairs).alias("pair")).select(*keys, "pair.a", "pair.b")
-    each = each.filter("a != '' OR b != ''")
-    each = each.select(*keys, F.when(F.col("b") != "", F.xxhash64("b")).alias("word"), F.xxhash64("a", "b").alias("pair"))
-    minima = [F.min(F.hash("pair", F.lit(i))).alias(f"m{i}") for i in range(BUCKETS * BUCKET_MINIMA)]
-    counted = each.groupBy(*keys).agg(F.count("word").alias("words"), *_packed_counts(F.col("word"), width), *minima)
-    return counted.select(*keys, "words", _majority(width).alias("hash"), _buckets().alias("buckets"))
+    sized = lines.select(*keys, _units(F.col(plain)).alias("units"), _grams(F.col(plain)).alias("grams"), F.length(plain).alias("length"))
+    each = sized.select(
+        *keys, F.size("units").alias("n"), F.size("grams").alias("g"), "length",
+        F.posexplode_outer(F.concat("units", "grams")).alias("at", "feature"),
+    )
+    by_words = F.col("at") < F.col("n")
+    size = F.when(by_words, F.col("n")).otherwise(F.col("g"))
+    high, low = _classes(size).cast("int"), _classes(F.floor(size * SIMILARITY)).cast("int")
+    each = each.select(
+        *keys, by_words.alias("by_words"), F.xxhash64("feature").alias("word"), high.alias("high"), low.alias("low"),
+        (~by_words | (F.col("length") >= SHORT_LINE * SIMILARITY)).alias("dealt"),
+    )
+    numbers = F.when(F.col("high") == F.col("low"), F.array("high")).otherwise(F.array("high", "low"))
+    each = each.select(*keys, "by_words", "word", "high", "dealt", F.explode(numbers).alias("number"))
+    # the bits of the hash that choose the class are mixed anew, as all words of a class share them
+    no = F.pmod(F.xxhash64("word", "number"), F.col("number"))
+    cell = [*keys, "by_words", "dealt", "number", (F.col("number") == F.col("high")).alias("whole"), no.alias("no")]
+    cells = each.select(*cell, "word").groupBy(*keys, "by_words", "dealt", "number", "whole", "no")
+    cells = cells.agg(F.count(F.lit(1)).alias("size"), *_packed_counts(F.col("word")))
+    block = F.when(F.col("dealt") & (F.col("size") > 1), F.xxhash64("by_words", "number", "no", _majority("size")))
+    counted = F.col("by_words") & F.col("whole")
+    cells = cells.select(
+        *keys, block.alias("block"), F.when(counted, F.col("size")).otherwise(0).alias("size"),
+        *[F.when(counted, F.col(f"c{k}")).otherwise(0).alias(f"c{k}") for k in range(_WIDTH)],
+    )
+    sums = [F.sum(f"c{k}").alias(f"c{k}") for k in range(_WIDTH)]
+    signed = cells.groupBy(*keys).agg(F.sum("size").alias("words"), F.collect_list("block").alias("blocks"), *sums)
+    return signed.select(*keys, "words", _majority("words").alias("hash"), "blocks")
 
 
 def _text_id() -> Column:
@@ -118,36 +146,27 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _split(texts: DataFrame) -> DataFrame:
-    return texts.select("doc_id", "text_id", F.posexplode_outer(F.split("text", "\n")).alias("line_no", "line"))
+    """(doc_id, text_id, line_no, plain) of every line; plain is the normalised line."""
+    lines = texts.select("doc_id", "text_id", F.posexplode_outer(plain_lines(F.col("text"))).alias("line_no", "plain"))
+    return lines.withColumn("plain", F.trim("plain"))
 
 
 def _keyed(texts: DataFrame) -> DataFrame:
-    """(doc_id, text_id, line_no, line_key, plain) of every line with words; plain is the normalised line."""
-    plain = F.array_join(line_words(F.col("line")), " ")
-    lines = _split(texts).select("doc_id", "text_id", "line_no", plain.alias("plain"))
-    return lines.filter("plain != ''").withColumn("line_key", F.unhex(F.md5("plain")))
+    """(doc_id, text_id, line_no, line_key, plain) of every line with words."""
+    return _split(texts).filter("plain != ''").withColumn("line_key", F.unhex(F.md5("plain")))
 
 
 def _distinct_lines(docs: DataFrame, least_words: int = MIN_WORDS) -> DataFrame:
-    """(line_key, first, copies, chars, words, hash, buckets) of distinct normalised lines with enough words.
+    """(line_key, first, copies, chars, words, hash, blocks) of distinct normalised lines with enough words.
 
     Equal lines merge inside each task, then in the one shuffle that carries lines; only distinct
     lines are signed, where that shuffle has put them.
     """
-    texts = _texts(docs)
-
-    def signed(rows: DataFrame, fits: Column, width: int) -> DataFrame:
-        one = _keyed(rows).filter(fits).groupBy("line_key").agg(
-            F.min(_position()).alias("first"), F.count(F.lit(1)).alias("copies"), F.min("plain").alias("plain")
-        )
-        units = _units(F.col("plain"), F.split("plain", " "))
-        lines = one.select("line_key", "first", "copies", F.length("plain").alias("chars"), units.alias("units"))
-        return with_signatures(lines, ["line_key", "first", "copies", "chars"], "units", width)
-
-    usual = signed(texts, F.length("plain") < _LONG_LINE, 16)
-    # lower case may be longer
-    very_long = signed(texts.filter(F.length(F.lower("text")) >= _LONG_LINE), F.length("plain") >= _LONG_LINE, 32)
-    return usual.unionByName(very_long).filter(F.col("words") >= least_words)
+    one = _keyed(_texts(docs)).groupBy("line_key").agg(
+        F.min(_position()).alias("first"), F.count(F.lit(1)).alias("copies"), F.min("plain").alias("plain")
+    )
+    lines = one.select("line_key", "first", "copies", F.length("plain").alias("chars"), "plain")
+    return with_signatures(lines, ["line_key", "first", "copies", "chars"], "plain").filter(F.col("words") >= least_words)
 
 
 def _unlike(words: Column, other: Column) -> Column:
@@ -186,12 +205,12 @@ def similar(pairs: DataFrame, name: str) -> DataFrame:
 def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_key, drop): numbers from 0 of the lines that go, for documents that lose any."""
     distinct = stored(_distinct_lines(docs, least_words), name)
-    members = distinct.filter(F.col("words") >= MIN_WORDS).select(F.posexplode("buckets").alias("no", "key"), F.col("line_key").alias("id"))
-    members = members.select(F.xxhash64("no", "key").alias("bucket"), "id")
+    members = distinct.filter(F.col("words") >= MIN_WORDS).select(F.explode("blocks").alias("bucket"), F.col("line_key").alias("id"))
     payload = distinct.select(F.col("line_key").alias("id"), F.struct("hash", "chars").alias("p"))
 
     def may_link(x: Column, y: Column) -> Column:
         near = F.bit_count(x["hash"].bitwiseXOR(y["hash"])) <= DISTANCE
+        near = near | (F.greatest(x["chars"], y["chars"]) >= _LONG_LINE)
         return near & (F.least(x["chars"], y["chars"]) >= F.greatest(x["chars"], y["chars"]) * SIMILARITY - 1e-9)
 
     def prepare(live: DataFrame):
@@ -201,9 +220,9 @@ def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_W
             wanted = distinct.join(ids, "line_key").select("line_key", "first.*").select(F.col("line_key").alias("id"), at, "text_id", "line_no")
             wanted = stored(wanted, name)
             # only the first occurrences travel, whatever the texts around them
-            each = _split(_texts(docs)).select(at, "text_id", "line_no", "line").filter(may_contain(wanted, "at")(F.col("at")))
-            found = each.join(wanted, ["at", "text_id", "line_no"]).select("id", "line").dropDuplicates(["id"])
-            plain = stored(found.select("id", line_words(F.col("line")).alias("words")), name)
+            each = _split(_texts(docs)).select(at, "text_id", "line_no", "plain").filter(may_contain(wanted, "at")(F.col("at")))
+            found = each.join(wanted, ["at", "text_id", "line_no"]).select("id", "plain").dropDuplicates(["id"])
+            plain = stored(found.select("id", F.split("plain", " ").alias("words")), name)
             both = pairs.join(plain.toDF("a", "wa"), "a").join(plain.toDF("b", "wb"), "b")
             return similar(both, name).select("a", "b")
 
