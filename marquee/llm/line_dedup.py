@@ -203,10 +203,14 @@ def similar(pairs: DataFrame, name: str) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, text_key, drop): numbers from 0 of the lines that go, for documents that lose any."""
-    distinct = stored(_distinct_lines(docs, least_words), name)
-    members = distinct.filter(F.col("words") >= MIN_WORDS).select(F.explode("blocks").alias("bucket"), F.col("line_key").alias("id"))
-    payload = distinct.select(F.col("line_key").alias("id"), F.struct("hash", "chars").alias("p"))
+    """(doc_id, text_key, drop): numbers from 0 of the lines that go, for documents that lose any.
+
+    A distinct line is known by its number in the stored table, which is short and ascends in each
+    file, so that rows of blocks and pairs stay small.
+    """
+    distinct = stored(_distinct_lines(docs, least_words).withColumn("id", F.monotonically_increasing_id()), name)
+    members = distinct.filter(F.col("words") >= MIN_WORDS).select(F.explode("blocks").alias("bucket"), "id")
+    payload = distinct.select("id", F.struct("hash", "chars").alias("p"))
 
     def may_link(x: Column, y: Column) -> Column:
         near = F.bit_count(x["hash"].bitwiseXOR(y["hash"])) <= DISTANCE
@@ -215,22 +219,24 @@ def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_W
 
     def prepare(live: DataFrame):
         def confirm(pairs: DataFrame) -> DataFrame:
-            ids = pairs.select(F.explode(F.array("a", "b")).alias("line_key")).distinct()
+            ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
             at = F.xxhash64("doc_id", "text_id", "line_no").alias("at")
-            wanted = distinct.join(ids, "line_key").select("line_key", "first.*").select(F.col("line_key").alias("id"), at, "text_id", "line_no")
+            wanted = distinct.join(ids, "id").select("id", "first.*").select("id", at, "text_id", "line_no")
             wanted = stored(wanted, name)
             # only the first occurrences travel, whatever the texts around them
             each = _split(_texts(docs)).select(at, "text_id", "line_no", "plain").filter(may_contain(wanted, "at")(F.col("at")))
             found = each.join(wanted, ["at", "text_id", "line_no"]).select("id", "plain").dropDuplicates(["id"])
-            plain = stored(found.select("id", F.split("plain", " ").alias("words")), name)
-            both = pairs.join(plain.toDF("a", "wa"), "a").join(plain.toDF("b", "wb"), "b")
+            plain = stored(found, name)
+            # lines travel as texts: lists of their words take several times the space
+            both = pairs.join(plain.toDF("a", "ta"), "a").join(plain.toDF("b", "tb"), "b")
+            both = both.select("a", "b", F.split("ta", " ").alias("wa"), F.split("tb", " ").alias("wb"))
             return similar(both, name).select("a", "b")
 
         return confirm
 
-    groups = linked(members, payload, may_link, prepare, name).withColumnRenamed("id", "line_key")
-    rooted = distinct.join(groups, "line_key", "left").filter("copies > 1 OR root IS NOT NULL")
-    rooted = rooted.select("line_key", "first", "copies", F.coalesce("root", "line_key").alias("root"))
+    groups = linked(members, payload, may_link, prepare, name)
+    rooted = distinct.join(groups, "id", "left").filter("copies > 1 OR root IS NOT NULL")
+    rooted = rooted.select("line_key", "first", "copies", F.coalesce("root", "id").alias("root"))
     several = rooted.groupBy("root").agg(F.min("first").alias("keeper"), F.sum("copies").alias("n")).filter("n > 1")
     keepers = stored(rooted.join(several, "root").select("line_key", "keeper"), name)
     places = _keyed(_texts(docs)).drop("plain").filter(may_contain(keepers, "line_key")(F.col("line_key")))
