@@ -197,11 +197,27 @@ def similar(pairs: DataFrame, name: str) -> DataFrame:
         return F.array_join(F.transform(words, lambda w: F.concat(w, F.lit(" "))), "")
 
     chars = F.greatest(*[F.length(F.array_join(w, " ")) for w in ("wa", "wb")])
-    sized = pairs.withColumn("_most", F.floor(chars * (1 - SIMILARITY) + 1e-9).cast("int"))
+    sized = pairs.withColumn("_most", _most_edits(chars))
     middles = ahead(ahead(sized)).withColumns({"_la": joined("wa"), "_lb": joined("wb")})
     return stored(middles.drop("wa", "wb"), name).filter(F.expr("levenshtein(_la, _lb, _most)") >= 0).drop("_la", "_lb", "_most")
 
 
+def _letters(plain: Column) -> Column:
+    """How often each of the letters a to z stands in a line."""
+    letters = F.array(*[F.lit(chr(c)) for c in range(ord("a"), ord("z") + 1)])
+    return F.transform(letters, lambda c: F.length(plain) - F.length(F.replace(plain, c)))
+
+
+def _most_edits(chars: Column) -> Column:
+    return F.floor(chars * (1 - SIMILARITY) + 1e-9).cast("int")
+
+
+def _letters_allow(x: Column, y: Column, chars: Column) -> Column:
+    """Holds for all similar lines: one edit changes the counts of letters by two in all at most."""
+    apart = F.aggregate(F.zip_with(x, y, lambda m, n: F.abs(m - n)), F.lit(0), lambda total, n: total + n)
+    return apart <= 2 * _most_edits(chars)
+
+
 def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_key, drop): numbers from 0 of the lines that go, for documents that lose any.
 
@@ -226,9 +242,10 @@ def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_W
             # only the first occurrences travel, whatever the texts around them
             each = _split(_texts(docs)).select(at, "text_id", "line_no", "plain").filter(may_contain(wanted, "at")(F.col("at")))
             found = each.join(wanted, ["at", "text_id", "line_no"]).select("id", "plain").dropDuplicates(["id"])
-            plain = stored(found, name)
+            plain = stored(found.withColumn("letters", _letters(F.col("plain"))), name)
             # lines travel as texts: lists of their words take several times the space
-            both = pairs.join(plain.toDF("a", "ta"), "a").join(plain.toDF("b", "tb"), "b")
+            both = pairs.join(plain.toDF("a", "ta", "la"), "a").join(plain.toDF("b", "tb", "lb"), "b")
+            both = both.filter(_letters_allow(F.col("la"), F.col("lb"), F.greatest(F.length("ta"), F.length("tb"))))
             both = both.select("a", "b", F.split("ta", " ").alias("wa"), F.split("tb", " ").alias("wb"))
             return similar(both, name).select("a", "b")
 
