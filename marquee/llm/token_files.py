@@ -8,8 +8,8 @@ some documents or only the metadata opens only the pages it needs.
 
 Encoding goes word by word: the vocabulary's normaliser and splitter never join
 characters across ASCII white space, so the ids of a text are those of its words in a
-row, and each worker encodes a word it has met before only once. The literal form of a
-special token in a text is ordinary text, so no document can hold such a token.
+row, and each worker encodes a word it has met before only once. A text that writes out a
+special token goes to the library as a whole, which takes it for that token.
 
 Defined cases: a null text is an empty one and has the end id alone; null ids sort first;
 rows with equal ids stand in a stored order; an empty table gives a table without rows.
@@ -19,11 +19,12 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,68 +35,92 @@ PAGE_BYTES = 256 * 1024
 
 _CACHED_WORDS = 400_000
 _CACHED_LENGTH = 64
-_WORD_END = "</w>"
-_MARKS = b".,!?;:"
+_MARKED = "([A-Za-z])([.,!?;:])"
 _encoders: dict[str, tuple] = {}
 
 
 def _encoder(vocabulary: str) -> tuple:
-    """The tokenizer, whether each id ends a word, this worker's word cache, and the special tokens in lower case."""
+    """The tokenizer, its model, this worker's word cache, and the special tokens in lower case."""
     if vocabulary not in _encoders:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(vocabulary)
-        names = tokenizer.get_vocab(with_added_tokens=True)
-        ends = np.zeros(max(names.values()) + 1, bool)
-        ends[[i for name, i in names.items() if name.endswith(_WORD_END)]] = True
         literals = [t.content.lower().encode() for t in tokenizer.get_added_tokens_decoder().values()]
-        _encoders[vocabulary] = tokenizer, ends, {}, literals
+        _encoders[vocabulary] = tokenizer, tokenizer.model, {}, literals
     return _encoders[vocabulary]
 
 
-def _encode_words(words: list[str], tokenizer, ends: np.ndarray) -> list[bytes]:
-    """Ids of single words; words of letters alone are encoded as one text and parted at word ends."""
-    out: list[bytes] = []
-    for start in range(0, len(words), 5_000):
-        part = words[start : start + 5_000]
-        if all(map(str.isalpha, part)):
-            ids = np.asarray(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            stops = np.flatnonzero(ends[ids]) + 1
-            if len(stops) == len(part):
-                out += [ids[a:b].tobytes() for a, b in zip([0, *stops[:-1].tolist()], stops.tolist())]
-                continue
-        out += [np.asarray(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+def _byte_letters() -> dict[int, str]:
+    """The letter by which the vocabulary's byte-level step shows each byte: itself if printable, else the next above 255."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = (b for b in range(256) if b not in shown)
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + n) for n, b in enumerate(rest)}}
+
+
+_LETTERS = _byte_letters()
+
+
+def _encode_words(words: list[bytes], tokenizer, model) -> dict[bytes, bytes]:
+    """Ids of single words.
+
+    The splitter leaves a word of letters whole, so once normalised, the model takes it directly. Other words
+    go through the library one by one.
+    """
+    out = {}
+    ready = [(w, w.decode()) for w in words if w.isascii() and w.isalpha()]
+    others = [w for w in words if not (w.isascii() and w.isalpha())]
+    for start in range(0, len(others), 5_000):
+        part = others[start : start + 5_000]
+        texts = [w.decode("utf-8", "replace") for w in part]
+        normal = tokenizer.normalizer.normalize_str(" ".join(texts)).split(" ")
+        letters = [x.isalpha() for x in normal] if len(normal) == len(part) else [False] * len(part)
+        ready += [(w, x.encode().decode("latin-1").translate(_LETTERS)) for w, x, one in zip(part, normal, letters) if one]
+        rest = [n for n, one in enumerate(letters) if not one]
+        found = tokenizer.encode_batch_fast([texts[n] for n in rest], add_special_tokens=False)
+        out.update((part[n], np.asarray(e.ids, "<u4").tobytes()) for n, e in zip(rest, found))
+    for word, text in ready:
+        out[word] = array("I", [t.id for t in model.tokenize(text)]).tobytes()
     return out
 
 
+def _gathered(parts: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of ``parts[c]`` for each code c in a row, and where each code's ids start in them."""
+    sizes = np.fromiter((len(x) // 4 for x in parts), np.int64, len(parts))
+    values = np.frombuffer(b"".join(parts), "<u4")
+    taken = sizes[codes]
+    starts = np.concatenate([[0], np.cumsum(taken)])
+    first = (np.cumsum(sizes) - sizes)[codes] - starts[:-1]
+    return values[np.repeat(first, taken) + np.arange(starts[-1])], starts
+
+
 def encode_texts(texts: list[bytes], vocabulary: str) -> list[bytes]:
     """Ids of each text as little-endian 32-bit integers.
 
-    The normaliser composes characters, then lowers letters, so only words of ASCII alone may be
-    lowered before it. A letter and a mark after it are never one token, so ``word,`` has the
-    ids of ``word`` and of ``,``.
+    Words are numbered by a dictionary of the slice, and the ids of a text are gathered by these numbers, so
+    only distinct words are touched one by one. The normaliser composes characters, then lowers letters, so only
+    words of ASCII alone may be lowered before it. A letter and a mark after it are never one token, so a blank
+    between them changes no id.
     """
-    tokenizer, ends, cache, literals = _encoder(vocabulary)
+    tokenizer, model, cache, literals = _encoder(vocabulary)
     # a special token written out is one id wherever it stands, also inside a word
     whole = {n for n, text in enumerate(texts) if any(x in lowered for lowered in [text.lower()] for x in literals)}
     special = {n: np.asarray(tokenizer.encode(texts[n].decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes() for n in whole}
-    texts = [b"" if n in whole else text for n, text in enumerate(texts)]
-    words = [text.lower().split() if text.isascii() else [w.lower() if w.isascii() else w for w in text.split()] for text in texts]
+    # where all is ASCII, the lower case makes more words equal
+    lowered = [b"" if n in whole else text.lower() if text.isascii() else text for n, text in enumerate(texts)]
+    spread = pc.replace_substring_regex(pa.array(lowered, pa.binary()), _MARKED, r"\1 \2")
+    parted = pc.ascii_split_whitespace(spread.view(pa.string()))
+    numbered = parted.values.view(pa.binary()).dictionary_encode()
+    codes, offsets = numbered.indices.to_numpy(), parted.offsets.to_numpy()
+    # an empty text, and blanks around a text, give empty words, which have no ids
+    words = [w.lower() if w.isascii() else w for w in numbered.dictionary.to_pylist()]
     if len(cache) > _CACHED_WORDS:
         cache.clear()
-    missing = set(chain.from_iterable(words)).difference(cache)
-    parted = {}
-    for word in missing:
-        base = word.rstrip(_MARKS)
-        if len(base) < len(word) and base[-1:].isalpha():
-            parted[word] = base, word[len(base) :]
-    single = list(missing.difference(parted).union(chain.from_iterable(parted.values())).difference(cache))
-    plain = {w: w.decode("utf-8", "replace") for w in single}
-    for group in ([w for w in single if plain[w].isalpha()], [w for w in single if not plain[w].isalpha()]):
-        cache.update(zip(group, _encode_words([plain[w] for w in group], tokenizer, ends)))
-    cache.update({word: cache[base] + cache[marks] for word, (base, marks) in parted.items()})
-    found = [special[n] if n in special else b"".join(map(cache.__getitem__, w)) for n, w in enumerate(words)]
+    missing = set(words).difference(cache)
+    cache.update(_encode_words(list(missing), tokenizer, model))
+    ids, starts = _gathered([cache[w] for w in words], codes)
+    bounds = starts[offsets].tolist()
+    found = [special[n] if n in special else ids[a:b].tobytes() for n, (a, b) in enumerate(zip(bounds[:-1], bounds[1:]))]
     for word in missing:
         if len(word) > _CACHED_LENGTH:
             del cache[word]
