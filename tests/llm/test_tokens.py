@@ -1,7 +1,6 @@
 import base64
 import hashlib
 import zlib
-
 from random import Random
 
 import numpy as np
@@ -121,12 +120,9 @@ def test_cuts_are_boundaries_of_the_whole_text():
 
 
 def test_word_by_word_ids_are_those_of_the_plain_call_on_random_texts():
-    from tokenizers import Tokenizer
-
-    vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    library, random = Tokenizer.from_file(vocabulary), Random(5)
+    library, random = Tokenizer.from_file(VOCABULARY), Random(5)
     signs = "aZéÉĳİıſЖж҂ßŉΣςʹ ́̈̇'’s.,!?;:<>|≠…—%$#&_^`~@[]\\/9½ \t\n\x85　中のก가K"
     texts = ["".join(random.choices(signs, k=random.randint(0, 14))) for _ in range(5_000)]
     texts += ["a <|endoftext|> b", "x<|startoftext|>y"]
-    for text, ids in zip(texts, token_files.encode_texts([t.encode() for t in texts], vocabulary)):
+    for text, ids in zip(texts, token_files.encode_texts([t.encode() for t in texts], VOCABULARY)):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
