@@ -315,7 +315,7 @@ def star_store(spark: SparkSession, d: str) -> DataFrame:
     def work(schema: str, root: str) -> DataFrame:
         built = full_run.build_star(shop.raw_films(spark, d), shop.raw_customers(spark, d), shop.raw_tickets_with_customers(spark, d))
         star_tables = full_run.store_star(spark, built, scratch_path(spark, "star"))
-        full_run.store_for_customers(star_tables["fact_ticket"].read(), star_tables["dim_customer"].read(), schema, root, buckets=8)
+        full_run.store_for_customers(star_tables["fact_ticket"].read(), star_tables["dim_customer"].read(), schema, root)
         return kpi.rating_by_gender(full_run.sales_with_customers(spark, schema), star_tables["dim_film"].read())
 
     return _in_schema(spark, work)

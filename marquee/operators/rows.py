@@ -13,11 +13,13 @@ def keep_one(df: DataFrame, *keys: str) -> DataFrame:
 
     A minimum combines inside each task before the shuffle, so many copies of one
     key cost no more than one; a ranking window would sort them all in one task.
+    Texts make it an aggregate that sorts the rows of a task, so rows are dealt over tasks of a
+    set size first, whatever the files are; dealt by all columns, a hot key is spread as before.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("kept"))
+    kept = df.hint("rebalance", *[f"`{c}`" for c in df.columns]).groupBy(*keys).agg(F.min(F.struct(*rest)).alias("kept"))
     return kept.select(*[F.col(c) if c in keys else F.col(f"kept.`{c}`").alias(c) for c in df.columns])
 
 

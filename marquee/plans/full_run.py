@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,6 +15,9 @@ from marquee.sources.snapshots import SnapshotTable
 
 STAR_TABLES = ("dim_film", "dim_customer", "dim_date", "fact_ticket")
 
+#: Rows of a bucket on average; one task sorts a bucket, so this bounds its memory.
+BUCKET_ROWS = 400_000
+
 
 @dataclass(frozen=True)
 class Star:
@@ -67,13 +71,16 @@ def store_star(spark: SparkSession, built: Star, root: str) -> dict[str, Snapsho
     return tables
 
 
-def store_for_customers(fact: DataFrame, customers: DataFrame, schema: str, root: str, buckets: int = 64, slices: int = 4) -> None:
+def store_for_customers(fact: DataFrame, customers: DataFrame, schema: str, root: str, buckets: int | None = None, slices: int = 4) -> None:
     """Fact and customers as catalog tables in equal buckets of customer and slice.
 
     Their join needs no shuffle, however often it is made. The tickets of a customer are dealt over
     ``slices``, and each customer has a row in every slice, so that a customer with a large part of all
-    tickets does not fill one bucket.
+    tickets does not fill one bucket. Unless ``buckets`` is given, their number follows the row counts,
+    which Parquet tells without reading a column.
     """
+    if buckets is None:
+        buckets = max(1, math.ceil(max(fact.count(), customers.count() * slices) / BUCKET_ROWS))
     piece = F.pmod(F.xxhash64("order_id", "ticket_id"), F.lit(slices)).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
     for df, name, part in ((fact, "fact_ticket", piece), (customers, "dim_customer", every)):

@@ -60,6 +60,16 @@ def test_keep_one_takes_the_smallest_row(spark):
     assert set(rows_of(rows.keep_one(df.select("k"), "k"))) == {("a",), ("b",), (None,)}
 
 
+def test_keep_one_sorts_dealt_rows_only(spark):
+    """One input task with many copies of a key: rows are shuffled before the aggregate that sorts them, and again by key."""
+    df = spark.range(0, 5000, 1, 1).select((F.col("id") % 3).alias("k"), F.col("id").cast("string").alias("v"))
+    kept = rows.keep_one(df, "k")
+    plan = kept._jdf.queryExecution().sparkPlan().toString()
+    assert "RebalancePartitions" in kept._jdf.queryExecution().optimizedPlan().toString() and plan.count("SortAggregate") == 2
+    assert kept._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2
+    assert sorted(rows_of(kept)) == [(0, "0"), (1, "1"), (2, "1001")]
+
+
 def test_align_labels(spark):
     df = spark.createDataFrame([("b", 2), ("zz", 9)], "label string, n bigint")
     assert rows_of(rows.align(df, "label", ["a", "b"])) == [("a", None), ("b", 2)]

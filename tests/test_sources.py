@@ -138,6 +138,25 @@ def test_bucketed_tables_join_without_a_shuffle(spark, conf, tmp_path):
         spark.sql("DROP SCHEMA bucket_db CASCADE")
 
 
+def test_buckets_follow_the_rows(spark, monkeypatch, tmp_path):
+    """Twice the tickets are twice the buckets, so the rows that one task sorts stay the same."""
+    monkeypatch.setattr(full_run, "BUCKET_ROWS", 100)
+    before = spark.catalog.currentDatabase()
+    catalog.use_schema(spark, "sized_db", f"{tmp_path}/db", "spark_catalog")
+    people = spark.range(20).select(F.col("id").alias("customer_id"), F.lit("g").alias("gender"))
+    try:
+        for tickets, buckets in ((0, 1), (1500, 15), (3000, 30)):
+            fact = spark.range(tickets).select(F.col("id").alias("order_id"), F.lit(1).alias("ticket_id"), (F.col("id") % 25).alias("customer_id"))
+            full_run.store_for_customers(fact, people, "sized_db", f"{tmp_path}/t{tickets}", slices=3)
+            for name in ("fact_ticket", "dim_customer"):
+                told = spark.sql(f"DESCRIBE TABLE EXTENDED sized_db.{name}").filter("col_name = 'Num Buckets'").first()["data_type"]
+                assert int(told) == buckets
+            assert full_run.sales_with_customers(spark, "sized_db").count() == tickets
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        spark.sql("DROP SCHEMA sized_db CASCADE")
+
+
 def test_two_writers_replace_their_own_partitions(spark, tmp_path):
     """Two threads with one session, one of them replacing the whole table of its own."""
     setting = "spark.sql.sources.partitionOverwriteMode"
