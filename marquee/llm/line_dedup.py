@@ -6,11 +6,13 @@ a line over as many classes as the line has pairs of words, give or take a facto
 the words of a class have a 64-bit SimHash of their own. Edits reach some classes only; by the
 pigeonhole principle, with fewer words taken and added than classes the others keep their block,
 and lines that share a block are candidates. Short lines are dealt by their runs of three
-characters instead, so that one mistyped letter leaves most classes alone. As a line has more
+characters instead, so that one mistyped letter leaves most classes alone. The second, third, ...
+equal word or run of a line is a feature of its own, so that a frequent word does not outvote the
+rest of a class. As a line has more
 classes the longer it is, the chance to share one does not fall with the length.
 
-Candidates whose SimHashes over all words differ in few enough bits are verified by edit
-similarity of the normalised lines (at least 0.9), and of each connected group only the first
+Candidates whose SimHashes over all words differ in few enough bits, and which their counts of
+letters and of runs of three characters do not rule out, are verified by edit similarity of the normalised lines (at least 0.9), and of each connected group only the first
 occurrence, in the order of document id and line, stays.
 
 Words here are also the single characters of scripts without spaces, such as ideographs, kana
@@ -24,8 +26,14 @@ both lose or keep the same lines; a document may end up with an empty text.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.llm.common import may_contain, whole_text
 from marquee.llm.linking import linked
@@ -65,72 +73,149 @@ def _grams(plain: Column) -> Column:
     return F.when(F.length(plain) < SHORT_LINE, F.transform(starts, lambda i: F.substr(ended, i, F.lit(3)))).otherwise(F.array())
 
 
-_WIDTH = 16
-_LANES = sum(1 << (_WIDTH * j) for j in range(64 // _WIDTH))
-#: A line of fewer characters has fewer than 2**14 words, single characters counted, and its counts of bits fit their lanes.
+#: A line of fewer characters has fewer than 2**14 words, single characters counted.
 _LONG_LINE = 2**14 - 1
 
+_WIDTH = 16
+_LANES = np.uint64(sum(1 << (_WIDTH * j) for j in range(64 // _WIDTH)))
+#: Four counts share a number as long as they stay below this.
+_LANE_COUNT = 2 ** (_WIDTH - 1)
 
-def _packed_counts(word: Column) -> list[Column]:
-    """Sums that hold the counts of all 64 bits, four counts in one number."""
-    return [F.sum(F.shiftrightunsigned(word, k).bitwiseAND(F.lit(_LANES))).alias(f"c{k}") for k in range(_WIDTH)]
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """One to one on 64-bit numbers; every bit depends on all bits."""
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(33))
 
-def _majority(size: str) -> Column:
-    """The SimHash from packed counts: a bit is set if more than half of the ``size`` words have it.
+
+def _majority(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The SimHash of each run of hashes: a bit is set if more than half of them have it.
 
     Adding 2^14 - half - 1 to a count sets bit 14 if the count is above half; this is done for
-    all counts of a number at once.
+    four counts in one number at once.
     """
-    lanes = F.lit(_LANES)
-    lift = (2 ** (_WIDTH - 2) - 1 - F.floor(F.col(size) / 2)) * lanes
-    bits = F.lit(0).cast("long")
+    bits = np.zeros(len(starts), np.uint64)
+    if not len(starts):
+        return bits
+    lift = (2 ** (_WIDTH - 2) - 1 - sizes // 2).astype(np.int64).view(np.uint64) * _LANES
     for k in range(_WIDTH):
-        above = F.shiftrightunsigned(F.col(f"c{k}") + lift, _WIDTH - 2).bitwiseAND(lanes)
-        bits = bits.bitwiseOR(F.shiftleft(above, k))
+        counts = np.add.reduceat((hashes >> np.uint64(k)) & _LANES, starts)
+        bits |= (((counts + lift) >> np.uint64(_WIDTH - 2)) & _LANES) << np.uint64(k)
+    for i in np.flatnonzero(sizes >= _LANE_COUNT):
+        run = hashes[starts[i] : starts[i] + sizes[i]]
+        bits[i] = sum(1 << b for b in range(64) if 2 * int(((run >> np.uint64(b)) & np.uint64(1)).sum()) > sizes[i])
     return bits
 
 
-def _classes(size: Column) -> Column:
+def _classes(size: np.ndarray) -> np.ndarray:
     """The power of two that leaves two to four of ``size`` features to a class on average."""
-    return F.lit(2) ** (F.length(F.bin(F.greatest(F.floor(size / 2), F.lit(1)).cast("long"))) - 1)
+    return 1 << (np.frexp(np.maximum(size // 2, 1))[1].astype(np.int64) - 1)
 
 
-def with_signatures(lines: DataFrame, keys: list[str], plain: str) -> DataFrame:
-    """(keys, words, hash, blocks) of lines; ``keys`` name a line and come from columns of it.
+def _occurrences(line: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Hashes of features, of which the second, third, ... equal one of a line has a hash of its own.
+
+    Otherwise a class with a frequent word several times would have that word's hash, whatever else is in it.
+    """
+    key = (line.astype(np.uint64) << np.uint64(48)) | (hashes >> np.uint64(16))
+    order = np.argsort(key)
+    key = key[order]
+    fresh = np.concatenate([[True], key[1:] != key[:-1]])
+    at = np.arange(len(key))
+    nth = np.empty(len(key), np.uint64)
+    nth[order] = at - np.maximum.accumulate(np.where(fresh, at, 0))
+    return np.where(nth == 0, hashes, _mixed(hashes + nth * np.uint64(0x9E3779B97F4A7C15)))
+
+
+def _blocks(line: np.ndarray, hashes: np.ndarray, size: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, block) of the classes with two features and more; ``size`` tells the features of each line.
 
     A line whose size is close to a step in the number of classes is dealt by both numbers, so that
-    similar lines always have one in common. A class of one feature gives no block. The outer
-    form of explode keeps Spark from computing the lists once more for a filter on their size.
+    similar lines always have one in common.
     """
-    sized = lines.select(*keys, _units(F.col(plain)).alias("units"), _grams(F.col(plain)).alias("grams"), F.length(plain).alias("length"))
-    each = sized.select(
-        *keys, F.size("units").alias("n"), F.size("grams").alias("g"), "length",
-        F.posexplode_outer(F.concat("units", "grams")).alias("at", "feature"),
-    )
-    by_words = F.col("at") < F.col("n")
-    size = F.when(by_words, F.col("n")).otherwise(F.col("g"))
-    high, low = _classes(size).cast("int"), _classes(F.floor(size * SIMILARITY)).cast("int")
-    each = each.select(
-        *keys, by_words.alias("by_words"), F.xxhash64("feature").alias("word"), high.alias("high"), low.alias("low"),
-        (~by_words | (F.col("length") >= SHORT_LINE * SIMILARITY)).alias("dealt"),
-    )
-    numbers = F.when(F.col("high") == F.col("low"), F.array("high")).otherwise(F.array("high", "low"))
-    each = each.select(*keys, "by_words", "word", "high", "dealt", F.explode(numbers).alias("number"))
-    # the bits of the hash that choose the class are mixed anew, as all words of a class share them
-    no = F.pmod(F.xxhash64("word", "number"), F.col("number"))
-    cell = [*keys, "by_words", "dealt", "number", (F.col("number") == F.col("high")).alias("whole"), no.alias("no")]
-    cells = each.select(*cell, "word").groupBy(*keys, "by_words", "dealt", "number", "whole", "no")
-    cells = cells.agg(F.count(F.lit(1)).alias("size"), *_packed_counts(F.col("word")))
-    block = F.when(F.col("dealt") & (F.col("size") > 1), F.xxhash64("by_words", "number", "no", _majority("size")))
-    counted = F.col("by_words") & F.col("whole")
-    cells = cells.select(
-        *keys, block.alias("block"), F.when(counted, F.col("size")).otherwise(0).alias("size"),
-        *[F.when(counted, F.col(f"c{k}")).otherwise(0).alias(f"c{k}") for k in range(_WIDTH)],
-    )
-    sums = [F.sum(f"c{k}").alias(f"c{k}") for k in range(_WIDTH)]
-    signed = cells.groupBy(*keys).agg(F.sum("size").alias("words"), F.collect_list("block").alias("blocks"), *sums)
-    return signed.select(*keys, "words", _majority("words").alias("hash"), "blocks")
+    high, low = _classes(size), _classes(np.floor(size * SIMILARITY).astype(np.int64))
+    owners, blocks = [], []
+    for number, dealt in ((high, np.ones(len(size), bool)), (low, low != high)):
+        dealt = dealt[line]
+        of, hash_ = line[dealt], hashes[dealt]
+        many = number[of].astype(np.uint64)
+        # the bits of the hash that choose the class are mixed anew, as all features of a class share them
+        no = _mixed(hash_ ^ (many * np.uint64(0xD1B54A32D192ED03))) & (many - np.uint64(1))
+        cell = (np.cumsum(number) - number)[of] + no.astype(np.int64)
+        order = np.argsort(cell, kind="stable")
+        cell, hash_ = cell[order], hash_[order]
+        starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])[: len(cell)])
+        sizes = np.diff(np.append(starts, len(cell)))
+        name = _mixed(many * np.uint64(4) + np.uint64(kind)) + no
+        block = _mixed(_majority(hash_, starts, sizes) ^ _mixed(name[order][starts]))
+        shared = sizes > 1
+        owners.append(of[order][starts][shared])
+        blocks.append(block[shared])
+    return np.concatenate(owners), np.concatenate(blocks)
+
+
+def _letters(lines: pa.Array) -> pa.Array:
+    """How often each of the letters a to z stands in each line."""
+    ends = np.frombuffer(lines.buffers()[1], np.int32)[lines.offset : lines.offset + len(lines) + 1]
+    signs = np.frombuffer(lines.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+    line, letter = np.repeat(np.arange(len(lines)), np.diff(ends)), signs.astype(np.int64) - ord("a")
+    is_letter = (letter >= 0) & (letter < 26)
+    counts = np.bincount(line[is_letter] * 26 + letter[is_letter], minlength=26 * len(lines))
+    starts = pa.array(np.arange(len(lines) + 1, dtype=np.int32) * 26)
+    return pa.ListArray.from_arrays(starts, pa.array(np.minimum(counts, 2**15 - 1).astype(np.int16)))
+
+
+def _signed(batch: pa.RecordBatch, keys: list[str]) -> pa.RecordBatch:
+    """The key columns of a batch with words, hash, mark, letters and blocks of its lines."""
+    rows = batch.num_rows
+    dealt = batch.column("_dealt").to_numpy(zero_copy_only=False)
+    owners, blocks = [], []
+    for kind, column in enumerate(("_words", "_grams")):
+        lists = batch.column(column)
+        size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        hashes = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        line = np.repeat(np.arange(rows), size)
+        if column == "_words":
+            words, some = size, np.flatnonzero(size)
+            signature = np.zeros(rows, np.uint64)
+            starts = (np.cumsum(size) - size)[some]
+            signature[some] = _majority(hashes, starts, size[some])
+            mark = np.zeros(rows, np.uint64)
+            features = _occurrences(line, hashes) if len(line) else hashes
+            mark[some] = _majority(features, starts, size[some])
+            chosen = dealt[line]
+            line, features = line[chosen], features[chosen]
+        elif len(line):
+            features = _occurrences(line, hashes)
+        if len(line):
+            found = _blocks(line, features, size, kind)
+            owners.append(found[0])
+            blocks.append(found[1])
+    owner = np.concatenate([np.empty(0, np.int64), *owners])
+    block = np.concatenate([np.empty(0, np.uint64), *blocks])[np.argsort(owner, kind="stable")]
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=rows))]).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(block.view(np.int64)))
+    numbers = [pa.array(words), pa.array(signature.view(np.int64)), pa.array(mark.view(np.int64))]
+    columns = [*[batch.column(k) for k in keys], *numbers, _letters(batch.column("_plain")), lists]
+    return pa.RecordBatch.from_arrays(columns, names=[*keys, "words", "hash", "mark", "letters", "blocks"])
+
+
+def with_signatures(lines: DataFrame, keys: list[str], plain: str) -> DataFrame:
+    """(keys, words, hash, mark, letters, blocks) of lines; ``keys`` are columns of it that go along.
+
+    ``hash`` is the SimHash over all words, ``mark`` the one in which equal words of a line count as different features. Words and runs of characters travel as hashes; a batch of lines is signed at once.
+    """
+    hashed = [F.transform(f(F.col(plain)), lambda x: F.xxhash64(x)).alias(n) for n, f in (("_words", _units), ("_grams", _grams))]
+    sized = lines.select(*keys, F.col(plain).alias("_plain"), *hashed, (F.length(plain) >= SHORT_LINE * SIMILARITY).alias("_dealt"))
+    schema = T.StructType(lines.select(*keys).schema.fields).add("words", "long").add("hash", "long").add("mark", "long")
+    schema = schema.add("letters", T.ArrayType(T.ShortType())).add("blocks", T.ArrayType(T.LongType()))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _signed(batch, keys)
+
+    return sized.mapInArrow(sign, schema)
 
 
 def _text_id() -> Column:
@@ -157,7 +242,7 @@ def _keyed(texts: DataFrame) -> DataFrame:
 
 
 def _distinct_lines(docs: DataFrame, least_words: int = MIN_WORDS) -> DataFrame:
-    """(line_key, first, copies, chars, words, hash, blocks) of distinct normalised lines with enough words.
+    """(line_key, first, copies, chars, words, hash, mark, letters, blocks) of distinct normalised lines with enough words.
 
     Equal lines merge inside each task, then in the one shuffle that carries lines; only distinct
     lines are signed, where that shuffle has put them.
@@ -202,12 +287,6 @@ def similar(pairs: DataFrame, name: str) -> DataFrame:
     return stored(middles.drop("wa", "wb"), name).filter(F.expr("levenshtein(_la, _lb, _most)") >= 0).drop("_la", "_lb", "_most")
 
 
-def _letters(plain: Column) -> Column:
-    """How often each of the letters a to z stands in a line."""
-    letters = F.array(*[F.lit(chr(c)) for c in range(ord("a"), ord("z") + 1)])
-    return F.transform(letters, lambda c: F.length(plain) - F.length(F.replace(plain, c)))
-
-
 def _most_edits(chars: Column) -> Column:
     return F.floor(chars * (1 - SIMILARITY) + 1e-9).cast("int")
 
@@ -218,6 +297,85 @@ def _letters_allow(x: Column, y: Column, chars: Column) -> Column:
     return apart <= 2 * _most_edits(chars)
 
 
+_GRAM = 3
+#: So many pairs are compared by their runs of characters at once.
+_PAIRS = 512
+#: The fewest and the most classes of a profile.
+_FEWEST, _MOST = 64, 8192
+
+
+def _runs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(line, hash) of all runs of three characters of some lines."""
+    points = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    owner = np.repeat(np.arange(len(texts)), pc.utf8_length(texts).to_numpy(zero_copy_only=False))
+    # a code point takes 21 bits
+    run = (points[:-2] << np.uint64(42)) | (points[1:-1] << np.uint64(21)) | points[2:]
+    whole = owner[:-2] == owner[2:]
+    return owner[:-2][whole], _mixed(run[whole])
+
+
+def _with_profiles(lines: DataFrame) -> DataFrame:
+    """(id, plain, profile): how many runs of three characters of a line fall into each of its classes, a byte each.
+
+    There are as many classes as the next power of two above the length, so that those of a shorter line are unions of those of a longer.
+    """
+
+    def profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, run = _runs(batch.column("plain"))
+            size = pc.utf8_length(batch.column("plain")).to_numpy(zero_copy_only=False).astype(np.int64)
+            size = np.minimum(2 ** np.frexp(np.maximum(size, _FEWEST - 1))[1].astype(np.int64), _MOST)
+            ends = np.cumsum(size)
+            at = (ends - size)[owner] + (run.view(np.int64) & (size[owner] - 1))
+            held = np.minimum(np.bincount(at, minlength=ends[-1] if len(ends) else 0), 255).astype(np.uint8).tobytes()
+            profile = pa.array([held[end - n : end] for n, end in zip(size, ends)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("plain"), profile], names=["id", "plain", "profile"])
+
+    return lines.select("id", "plain").mapInArrow(profiles, "id long, plain string, profile binary")
+
+
+def _profiles_apart(batch: pa.RecordBatch) -> np.ndarray:
+    """For each pair of lines how far their profiles are apart, by the classes of the shorter line."""
+    held = [batch.column(c).to_pylist() for c in ("fa", "fb")]
+    least = np.array([min(len(x), len(y)) for x, y in zip(*held)], np.int64)
+    apart = np.zeros(len(least), np.int64)
+    for size in np.unique(least):
+        rows = np.flatnonzero(least == size)
+        x, y = (np.stack([np.frombuffer(f[i], np.uint8).reshape(-1, size).sum(axis=0, dtype=np.int32) for i in rows]) for f in held)
+        apart[rows] = np.abs(x - y).sum(axis=1)
+    return apart
+
+
+def _grams_apart(batch: pa.RecordBatch) -> np.ndarray:
+    """For each pair of lines in how many runs of three characters they differ, as multisets."""
+    (x, u), (y, v) = _runs(batch.column("ta")), _runs(batch.column("tb"))
+    # batches are short, so a pair's number and most of a hash go into one number
+    key = np.concatenate([x, y]).astype(np.uint64) << np.uint64(48) | (np.concatenate([u, v]) >> np.uint64(16))
+    if not len(key):
+        return np.zeros(batch.num_rows, np.int64)
+    order = np.argsort(key)
+    key, sign = key[order], np.repeat([1, -1], [len(x), len(y)])[order]
+    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    apart = np.abs(np.add.reduceat(sign, starts))
+    return np.bincount((key[starts] >> np.uint64(48)).astype(np.int64), weights=apart, minlength=batch.num_rows)
+
+
+def _runs_allow(pairs: DataFrame, apart: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """The rows of pairs, with ``chars`` of the longer line, that runs of three characters do not rule out.
+
+    An edit takes away three runs and adds three at most; runs that count as equal only bring lines closer.
+    """
+
+    def allowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, _PAIRS):
+                batch = whole.slice(at, _PAIRS)
+                most = np.floor(batch.column("chars").to_numpy() * (1 - SIMILARITY) + 1e-9)
+                yield batch.filter(pa.array(apart(batch) <= 2 * _GRAM * most))
+
+    return pairs.mapInArrow(allowed, pairs.schema)
+
+
 def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_key, drop): numbers from 0 of the lines that go, for documents that lose any.
 
@@ -226,12 +384,14 @@ def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_W
     """
     distinct = stored(_distinct_lines(docs, least_words).withColumn("id", F.monotonically_increasing_id()), name)
     members = distinct.filter(F.col("words") >= MIN_WORDS).select(F.explode("blocks").alias("bucket"), "id")
-    payload = distinct.select("id", F.struct("hash", "chars").alias("p"))
+    payload = distinct.select("id", F.struct("mark", "chars", "letters").alias("p"))
 
     def may_link(x: Column, y: Column) -> Column:
-        near = F.bit_count(x["hash"].bitwiseXOR(y["hash"])) <= DISTANCE
-        near = near | (F.greatest(x["chars"], y["chars"]) >= _LONG_LINE)
-        return near & (F.least(x["chars"], y["chars"]) >= F.greatest(x["chars"], y["chars"]) * SIMILARITY - 1e-9)
+        near = F.bit_count(x["mark"].bitwiseXOR(y["mark"])) <= DISTANCE
+        longer = F.greatest(x["chars"], y["chars"])
+        near = (near | (longer >= _LONG_LINE)) & (F.least(x["chars"], y["chars"]) >= longer * SIMILARITY - 1e-9)
+        # a case, not an and: Spark must not take the dear comparison first
+        return F.when(near, _letters_allow(x["letters"], y["letters"], longer)).otherwise(False)
 
     def prepare(live: DataFrame):
         def confirm(pairs: DataFrame) -> DataFrame:
@@ -242,10 +402,14 @@ def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_W
             # only the first occurrences travel, whatever the texts around them
             each = _split(_texts(docs)).select(at, "text_id", "line_no", "plain").filter(may_contain(wanted, "at")(F.col("at")))
             found = each.join(wanted, ["at", "text_id", "line_no"]).select("id", "plain").dropDuplicates(["id"])
-            plain = stored(found.withColumn("letters", _letters(F.col("plain"))), name)
+            plain = stored(_with_profiles(found), name)
+            size = F.length("plain")
+            x, y = (plain.select(F.col("id").alias(i), F.col("profile").alias(f"f{i}"), size.alias(f"n{i}")) for i in "ab")
+            met = pairs.join(x, "a").join(y, "b").select("a", "b", "fa", "fb", F.greatest("na", "nb").alias("chars"))
+            close = _runs_allow(met, _profiles_apart).select("a", "b", "chars")
             # lines travel as texts: lists of their words take several times the space
-            both = pairs.join(plain.toDF("a", "ta", "la"), "a").join(plain.toDF("b", "tb", "lb"), "b")
-            both = both.filter(_letters_allow(F.col("la"), F.col("lb"), F.greatest(F.length("ta"), F.length("tb"))))
+            x, y = (plain.select(F.col("id").alias(i), F.col("plain").alias(f"t{i}")) for i in "ab")
+            both = _runs_allow(close.join(x, "a").join(y, "b").select("a", "b", "ta", "tb", "chars"), _grams_apart)
             both = both.select("a", "b", F.split("ta", " ").alias("wa"), F.split("tb", " ").alias("wb"))
             return similar(both, name).select("a", "b")
 

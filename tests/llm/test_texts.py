@@ -233,6 +233,45 @@ def test_fuzzy_lines_of_all_lengths_go(spark):
             assert (wanted or n < 10) and len(wanted & gone) >= 0.95 * len(wanted)
 
 
+def test_frequent_words_make_no_common_block(spark):
+    """Lines that only share words which each of them repeats are not all candidates of each other."""
+    pick = random.Random(15)
+    lines = [" ".join(["the"] * 6 + ["of"] * 4 + [f"w{pick.randrange(10**9)}" for _ in range(20)]) for _ in range(300)]
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(lines)], "id bigint, plain string")
+    signed = line_dedup.with_signatures(df, ["id"], "plain")
+    sizes = [r["count"] for r in signed.select(F.explode("blocks").alias("b")).groupBy("b").count().collect()]
+    assert max(sizes) <= 60 and sum(n * (n - 1) // 2 for n in sizes) < 300 * 299 // 20
+
+
+def test_runs_of_characters_bound_the_edits(spark):
+    """Lines within the edits stay pairs by letters, profiles and runs; unlike lines of the same letters do not."""
+    import pyarrow as pa
+
+    pick = random.Random(16)
+    near, far = [], []
+    for n in (1, 2, 3, 12, 80, 400, 3000):
+        for _ in range(20):
+            a = [pick.choice("abcde é東") for _ in range(n)]
+            b = list(a)
+            for _ in range(n // 10):
+                at = pick.randrange(len(b))
+                b[at : at + pick.randrange(2)] = [pick.choice("abcdexyz𠀀")][: pick.randrange(2)] or b[at : at + 1]
+            near.append(("".join(a), "".join(b)))
+            far.append(("".join(a), "".join(pick.sample(a, n))))
+    for pairs, least, most in ((near, 1.0, 1.0), (far[80:120], 0.0, 0.2)):
+        x, y = (spark.createDataFrame([(i, p[s]) for i, p in enumerate(pairs)], "id bigint, plain string") for s in (0, 1))
+        x, y = ({r["id"]: r["profile"] for r in line_dedup._with_profiles(df).collect()} for df in (x, y))
+        batch = pa.RecordBatch.from_pydict({
+            "ta": [a for a, _ in pairs], "tb": [b for _, b in pairs],
+            "fa": [bytes(x[i]) for i in range(len(pairs))], "fb": [bytes(y[i]) for i in range(len(pairs))],
+        })
+        edits = [6 * int(max(len(a), len(b)) * 0.1 + 1e-9) for a, b in pairs]
+        runs, profiles = line_dedup._grams_apart(batch), line_dedup._profiles_apart(batch)
+        assert all(p <= r for p, r in zip(profiles, runs))
+        share = sum(r <= e for r, e in zip(runs, edits)) / len(pairs)
+        assert least <= share <= most
+
+
 def test_equal_lines_of_one_word_go(spark):
     base = "今日は天気がとても良いので友達と一緒に公園まで散歩に行きましたそして夕方に帰りました"
     rows = [(1, f"ok\n{base}\nsome-slug-x"), (2, f"OK!\n{base[:20]}々{base[21:]}\n-\nsome_slug_x"), (3, f"-\n{base}\nno"), (4, "so\nsomeslugx\nsomeslugx")]
