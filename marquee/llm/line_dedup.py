@@ -11,8 +11,8 @@ equal word or run of a line is a feature of its own, so that a frequent word doe
 rest of a class. As a line has more
 classes the longer it is, the chance to share one does not fall with the length.
 
-Candidates whose SimHashes over all words differ in few enough bits, and which their counts of
-letters and of runs of three characters do not rule out, are verified by edit similarity of the normalised lines (at least 0.9), and of each connected group only the first
+Candidates whose SimHashes over all words differ in few enough bits, and which their
+runs of three characters do not rule out, are verified by edit similarity of the normalised lines (at least 0.9), and of each connected group only the first
 occurrence, in the order of document id and line, stays.
 
 Words here are also the single characters of scripts without spaces, such as ideographs, kana
@@ -26,7 +26,9 @@ both lose or keep the same lines; a document may end up with an empty text.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import operator
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +38,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm.common import may_contain, whole_text
-from marquee.llm.linking import linked
-from marquee.operators.lineage import stored
+from marquee.llm.linking import linked_by_sketch, sharing
+from marquee.operators.lineage import emptied, shuffles_removed, stored
 
 #: Fuzzy lines have so many words at least.
 MIN_WORDS = 2
 #: 70 % of words in common: 64 * acos(0.7) / pi = 16 bits differ, and twice the deviation of 3.5 more.
 DISTANCE = 24
+#: So many SimHashes, in which rare words weigh more, are compared at that distance each; or one in which all weigh the same at the other.
+_SKETCHES, _EVEN_DISTANCE = 3, 16
+#: Words that are more than one in so many lines are frequent; others weigh as much as several of these.
+_FREQUENT, _RARE_WEIGHT = 20, 4
 SIMILARITY = 0.9
 #: Lines of fewer characters are dealt by runs of three characters, others by words; those close to it by both.
 SHORT_LINE = 96
@@ -76,6 +82,10 @@ def _grams(plain: Column) -> Column:
 #: A line of fewer characters has fewer than 2**14 words, single characters counted.
 _LONG_LINE = 2**14 - 1
 
+#: Numbers that make the sketches different hashes of the same words.
+_SALTS = [0x9E3779B97F4A7C15 * i % 2**64 for i in range(1, _SKETCHES + 1)]
+_SKETCH = [f"sketch{i}" for i in range(_SKETCHES)]
+
 _WIDTH = 16
 _LANES = np.uint64(sum(1 << (_WIDTH * j) for j in range(64 // _WIDTH)))
 #: Four counts share a number as long as they stay below this.
@@ -89,8 +99,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _majority(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The SimHash of each run of hashes: a bit is set if more than half of them have it.
+def _majority(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+    """The SimHash of each run of hashes: a bit is set if more than half of them, or of their weights, have it.
 
     Adding 2^14 - half - 1 to a count sets bit 14 if the count is above half; this is done for
     four counts in one number at once.
@@ -98,13 +108,16 @@ def _majority(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.n
     bits = np.zeros(len(starts), np.uint64)
     if not len(starts):
         return bits
-    lift = (2 ** (_WIDTH - 2) - 1 - sizes // 2).astype(np.int64).view(np.uint64) * _LANES
+    weighed = sizes if weights is None else np.add.reduceat(weights, starts).astype(np.int64)
+    lift = (2 ** (_WIDTH - 2) - 1 - weighed // 2).astype(np.int64).view(np.uint64) * _LANES
     for k in range(_WIDTH):
-        counts = np.add.reduceat((hashes >> np.uint64(k)) & _LANES, starts)
+        held = (hashes >> np.uint64(k)) & _LANES
+        counts = np.add.reduceat(held if weights is None else held * weights, starts)
         bits |= (((counts + lift) >> np.uint64(_WIDTH - 2)) & _LANES) << np.uint64(k)
-    for i in np.flatnonzero(sizes >= _LANE_COUNT):
-        run = hashes[starts[i] : starts[i] + sizes[i]]
-        bits[i] = sum(1 << b for b in range(64) if 2 * int(((run >> np.uint64(b)) & np.uint64(1)).sum()) > sizes[i])
+    for i in np.flatnonzero(weighed >= _LANE_COUNT):
+        at = slice(starts[i], starts[i] + sizes[i])
+        each = np.uint64(1) if weights is None else weights[at]
+        bits[i] = sum(1 << b for b in range(64) if 2 * int((((hashes[at] >> np.uint64(b)) & np.uint64(1)) * each).sum()) > weighed[i])
     return bits
 
 
@@ -155,19 +168,8 @@ def _blocks(line: np.ndarray, hashes: np.ndarray, size: np.ndarray, kind: int) -
     return np.concatenate(owners), np.concatenate(blocks)
 
 
-def _letters(lines: pa.Array) -> pa.Array:
-    """How often each of the letters a to z stands in each line."""
-    ends = np.frombuffer(lines.buffers()[1], np.int32)[lines.offset : lines.offset + len(lines) + 1]
-    signs = np.frombuffer(lines.buffers()[2], np.uint8)[ends[0] : ends[-1]]
-    line, letter = np.repeat(np.arange(len(lines)), np.diff(ends)), signs.astype(np.int64) - ord("a")
-    is_letter = (letter >= 0) & (letter < 26)
-    counts = np.bincount(line[is_letter] * 26 + letter[is_letter], minlength=26 * len(lines))
-    starts = pa.array(np.arange(len(lines) + 1, dtype=np.int32) * 26)
-    return pa.ListArray.from_arrays(starts, pa.array(np.minimum(counts, 2**15 - 1).astype(np.int16)))
-
-
-def _signed(batch: pa.RecordBatch, keys: list[str]) -> pa.RecordBatch:
-    """The key columns of a batch with words, hash, mark, letters and blocks of its lines."""
+def _signed(batch: pa.RecordBatch, keys: list[str], frequent: np.ndarray, whole: bool) -> pa.RecordBatch:
+    """The key columns of a batch with words, hash, mark, sketches and blocks of its lines."""
     rows = batch.num_rows
     dealt = batch.column("_dealt").to_numpy(zero_copy_only=False)
     owners, blocks = [], []
@@ -180,10 +182,16 @@ def _signed(batch: pa.RecordBatch, keys: list[str]) -> pa.RecordBatch:
             words, some = size, np.flatnonzero(size)
             signature = np.zeros(rows, np.uint64)
             starts = (np.cumsum(size) - size)[some]
-            signature[some] = _majority(hashes, starts, size[some])
+            if whole:
+                signature[some] = _majority(hashes, starts, size[some])
             mark = np.zeros(rows, np.uint64)
             features = _occurrences(line, hashes) if len(line) else hashes
             mark[some] = _majority(features, starts, size[some])
+            often = np.append(frequent, frequent[-1:])[np.searchsorted(frequent, hashes)] == hashes if len(frequent) else False
+            weights = np.where(often, 1, np.full(len(hashes), _RARE_WEIGHT)).astype(np.uint64)
+            sketches = np.zeros((_SKETCHES, rows), np.uint64)
+            for i in range(_SKETCHES):
+                sketches[i, some] = _majority(_mixed(features + np.uint64(_SALTS[i])), starts, size[some], weights)
             chosen = dealt[line]
             line, features = line[chosen], features[chosen]
         elif len(line):
@@ -197,27 +205,39 @@ def _signed(batch: pa.RecordBatch, keys: list[str]) -> pa.RecordBatch:
     ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=rows))]).astype(np.int32)
     lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(block.view(np.int64)))
     numbers = [pa.array(words), pa.array(signature.view(np.int64)), pa.array(mark.view(np.int64))]
-    columns = [*[batch.column(k) for k in keys], *numbers, _letters(batch.column("_plain")), lists]
-    return pa.RecordBatch.from_arrays(columns, names=[*keys, "words", "hash", "mark", "letters", "blocks"])
+    numbers += [pa.array(x.view(np.int64)) for x in sketches]
+    return pa.RecordBatch.from_arrays([*[batch.column(k) for k in keys], *numbers, lists], names=[*keys, "words", "hash", "mark", *_SKETCH, "blocks"])
 
 
-def with_signatures(lines: DataFrame, keys: list[str], plain: str) -> DataFrame:
-    """(keys, words, hash, mark, letters, blocks) of lines; ``keys`` are columns of it that go along.
+def with_signatures(lines: DataFrame, keys: list[str], plain: str, frequent: Sequence[int] = (), whole: bool = True) -> DataFrame:
+    """(keys, words, hash, mark, sketch0, sketch1, ..., blocks) of lines; ``keys`` are columns of it that go along.
 
-    ``hash`` is the SimHash over all words, ``mark`` the one in which equal words of a line count as different features. Words and runs of characters travel as hashes; a batch of lines is signed at once.
+    ``hash`` is the SimHash over all words (0 without ``whole``), ``mark`` the one in which equal words of a line count as different features,
+    and so they do in the sketches, where words whose hashes are not in ``frequent`` weigh more. Words and runs of
+    characters travel as hashes; a batch of lines is signed at once.
     """
     hashed = [F.transform(f(F.col(plain)), lambda x: F.xxhash64(x)).alias(n) for n, f in (("_words", _units), ("_grams", _grams))]
-    sized = lines.select(*keys, F.col(plain).alias("_plain"), *hashed, (F.length(plain) >= SHORT_LINE * SIMILARITY).alias("_dealt"))
-    schema = T.StructType(lines.select(*keys).schema.fields).add("words", "long").add("hash", "long").add("mark", "long")
-    schema = schema.add("letters", T.ArrayType(T.ShortType())).add("blocks", T.ArrayType(T.LongType()))
+    sized = lines.select(*keys, *hashed, (F.length(plain) >= SHORT_LINE * SIMILARITY).alias("_dealt"))
+    schema = T.StructType(lines.select(*keys).schema.fields)
+    for column in ("words", "hash", "mark", *_SKETCH):
+        schema = schema.add(column, "long")
+    schema = schema.add("blocks", T.ArrayType(T.LongType()))
+    held = np.sort(np.array(frequent, np.int64).view(np.uint64))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _signed(batch, keys)
+            yield _signed(batch, keys, held, whole)
 
     return sized.mapInArrow(sign, schema)
 
 
+def _frequent_words(lines: DataFrame) -> list[int]:
+    """The hashes of words between blanks that are more than one in ``_FREQUENT`` lines: so many times the words of a line at most."""
+    words = lines.select(F.explode(F.split("plain", " ")).alias("word")).select(F.xxhash64("word").alias("hash"))
+    often = words.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * _FREQUENT > lines.count())
+    return [r["hash"] for r in often.collect()]
+
+
 def _text_id() -> Column:
     return F.xxhash64(whole_text())
 
@@ -241,17 +261,20 @@ def _keyed(texts: DataFrame) -> DataFrame:
     return _split(texts).filter("plain != ''").withColumn("line_key", F.unhex(F.md5("plain")))
 
 
-def _distinct_lines(docs: DataFrame, least_words: int = MIN_WORDS) -> DataFrame:
-    """(line_key, first, copies, chars, words, hash, mark, letters, blocks) of distinct normalised lines with enough words.
+def _merged_lines(docs: DataFrame) -> DataFrame:
+    """(line_key, first, copies, chars, plain) of distinct normalised lines with words.
 
-    Equal lines merge inside each task, then in the one shuffle that carries lines; only distinct
-    lines are signed, where that shuffle has put them.
+    Equal lines merge inside each task, then in the one shuffle that carries lines.
     """
     one = _keyed(_texts(docs)).groupBy("line_key").agg(
         F.min(_position()).alias("first"), F.count(F.lit(1)).alias("copies"), F.min("plain").alias("plain")
     )
-    lines = one.select("line_key", "first", "copies", F.length("plain").alias("chars"), "plain")
-    return with_signatures(lines, ["line_key", "first", "copies", "chars"], "plain").filter(F.col("words") >= least_words)
+    return one.select("line_key", "first", "copies", F.length("plain").alias("chars"), "plain")
+
+
+def _distinct_lines(docs: DataFrame, least_words: int = MIN_WORDS) -> DataFrame:
+    """Distinct normalised lines with enough words, and their signatures."""
+    return with_signatures(_merged_lines(docs), ["line_key", "first", "copies", "chars"], "plain").filter(F.col("words") >= least_words)
 
 
 def _unlike(words: Column, other: Column) -> Column:
@@ -265,12 +288,37 @@ def _rest(words: Column, start: Column) -> Column:
     return F.slice(words, start + 1, F.size(words))
 
 
-def similar(pairs: DataFrame, name: str) -> DataFrame:
+def _within(a: str, b: str, most: int) -> bool:
+    """Whether at most so many edits make one text the other.
+
+    Column by column of the table of edit distances, where two long integers hold the cells that are one
+    more and one less than the cell above (Myers 1999).
+    """
+    a, b = (a, b) if len(a) > len(b) else (b, a)
+    if len(a) - len(b) > most:
+        return False
+    at: dict[str, int] = {}
+    for i, sign in enumerate(a):
+        at[sign] = at.get(sign, 0) | 1 << i
+    full, last = (1 << len(a)) - 1, 1 << len(a) >> 1
+    more, less, edits = full, 0, len(a)
+    for left, sign in zip(range(len(b) - 1, -1, -1), b):
+        same = at.get(sign, 0)
+        across = (((same & more) + more) ^ more) | same
+        up, down = less | full & ~(across | more), more & across
+        edits += 1 if up & last else -1 if down & last else 0
+        if edits - left > most:
+            return False
+        up, here = up << 1 | 1, same | less
+        more, less = (down << 1 | full & ~(here | up)) & full, up & here
+    return edits <= most
+
+
+def similar(pairs: DataFrame, name: str = "") -> DataFrame:
     """The rows whose word lists ``wa`` and ``wb``, joined by blanks, have an edit similarity of 0.9.
 
     What both lines begin or end with adds nothing to their edit distance, so it is taken
-    off before; each word keeps the blank after it. The middles are stored, as a filter
-    right above them would compute each of them many times.
+    off before; each word keeps the blank after it. Nothing is stored, so ``name`` has no effect.
     """
 
     def ahead(df: DataFrame) -> DataFrame:
@@ -281,22 +329,20 @@ def similar(pairs: DataFrame, name: str) -> DataFrame:
     def joined(words: str) -> Column:
         return F.array_join(F.transform(words, lambda w: F.concat(w, F.lit(" "))), "")
 
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([_within(*p) for p in zip(*(batch.column(c).to_pylist() for c in ("_la", "_lb", "_most")))], pa.bool_()))
+
     chars = F.greatest(*[F.length(F.array_join(w, " ")) for w in ("wa", "wb")])
     sized = pairs.withColumn("_most", _most_edits(chars))
-    middles = ahead(ahead(sized)).withColumns({"_la": joined("wa"), "_lb": joined("wb")})
-    return stored(middles.drop("wa", "wb"), name).filter(F.expr("levenshtein(_la, _lb, _most)") >= 0).drop("_la", "_lb", "_most")
+    middles = ahead(ahead(sized)).withColumns({"_la": joined("wa"), "_lb": joined("wb")}).drop("wa", "wb")
+    return middles.mapInArrow(near, middles.schema).drop("_la", "_lb", "_most")
 
 
 def _most_edits(chars: Column) -> Column:
     return F.floor(chars * (1 - SIMILARITY) + 1e-9).cast("int")
 
 
-def _letters_allow(x: Column, y: Column, chars: Column) -> Column:
-    """Holds for all similar lines: one edit changes the counts of letters by two in all at most."""
-    apart = F.aggregate(F.zip_with(x, y, lambda m, n: F.abs(m - n)), F.lit(0), lambda total, n: total + n)
-    return apart <= 2 * _most_edits(chars)
-
-
 _GRAM = 3
 #: So many pairs are compared by their runs of characters at once.
 _PAIRS = 512
@@ -376,50 +422,47 @@ def _runs_allow(pairs: DataFrame, apart: Callable[[pa.RecordBatch], np.ndarray])
     return pairs.mapInArrow(allowed, pairs.schema)
 
 
+def _may_link(x: Column, y: Column) -> Column:
+    """Whether two lines are of nearly one length and have near SimHashes."""
+
+    def apart(*columns: str) -> Column:
+        return reduce(operator.add, [F.bit_count(x[c].bitwiseXOR(y[c])) for c in columns])
+
+    longer = F.greatest(x["chars"], y["chars"])
+    near = (apart(*_SKETCH) <= _SKETCHES * DISTANCE) | (apart("mark") <= _EVEN_DISTANCE) | (longer >= _LONG_LINE)
+    return near & (F.least(x["chars"], y["chars"]) >= longer * SIMILARITY - 1e-9)
+
+
 def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, text_key, drop): numbers from 0 of the lines that go, for documents that lose any.
 
     A distinct line is known by its number in the stored table, which is short and ascends in each
-    file, so that rows of blocks and pairs stay small.
+    file, so that rows of blocks and pairs stay small. Lines are stored once, so that pairs need not
+    shuffle them again to be verified.
     """
-    distinct = stored(_distinct_lines(docs, least_words).withColumn("id", F.monotonically_increasing_id()), name)
-    members = distinct.filter(F.col("words") >= MIN_WORDS).select(F.explode("blocks").alias("bucket"), "id")
-    payload = distinct.select("id", F.struct("mark", "chars", "letters").alias("p"))
-
-    def may_link(x: Column, y: Column) -> Column:
-        near = F.bit_count(x["mark"].bitwiseXOR(y["mark"])) <= DISTANCE
-        longer = F.greatest(x["chars"], y["chars"])
-        near = (near | (longer >= _LONG_LINE)) & (F.least(x["chars"], y["chars"]) >= longer * SIMILARITY - 1e-9)
-        # a case, not an and: Spark must not take the dear comparison first
-        return F.when(near, _letters_allow(x["letters"], y["letters"], longer)).otherwise(False)
-
-    def prepare(live: DataFrame):
-        def confirm(pairs: DataFrame) -> DataFrame:
-            ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-            at = F.xxhash64("doc_id", "text_id", "line_no").alias("at")
-            wanted = distinct.join(ids, "id").select("id", "first.*").select("id", at, "text_id", "line_no")
-            wanted = stored(wanted, name)
-            # only the first occurrences travel, whatever the texts around them
-            each = _split(_texts(docs)).select(at, "text_id", "line_no", "plain").filter(may_contain(wanted, "at")(F.col("at")))
-            found = each.join(wanted, ["at", "text_id", "line_no"]).select("id", "plain").dropDuplicates(["id"])
-            plain = stored(_with_profiles(found), name)
-            size = F.length("plain")
-            x, y = (plain.select(F.col("id").alias(i), F.col("profile").alias(f"f{i}"), size.alias(f"n{i}")) for i in "ab")
-            met = pairs.join(x, "a").join(y, "b").select("a", "b", "fa", "fb", F.greatest("na", "nb").alias("chars"))
-            close = _runs_allow(met, _profiles_apart).select("a", "b", "chars")
-            # lines travel as texts: lists of their words take several times the space
-            x, y = (plain.select(F.col("id").alias(i), F.col("plain").alias(f"t{i}")) for i in "ab")
-            both = _runs_allow(close.join(x, "a").join(y, "b").select("a", "b", "ta", "tb", "chars"), _grams_apart)
-            both = both.select("a", "b", F.split("ta", " ").alias("wa"), F.split("tb", " ").alias("wb"))
-            return similar(both, name).select("a", "b")
-
-        return confirm
-
-    groups = linked(members, payload, may_link, prepare, name)
+    lines = stored(_merged_lines(docs).withColumn("id", F.monotonically_increasing_id()), name, "zstd")
+    signed = stored(with_signatures(lines, ["id", "chars"], "plain", _frequent_words(lines), whole=False).drop("hash"), name)
+    members = signed.filter(F.col("words") >= MIN_WORDS).select(F.explode("blocks").alias("bucket"), "id")
+    live = stored(sharing(members), name)
+    sketches = stored(signed.select("id", "words", F.struct("mark", "chars", *_SKETCH).alias("p")), name)
+    emptied(signed)
+
+    def confirm(pairs: DataFrame) -> DataFrame:
+        wanted = may_contain(pairs.select(F.explode(F.array("a", "b")).alias("id")), "id")
+        x, y = (lines.filter(wanted(F.col("id"))).select(F.col("id").alias(i), F.col("plain").alias(f"t{i}")) for i in "ab")
+        both = pairs.join(x, "a").join(y, "b").withColumn("chars", F.greatest(F.length("ta"), F.length("tb")))
+        # lines travel as texts: lists of their words take several times the space
+        both = _runs_allow(both.select("a", "b", "ta", "tb", "chars"), _grams_apart)
+        return similar(both.select("a", "b", F.split("ta", " ").alias("wa"), F.split("tb", " ").alias("wb"))).select("a", "b")
+
+    groups = linked_by_sketch(live, sketches.select("id", "p"), _may_link, confirm, name)
+    distinct = lines.drop("plain", "chars").join(sketches.filter(F.col("words") >= least_words).select("id"), "id")
     rooted = distinct.join(groups, "id", "left").filter("copies > 1 OR root IS NOT NULL")
     rooted = rooted.select("line_key", "first", "copies", F.coalesce("root", "id").alias("root"))
     several = rooted.groupBy("root").agg(F.min("first").alias("keeper"), F.sum("copies").alias("n")).filter("n > 1")
     keepers = stored(rooted.join(several, "root").select("line_key", "keeper"), name)
+    emptied(lines)
+    emptied(sketches)
     places = _keyed(_texts(docs)).drop("plain").filter(may_contain(keepers, "line_key")(F.col("line_key")))
     gone = places.join(keepers, "line_key").filter(_position() != F.col("keeper"))
     return gone.groupBy("doc_id", "text_id").agg(F.collect_set("line_no").alias("drop"))
@@ -432,7 +475,8 @@ def dedup_lines(
 
     These two names must differ from the documents' own columns. Documents that lose nothing are not shuffled.
     """
-    drops = stored(dropped_lines(docs, name, least_words).toDF("_doc_id", "_text_id", "_drop"), name)
+    with shuffles_removed(docs.sparkSession):
+        drops = stored(dropped_lines(docs, name, least_words).toDF("_doc_id", "_text_id", "_drop"), name)
     held = docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", "text", _text_id().alias("_id"))
     touched = may_contain(drops, "_text_id")(F.col("_id"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_id") == F.col("_text_id"))

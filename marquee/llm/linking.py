@@ -12,11 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.llm.common import may_contain
-from marquee.operators.lineage import stored
+from marquee.operators.lineage import emptied, stored
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -98,3 +98,41 @@ def linked(
     a, b = F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")
     more = across.select(a, b).distinct().join(tried, ["a", "b"], "left_anti")
     return components(links.union(confirm(stored(more, name))), name)
+
+
+def sharing(members: DataFrame) -> DataFrame:
+    """The rows of (bucket, id) whose bucket has other rows."""
+    return members.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).filter("n > 1").select("bucket", "id")
+
+
+def linked_by_sketch(
+    live: DataFrame,
+    sketches: DataFrame,
+    may_link: Callable[[Column, Column], Column],
+    confirm: Callable[[DataFrame], DataFrame],
+    name: str,
+) -> DataFrame:
+    """(id, root) of items with a link, for items that a sketch of some bytes nearly decides.
+
+    Rounds are those of ``linked``; ``live`` has the rows of ``sharing``, stored, and is emptied, ``sketches`` has (id, p),
+    and ``confirm`` keeps the linked of pairs (a, b). The hub of a bucket is its smallest id, so it takes no shuffle to
+    find it, and sketches travel with the rows of shared buckets, once in each round.
+    """
+    hub = Window.partitionBy("bucket").orderBy("id")
+    met = live.join(sketches, "id").withColumns({"hub": F.first("id").over(hub), "hub_p": F.first("p").over(hub)})
+    tried = met.filter((F.col("id") != F.col("hub")) & may_link(F.col("p"), F.col("hub_p")))
+    tried = stored(tried.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), name)
+    links = stored(confirm(tried), name)
+    groups = components(links, name)
+
+    rooted = sketches.join(groups, "id", "left").select("id", "p", F.coalesce("root", "id").alias("root"))
+    placed = live.join(rooted, "id").withColumn("hub_root", F.first("root").over(hub))
+    outside, inside = placed.filter("root != hub_root").alias("l"), placed.alias("r")
+    once = (F.col("r.root") == F.col("r.hub_root")) | (F.col("l.id") < F.col("r.id"))
+    across = outside.join(
+        inside, (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.root") != F.col("r.root")) & once & may_link(F.col("l.p"), F.col("r.p"))
+    )
+    a, b = F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")
+    more = stored(across.select(a, b).distinct().join(tried, ["a", "b"], "left_anti"), name)
+    emptied(live)
+    return components(links.union(confirm(more)), name)

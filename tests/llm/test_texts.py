@@ -290,3 +290,60 @@ def test_short_texts_have_an_anchor_and_differ(spark):
     marked = [r for r in marked if len(r["marks"]) == len(r["text"].split()) - syncmers.K + 1 or r["doc_id"] < 9000]
     twins = spark.createDataFrame([(a["marks"], b["marks"]) for a, b in zip(marked, marked[1:])], "a array<int>, b array<int>")
     assert twins.filter(syncmers.likeness(F.col("a"), F.col("b")) == 1).count() == 0
+
+
+def test_line_dedup_leaves_little_on_disk(spark):
+    """Tables that nothing reads any more do not stay in the shared folder."""
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    from marquee.session import shared_dir
+
+    pick = random.Random(21)
+    lines = [" ".join(pick.choice(["the", *[f"w{pick.randrange(10**6)}"] * 3]) for _ in range(40)) for _ in range(1500)]
+    lines += [line.replace("w", "v", 1) for line in lines[:500]]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+
+    def held():
+        return sum(f.stat().st_size for f in Path(urlparse(shared_dir(spark)).path).rglob("part-*"))
+
+    before = held()
+    assert line_dedup.dedup_lines(docs).agg(F.sum("_dropped")).first()[0] == 500
+    assert held() - before < sum(len(line) for line in lines) // 2
+
+
+def test_frequent_words_make_no_candidates(spark):
+    """Lines that share no more than frequent words are not compared; lines that share rare ones are, as are copies that make words frequent."""
+    pick = random.Random(22)
+    own = [[f"w{pick.randrange(10**9)}" for _ in range(24)] for _ in range(200)]
+    lines = [" ".join(["the", "of", "and", "in", "to", "is", "was", "for", "on", "as"] + words) for words in own]
+    lines += [line.replace("w", "v", 1) for line in lines[:20]]
+    df = spark.createDataFrame([(n, t, len(t)) for n, t in enumerate(lines)], "id bigint, plain string, chars int")
+    signed = line_dedup.with_signatures(df, ["id", "chars"], "plain", line_dedup._frequent_words(df))
+    signed = signed.select("id", F.struct("mark", "chars", *line_dedup._SKETCH).alias("p")).collect()
+    signed = spark.createDataFrame(signed, "id bigint, p struct<mark bigint, chars int, sketch0 bigint, sketch1 bigint, sketch2 bigint>")
+    l, r = signed.alias("l"), signed.alias("r")
+    met = l.join(r, (F.col("l.id") < F.col("r.id")) & line_dedup._may_link(F.col("l.p"), F.col("r.p")))
+    met = {tuple(r) for r in met.select("l.id", "r.id").collect()}
+    assert {(n, 200 + n) for n in range(20)} <= met and len(met) < 220 * 219 // 2 // 50
+    family = [f"w{pick.randrange(10**9)}" for _ in range(30)]
+    copies = [" ".join(family[:at] + [family[at] + "x"] + family[at + 1 :]) for at in range(30)]
+    docs = spark.createDataFrame(list(enumerate([*copies, *lines[:100]])), "doc_id bigint, text string")
+    assert {r["doc_id"] for r in line_dedup.dropped_lines(docs).collect()} == set(range(1, 30))
+
+
+def test_edits_are_counted_as_by_the_plain_table():
+    pick = random.Random(23)
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    for _ in range(400):
+        a, b = ("".join(pick.choice("ab é𠀀") for _ in range(pick.randrange(0, 70))) for _ in range(2))
+        n = distance(a, b)
+        assert [line_dedup._within(a, b, m) for m in (n - 1, n, n + 1)] == [False, True, True]
