@@ -346,6 +346,8 @@ def _most_edits(chars: Column) -> Column:
 _GRAM = 3
 #: So many pairs are compared by their runs of characters at once.
 _PAIRS = 512
+#: The blocks are joined in so many parts, one after the other.
+_PARTS = 4
 #: The fewest and the most classes of a profile.
 _FEWEST, _MOST = 64, 8192
 
@@ -443,7 +445,7 @@ def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_W
     lines = stored(_merged_lines(docs).withColumn("id", F.monotonically_increasing_id()), name, "zstd")
     signed = stored(with_signatures(lines, ["id", "chars"], "plain", _frequent_words(lines), whole=False).drop("hash"), name)
     members = signed.filter(F.col("words") >= MIN_WORDS).select(F.explode("blocks").alias("bucket"), "id")
-    live = stored(sharing(members), name)
+    live = [stored(sharing(members.filter(F.pmod("bucket", F.lit(_PARTS)) == n)), name) for n in range(_PARTS)]
     sketches = stored(signed.select("id", "words", F.struct("mark", "chars", *_SKETCH).alias("p")), name)
     emptied(signed)
 

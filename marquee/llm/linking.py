@@ -11,6 +11,7 @@ of all pairs, while a family of thousands of copies costs about one comparison e
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -106,7 +107,7 @@ def sharing(members: DataFrame) -> DataFrame:
 
 
 def linked_by_sketch(
-    live: DataFrame,
+    live: list[DataFrame],
     sketches: DataFrame,
     may_link: Callable[[Column, Column], Column],
     confirm: Callable[[DataFrame], DataFrame],
@@ -114,25 +115,38 @@ def linked_by_sketch(
 ) -> DataFrame:
     """(id, root) of items with a link, for items that a sketch of some bytes nearly decides.
 
-    Rounds are those of ``linked``; ``live`` has the rows of ``sharing``, stored, and is emptied, ``sketches`` has (id, p),
-    and ``confirm`` keeps the linked of pairs (a, b). The hub of a bucket is its smallest id, so it takes no shuffle to
-    find it, and sketches travel with the rows of shared buckets, once in each round.
+    Rounds are those of ``linked``; ``live`` has the rows of ``sharing`` in parts with whole buckets, stored, and is emptied,
+    ``sketches`` has (id, p), and ``confirm`` keeps the linked of pairs (a, b). The hub of a bucket is its smallest id, so
+    it takes no shuffle to find it, and sketches travel with the rows of shared buckets, once in each round, one part
+    after the other: the disk for it is that of a part.
     """
+
+    def of_all(pairs: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        return reduce(DataFrame.union, [stored(pairs(part), name) for part in live]).distinct()
+
     hub = Window.partitionBy("bucket").orderBy("id")
-    met = live.join(sketches, "id").withColumns({"hub": F.first("id").over(hub), "hub_p": F.first("p").over(hub)})
-    tried = met.filter((F.col("id") != F.col("hub")) & may_link(F.col("p"), F.col("hub_p")))
-    tried = stored(tried.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), name)
+
+    def with_hub(part: DataFrame) -> DataFrame:
+        met = part.join(sketches, "id").withColumns({"hub": F.first("id").over(hub), "hub_p": F.first("p").over(hub)})
+        near = met.filter((F.col("id") != F.col("hub")) & may_link(F.col("p"), F.col("hub_p")))
+        return near.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+
+    tried = stored(of_all(with_hub), name)
     links = stored(confirm(tried), name)
     groups = components(links, name)
 
     rooted = sketches.join(groups, "id", "left").select("id", "p", F.coalesce("root", "id").alias("root"))
-    placed = live.join(rooted, "id").withColumn("hub_root", F.first("root").over(hub))
-    outside, inside = placed.filter("root != hub_root").alias("l"), placed.alias("r")
-    once = (F.col("r.root") == F.col("r.hub_root")) | (F.col("l.id") < F.col("r.id"))
-    across = outside.join(
-        inside, (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.root") != F.col("r.root")) & once & may_link(F.col("l.p"), F.col("r.p"))
-    )
-    a, b = F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")
-    more = stored(across.select(a, b).distinct().join(tried, ["a", "b"], "left_anti"), name)
-    emptied(live)
+
+    def others(part: DataFrame) -> DataFrame:
+        placed = part.join(rooted, "id").withColumn("hub_root", F.first("root").over(hub))
+        outside, inside = placed.filter("root != hub_root").alias("l"), placed.alias("r")
+        once = (F.col("r.root") == F.col("r.hub_root")) | (F.col("l.id") < F.col("r.id"))
+        across = outside.join(
+            inside, (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.root") != F.col("r.root")) & once & may_link(F.col("l.p"), F.col("r.p"))
+        )
+        return across.select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct()
+
+    more = stored(of_all(others).join(tried, ["a", "b"], "left_anti"), name)
+    for part in live:
+        emptied(part)
     return components(links.union(confirm(more)), name)
