@@ -2,11 +2,13 @@
 
 Lines are normalised to their lower-case words of letters and digits. Equal normalised
 lines are one from the start. Other lines get a SimHash in blocks: a hash deals the words of
-a line over as many classes as the line has pairs of words, give or take a factor of two, and
-the words of a class have a 64-bit SimHash of their own. Edits reach some classes only; by the
-pigeonhole principle, with fewer words taken and added than classes the others keep their block,
-and lines that share a block are candidates. Short lines are dealt by their runs of three
-characters instead, so that one mistyped letter leaves most classes alone. The second, third, ...
+a line over more classes than it has words, and classes join their neighbours until their words
+tell enough: the logarithm of the number of lines but for a few bits, where a word of one in 2^k
+lines tells k bits. The words of such a class have a 64-bit SimHash of their own. Edits reach some
+classes only; by the pigeonhole principle, with fewer classes reached than there are the others keep
+their block, and lines that share a block are candidates. So unlike lines share as few blocks in a
+large corpus as in a small one. Short lines are dealt by their runs of three
+characters instead, twice, so that one mistyped letter leaves most classes alone. The second, third, ...
 equal word or run of a line is a feature of its own, so that a frequent word does not outvote the
 rest of a class. As a line has more
 classes the longer it is, the chance to share one does not fall with the length.
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import operator
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -49,16 +52,21 @@ DISTANCE = 24
 _SKETCHES, _EVEN_DISTANCE = 3, 16
 #: Words that are more than one in so many lines are frequent; others weigh as much as several of these.
 _FREQUENT, _RARE_WEIGHT = 20, 4
+#: For words and for runs of characters: a block may be shared by two to the power of so many unlike lines, and so many times a line is dealt.
+_SPARE = (5, 1), (6, 2)
 SIMILARITY = 0.9
 #: Lines of fewer characters are dealt by runs of three characters, others by words; those close to it by both.
 SHORT_LINE = 96
 
-#: ASCII other than letters, digits and line feed, Latin-1 signs, general and ideographic punctuation.
-_BREAK = r"[\x00-\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\xBF -⁯　-〿]+"
+#: ASCII other than letters, digits and line feed, Latin-1 signs, general and ideographic punctuation. The former are listed
+#: one by one, as a set of single signs takes one step to test and each range another.
+_LISTED = "".join(f"\\x{c:02X}" for a, b in ((0x00, 0x09), (0x0B, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0xBF)) for c in range(a, b + 1))
+_BREAK = f"[{_LISTED}\u2000-\u206F\u3000-\u303F]+"
 
 
 #: Scripts written without spaces: Thai to Burmese, Khmer, ideographs and kana.
 _UNSPACED = r"[\x{E00}-\x{EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{2E80}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
+_HIGH = r"[\x{E00}-\x{3FFFF}]"
 
 
 def plain_lines(text: Column) -> Column:
@@ -69,7 +77,9 @@ def plain_lines(text: Column) -> Column:
 def _units(plain: Column) -> Column:
     """The words of a line, with characters of scripts without spaces as words of their own."""
     apart = F.array_remove(F.split(F.regexp_replace(plain, f"({_UNSPACED})", " $1 "), " +"), "")
-    return F.when(plain.rlike(_UNSPACED), apart).otherwise(F.split(plain, " "))
+    # each of these characters takes three bytes and more
+    some = (F.octet_length(plain) > F.length(plain) + 1) & plain.rlike(_HIGH) & plain.rlike(_UNSPACED)
+    return F.when(some, apart).otherwise(F.split(plain, " "))
 
 
 def _grams(plain: Column) -> Column:
@@ -121,6 +131,27 @@ def _majority(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, weights
     return bits
 
 
+def _small_majority(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The same as ``_majority`` where most runs have four hashes at most."""
+    bits = np.empty(len(starts), np.uint64)
+    for size in (1, 2, 3, 4):
+        at = np.flatnonzero(sizes == size)
+        a, *more = (hashes[starts[at] + i] for i in range(size))
+        if size < 3:
+            bits[at] = a & more[0] if more else a
+        elif size == 3:
+            bits[at] = a & more[0] | more[1] & (a | more[0])
+        else:
+            b, c, d = more
+            bits[at] = a & b & (c | d) | c & d & (a | b)
+    at = np.flatnonzero(sizes > 4)
+    held = sizes[at]
+    ends = np.cumsum(held)
+    places = np.repeat(starts[at] - (ends - held), held) + np.arange(ends[-1] if len(ends) else 0)
+    bits[at] = _majority(hashes[places], ends - held, held)
+    return bits
+
+
 def _classes(size: np.ndarray) -> np.ndarray:
     """The power of two that leaves two to four of ``size`` features to a class on average."""
     return 1 << (np.frexp(np.maximum(size // 2, 1))[1].astype(np.int64) - 1)
@@ -141,34 +172,71 @@ def _occurrences(line: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return np.where(nth == 0, hashes, _mixed(hashes + nth * np.uint64(0x9E3779B97F4A7C15)))
 
 
-def _blocks(line: np.ndarray, hashes: np.ndarray, size: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray]:
-    """(line, block) of the classes with two features and more; ``size`` tells the features of each line.
+@dataclass
+class Rarity:
+    """What features tell, in sixteenths of a bit: ``told`` for the frequent ones, whose ``hashes`` are in rising order, ``others`` for the rest.
 
-    A line whose size is close to a step in the number of classes is dealt by both numbers, so that
-    similar lines always have one in common.
+    A block tells ``needed`` at least; lines are dealt ``dealings`` times, at first over a number of classes
+    that follows their features times ``spread``.
     """
-    high, low = _classes(size), _classes(np.floor(size * SIMILARITY).astype(np.int64))
-    owners, blocks = [], []
-    for number, dealt in ((high, np.ones(len(size), bool)), (low, low != high)):
-        dealt = dealt[line]
-        of, hash_ = line[dealt], hashes[dealt]
-        many = number[of].astype(np.uint64)
-        # the bits of the hash that choose the class are mixed anew, as all features of a class share them
-        no = _mixed(hash_ ^ (many * np.uint64(0xD1B54A32D192ED03))) & (many - np.uint64(1))
-        cell = (np.cumsum(number) - number)[of] + no.astype(np.int64)
-        order = np.argsort(cell, kind="stable")
-        cell, hash_ = cell[order], hash_[order]
-        starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])[: len(cell)])
-        sizes = np.diff(np.append(starts, len(cell)))
-        name = _mixed(many * np.uint64(4) + np.uint64(kind)) + no
-        block = _mixed(_majority(hash_, starts, sizes) ^ _mixed(name[order][starts]))
-        shared = sizes > 1
-        owners.append(of[order][starts][shared])
-        blocks.append(block[shared])
+
+    hashes: np.ndarray
+    told: np.ndarray
+    others: int
+    needed: int
+    spread: int
+    dealings: int
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(hashes), self.others, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.told[at], self.others)
+
+
+#: Without counts: a block has two features.
+_UNCOUNTED = Rarity(np.empty(0, np.uint64), np.empty(0, np.int64), others=1, needed=2, spread=1, dealings=1)
+
+
+def _blocks(line: np.ndarray, hashes: np.ndarray, size: np.ndarray, kind: int, told: np.ndarray, rarity: Rarity) -> tuple[np.ndarray, np.ndarray]:
+    """(line, block) of the classes that tell enough; ``size`` tells the features of each line, ``told`` what each of them tells.
+
+    A class that tells too little joins its neighbour, if that one tells too little as well, and so on by halves of the number of
+    classes; what is left at last is a block only of a line without any other. A line whose size is close to a step in
+    the number of classes is dealt by both numbers, so that similar lines always have one in common.
+    """
+    sized = size * rarity.spread
+    high, low = _classes(sized), _classes(np.floor(sized * SIMILARITY).astype(np.int64))
+    owners, blocks = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for dealing in range(rarity.dealings):
+        for number, dealt in ((high, np.ones(len(size), bool)), (low, low != high)):
+            dealt = dealt[line]
+            of, hash_, bits = line[dealt], hashes[dealt], told[dealt]
+            many = number[of].astype(np.uint64)
+            # the bits of the hash that choose the class are mixed anew, as all features of a class share them
+            no = (_mixed(hash_ ^ (many * np.uint64(0xD1B54A32D192ED03) + np.uint64(dealing))) & (many - np.uint64(1))).astype(np.int64)
+            before = np.cumsum(number) - number
+            order = np.argsort(before[of] + no)
+            of, hash_, bits, no = of[order], hash_[order], bits[order], no[order]
+            width, some = number[of], np.zeros(len(size), bool)
+            while len(of):
+                cell = before[of] + no
+                starts = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+                sizes = np.diff(np.append(starts, len(cell)))
+                owner, left = of[starts], width[starts]
+                full = (np.add.reduceat(bits, starts) >= rarity.needed) & (sizes > 1)
+                some[owner[full]] = True
+                full |= (left == 1) & (sizes > 1) & ~some[owner]
+                name = _mixed(number[owner[full]].astype(np.uint64) * np.uint64(16) + np.uint64(2 * dealing + kind))
+                name = _mixed(name + left[full].astype(np.uint64)) + no[starts[full]].astype(np.uint64)
+                owners.append(owner[full])
+                blocks.append(_mixed(_small_majority(hash_, starts[full], sizes[full]) ^ _mixed(name)))
+                rest = ~np.repeat(full, sizes) & (width > 1)
+                of, hash_, bits, no, width = of[rest], hash_[rest], bits[rest], no[rest] >> 1, width[rest] >> 1
     return np.concatenate(owners), np.concatenate(blocks)
 
 
-def _signed(batch: pa.RecordBatch, keys: list[str], frequent: np.ndarray, whole: bool) -> pa.RecordBatch:
+def _signed(batch: pa.RecordBatch, keys: list[str], frequent: np.ndarray, whole: bool, rarities: Sequence[Rarity]) -> pa.RecordBatch:
     """The key columns of a batch with words, hash, mark, sketches and blocks of its lines."""
     rows = batch.num_rows
     dealt = batch.column("_dealt").to_numpy(zero_copy_only=False)
@@ -193,11 +261,11 @@ def _signed(batch: pa.RecordBatch, keys: list[str], frequent: np.ndarray, whole:
             for i in range(_SKETCHES):
                 sketches[i, some] = _majority(_mixed(features + np.uint64(_SALTS[i])), starts, size[some], weights)
             chosen = dealt[line]
-            line, features = line[chosen], features[chosen]
+            line, features, hashes = line[chosen], features[chosen], hashes[chosen]
         elif len(line):
             features = _occurrences(line, hashes)
         if len(line):
-            found = _blocks(line, features, size, kind)
+            found = _blocks(line, features, size, kind, rarities[kind].of(hashes), rarities[kind])
             owners.append(found[0])
             blocks.append(found[1])
     owner = np.concatenate([np.empty(0, np.int64), *owners])
@@ -209,12 +277,14 @@ def _signed(batch: pa.RecordBatch, keys: list[str], frequent: np.ndarray, whole:
     return pa.RecordBatch.from_arrays([*[batch.column(k) for k in keys], *numbers, lists], names=[*keys, "words", "hash", "mark", *_SKETCH, "blocks"])
 
 
-def with_signatures(lines: DataFrame, keys: list[str], plain: str, frequent: Sequence[int] = (), whole: bool = True) -> DataFrame:
+def with_signatures(
+    lines: DataFrame, keys: list[str], plain: str, frequent: Sequence[int] = (), whole: bool = True, rarities: Sequence[Rarity] = (_UNCOUNTED, _UNCOUNTED)
+) -> DataFrame:
     """(keys, words, hash, mark, sketch0, sketch1, ..., blocks) of lines; ``keys`` are columns of it that go along.
 
     ``hash`` is the SimHash over all words (0 without ``whole``), ``mark`` the one in which equal words of a line count as different features,
-    and so they do in the sketches, where words whose hashes are not in ``frequent`` weigh more. Words and runs of
-    characters travel as hashes; a batch of lines is signed at once.
+    and so they do in the sketches, where words whose hashes are not in ``frequent`` weigh more. ``rarities`` are those of words and of
+    runs of characters, which travel as hashes; a batch of lines is signed at once.
     """
     hashed = [F.transform(f(F.col(plain)), lambda x: F.xxhash64(x)).alias(n) for n, f in (("_words", _units), ("_grams", _grams))]
     sized = lines.select(*keys, *hashed, (F.length(plain) >= SHORT_LINE * SIMILARITY).alias("_dealt"))
@@ -226,16 +296,42 @@ def with_signatures(lines: DataFrame, keys: list[str], plain: str, frequent: Seq
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield _signed(batch, keys, held, whole)
+            yield _signed(batch, keys, held, whole, rarities)
 
     return sized.mapInArrow(sign, schema)
 
 
+def _counts(lines: DataFrame, features: Callable[[Column], Column], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of the features that lines have more than ``least`` times: so many divided by ``least`` at most."""
+    hashes = lines.select(F.explode(features(F.col("plain"))).alias("feature")).select(F.xxhash64("feature").alias("hash"))
+    rows = hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > least).collect()
+    return np.array([r["hash"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64)
+
+
 def _frequent_words(lines: DataFrame) -> list[int]:
-    """The hashes of words between blanks that are more than one in ``_FREQUENT`` lines: so many times the words of a line at most."""
-    words = lines.select(F.explode(F.split("plain", " ")).alias("word")).select(F.xxhash64("word").alias("hash"))
-    often = words.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * _FREQUENT > lines.count())
-    return [r["hash"] for r in often.collect()]
+    """The hashes of words that are more than one in ``_FREQUENT`` lines."""
+    return _counts(lines, _units, lines.count() / _FREQUENT)[0].tolist()
+
+
+def _rarities(lines: DataFrame) -> tuple[list[int], list[Rarity]]:
+    """The hashes of frequent words, and the rarity of words and of runs of characters.
+
+    A feature of one in 2^k lines tells k bits. As a block tells the logarithm of the number of lines, but for ``_SPARE`` bits, a line has so
+    many blocks with 2^``_SPARE`` unlike lines each, whatever that number is. Features that tell half of what a block needs are not
+    counted one by one, so the counts kept grow as the root of the number of lines.
+    """
+    out, often = [], []
+    for features, part, spare, dealings in ((_units, lines, *_SPARE[0]), (_grams, lines.filter(F.length("plain") < SHORT_LINE), *_SPARE[1])):
+        total = max(part.count(), 1)
+        needed = max(np.log2(total) - spare, 2.0)
+        hashes, counts = _counts(part, features, total / max(2 ** (needed / 2), _FREQUENT))
+        if not out:
+            often = hashes[counts * _FREQUENT > total].tolist()
+        order = np.argsort(hashes.view(np.uint64))
+        told = np.maximum(np.floor(-16 * np.log2(np.minimum(counts[order] / total, 1))), 0).astype(np.int64)
+        others = int(np.ceil(8 * needed))
+        out.append(Rarity(hashes.view(np.uint64)[order], np.minimum(told, others), others, int(16 * needed), spread=4, dealings=dealings))
+    return often, out
 
 
 def _text_id() -> Column:
@@ -295,8 +391,8 @@ def _within(a: str, b: str, most: int) -> bool:
     more and one less than the cell above (Myers 1999).
     """
     a, b = (a, b) if len(a) > len(b) else (b, a)
-    if len(a) - len(b) > most:
-        return False
+    if len(a) - len(b) > most or len(a) <= most:
+        return len(a) <= most
     at: dict[str, int] = {}
     for i, sign in enumerate(a):
         at[sign] = at.get(sign, 0) | 1 << i
@@ -443,7 +539,8 @@ def dropped_lines(docs: DataFrame, name: str = "lines", least_words: int = MIN_W
     shuffle them again to be verified.
     """
     lines = stored(_merged_lines(docs).withColumn("id", F.monotonically_increasing_id()), name, "zstd")
-    signed = stored(with_signatures(lines, ["id", "chars"], "plain", _frequent_words(lines), whole=False).drop("hash"), name)
+    frequent, rarities = _rarities(lines)
+    signed = stored(with_signatures(lines, ["id", "chars"], "plain", frequent, False, rarities).drop("hash"), name)
     members = signed.filter(F.col("words") >= MIN_WORDS).select(F.explode("blocks").alias("bucket"), "id")
     live = [stored(sharing(members.filter(F.pmod("bucket", F.lit(_PARTS)) == n)), name) for n in range(_PARTS)]
     sketches = stored(signed.select("id", "words", F.struct("mark", "chars", *_SKETCH).alias("p")), name)

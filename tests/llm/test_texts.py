@@ -347,3 +347,22 @@ def test_edits_are_counted_as_by_the_plain_table():
         a, b = ("".join(pick.choice("ab é𠀀") for _ in range(pick.randrange(0, 70))) for _ in range(2))
         n = distance(a, b)
         assert [line_dedup._within(a, b, m) for m in (n - 1, n, n + 1)] == [False, True, True]
+
+
+def test_blocks_of_frequent_words_do_not_grow_with_the_lines(spark, monkeypatch):
+    """Unlike lines over few words share few blocks each, however many they are; copies with a mistyped letter are still found."""
+    pick = random.Random(24)
+    words = ["".join(pick.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(pick.randrange(2, 9))) for _ in range(150)]
+    weights = [1 / (n + 1) for n in range(150)]
+    lines = [" ".join(pick.choices(words, weights, k=pick.randrange(24, 40))) for _ in range(4000)]
+    lines += [line[:-1] + "0" for line in lines[:60]]
+    met = []
+
+    def counted(members, sharing=line_dedup.sharing):
+        met.append(members.groupBy("bucket").count().agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0] or 0)
+        return sharing(members)
+
+    monkeypatch.setattr(line_dedup, "sharing", counted)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id bigint, text string")
+    gone = {r["doc_id"] for r in line_dedup.dropped_lines(docs).collect()}
+    assert gone <= set(range(4000, 4060)) and len(gone) >= 57 and sum(met) < 20 * len(lines)
